@@ -43,8 +43,10 @@ def round_even(c: Column, digits: int) -> Column:
 def plain_number(c: Column) -> Column:
     """Number as text without exponent or a trailing ``.0``."""
     whole = (c == F.floor(c)) & (F.abs(c) < 1e15)
-    fixed = F.regexp_replace(c.cast("decimal(38,17)").cast("string"), r"0+$", "")
-    return F.when(whole, c.cast("bigint").cast("string")).otherwise(fixed)
+    fixed = F.regexp_replace(c.try_cast("decimal(38,17)").cast("string"), r"0+$", "")
+    return F.when(whole, c.try_cast("bigint").cast("string")).otherwise(
+        F.coalesce(fixed, c.cast("string"))
+    )
 
 
 def bounded_cosine(similarity: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from larderspark import schemas
 from larderspark.functions import numeric, text
+from larderspark.functions.payload import strict_json
 from larderspark.operators.dedup import keep_first
 from larderspark.sources.readers import column_or, require_columns
 
@@ -82,7 +83,7 @@ def raw_payload() -> Column:
                  F.col("nutriscore").alias("nutriscore_grade"))
     )
     numbers = F.to_json("nutriments")
-    joined = F.concat(F.regexp_replace(fields, r"\}\z", ","), F.substring(numbers, 2, 1_000_000))
+    joined = F.concat(F.regexp_replace(fields, r"\}\z", ","), F.regexp_replace(numbers, r"^\{", ""))
     return F.when(F.size("nutriments") > 0, joined).otherwise(fields)
 
 
@@ -95,10 +96,8 @@ def best_text(product: Column, *keys: str) -> Column:
     """First non-blank JSON string among the keys; other JSON types do not count."""
     def candidate(key: str) -> Column:
         value = F.try_variant_get(product, f"$.{key}", "variant")
-        is_text = F.expr("true") & (F.schema_of_variant(value) == "STRING")
-        return text.blank_to_null(
-            F.when(is_text, text.collapse(F.try_variant_get(product, f"$.{key}", "string")))
-        )
+        as_text = text.collapse(F.try_variant_get(product, f"$.{key}", "string"))
+        return text.blank_to_null(F.when(F.schema_of_variant(value) == "STRING", as_text))
 
     return F.coalesce(*[candidate(k) for k in keys], F.lit(""))
 
@@ -108,7 +107,7 @@ def normalize_payloads(payloads: DataFrame, barcode: Column | None = None) -> Da
 
     Payloads that are not JSON, or without a code or a name, are rejected.
     """
-    parsed = payloads.withColumn("_doc", F.try_parse_json("payload"))
+    parsed = payloads.withColumn("_doc", strict_json(F.col("payload")))
     doc, product = F.col("_doc"), F.try_variant_get(F.col("_doc"), "$.product", "variant")
     code = F.coalesce(
         text.blank_to_null(F.try_variant_get(doc, "$.code", "string")),

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from larderspark.plans import oracles_reviews, queries_reviews
+from larderspark.plans import oracles_catalog, oracles_reviews, queries_catalog, queries_reviews
 
-QUERIES = {**queries_reviews.QUERIES}
-ORACLES = {**oracles_reviews.ORACLES}
+QUERIES = {**queries_reviews.QUERIES, **queries_catalog.QUERIES}
+ORACLES = {**oracles_reviews.ORACLES, **oracles_catalog.ORACLES}
 FLAGSHIP = "product_documents"
