@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from larderspark.functions.binding import let
+
 # Unicode White_Space, for trims (no regex needed).
 WHITESPACE = (
     "\t\n\x0b\x0c\r \x85\u00a0\u1680"
@@ -94,11 +96,10 @@ def text_list(c: Column) -> Column:
 def distinct_texts(c: Column) -> Column:
     """Keep the first of texts equal up to case and whitespace (short arrays)."""
     keys = F.transform(c, lambda x: F.lower(collapse(x)))
-    return F.filter(
+    return let(keys, lambda ks: F.filter(
         c,
-        lambda x, i: (F.lower(collapse(x)) != "")
-        & (F.array_position(keys, F.lower(collapse(x))) == (i + 1)),
-    )
+        lambda x, i: (F.get(ks, i) != "") & (F.array_position(ks, F.get(ks, i)) == (i + 1)),
+    ))
 
 
 def contains_any(c: Column, words: Sequence[str]) -> Column:

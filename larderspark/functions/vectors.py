@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from larderspark.functions.binding import let
+
 
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -33,14 +35,12 @@ def cosine(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column |
     """
     usable = (F.size(a) > 0) & (F.size(b) > 0)
     length = (norm(a) if norm_a is None else norm_a) * (norm(b) if norm_b is None else norm_b)
-    return F.when(usable & (length != 0), dot(same_dimension(a, b), b) / length)
+    return F.when(usable, let(
+        length, lambda n: F.when(n != 0, dot(same_dimension(a, b), b) / n)))
 
 
 def scale(a: Column, length: Column) -> Column:
-    """``a`` divided by ``length`` as floats; a zero vector stays as it is.
-
-    ``length`` is a stored column, so it is not recomputed per element.
-    """
-    return F.when(length > 0, F.transform(a, lambda x: (x / length).cast("float"))).otherwise(
-        a.cast("array<float>")
-    )
+    """``a`` divided by ``length`` as floats; a zero vector stays as it is."""
+    return let(length, lambda n: F.when(
+        n > 0, F.transform(a, lambda x: (x / n).cast("float"))
+    ).otherwise(a.cast("array<float>")))

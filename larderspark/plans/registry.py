@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from larderspark.plans import oracles_catalog, oracles_reviews, queries_catalog, queries_reviews
+from larderspark.plans import (
+    oracles_catalog, oracles_reviews, oracles_search, queries_catalog, queries_reviews, queries_search,
+)
 
-QUERIES = {**queries_reviews.QUERIES, **queries_catalog.QUERIES}
-ORACLES = {**oracles_reviews.ORACLES, **oracles_catalog.ORACLES}
-FLAGSHIP = "product_documents"
+QUERIES = {**queries_reviews.QUERIES, **queries_catalog.QUERIES, **queries_search.QUERIES}
+ORACLES = {**oracles_reviews.ORACLES, **oracles_catalog.ORACLES, **oracles_search.ORACLES}
+FLAGSHIP = "keyword_search"
