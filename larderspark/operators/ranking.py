@@ -55,4 +55,4 @@ def head(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows by hash order of the key: repeatable and independent of layout."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(seed), F.col(key))), F.col(key)).limit(n)

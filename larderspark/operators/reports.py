@@ -126,7 +126,7 @@ def grade_distribution(df: DataFrame, column: str = "nutriscore", missing: str =
 
 def text_stats(df: DataFrame, column: str, over: int = 512) -> DataFrame:
     """Count, min, mean, median, max of text length; rows above the cut-off."""
-    lengths = df.select(F.char_length(column).alias("n_chars"))
+    lengths = df.select(F.char_length(column).cast("bigint").alias("n_chars"))
     return lengths.agg(
         F.count(F.lit(1)).alias("total"),
         F.min("n_chars").alias("min_chars"),

@@ -98,7 +98,8 @@ search_docs AS (
   FROM master WHERE length(trim(product_name)) > 1)"""
 EXAMPLES = f"""
 examples AS (
-  SELECT example_id, query_id, small_version, large_version, {collapse('query')} AS query, product_id,
+  SELECT example_id, query_id, CAST(small_version AS BIGINT) AS small_version,
+         CAST(large_version AS BIGINT) AS large_version, {collapse('query')} AS query, product_id,
          product_locale, esci_label, split
   FROM fx_examples
   WHERE esci_label IN ('E','S','C','I','Exact','Substitute','Complement','Irrelevant'))"""

@@ -109,7 +109,31 @@ UNION ALL
 SELECT 'year_distribution', CAST(year(review_timestamp) AS VARCHAR), count(*)
 FROM cleaned GROUP BY ALL"""
 
+COLUMN_TYPES = {
+    "Id": "bigint", "ProductId": "string", "UserId": "string", "ProfileName": "string",
+    "HelpfulnessNumerator": "int", "HelpfulnessDenominator": "int", "Score": "float", "Time": "int",
+    "Summary": "string", "Text": "string", "review_timestamp": "timestamp_ntz",
+    "helpfulness_ratio": "float", "summary_length": "int", "text_length": "int",
+    "review_text": "string",
+}
+LISTING = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{kind}' AS data_type, {i + 1} AS ordinal_position, "
+    + ("count(ratio)" if c == "helpfulness_ratio" else "count(*)") + " AS non_null FROM cleaned"
+    for i, (c, kind) in enumerate(COLUMN_TYPES.items()))
+
 ORACLES = {
+    "schema_listing": reviews(LISTING),
+    "seeded_sample": reviews("""
+        SELECT ProductId FROM (SELECT DISTINCT ProductId FROM cleaned)
+        ORDER BY md5(concat('42:', ProductId)), ProductId LIMIT 500"""),
+    "pipeline_outputs": with_views(["fx_reviews"], CLEAN, SIZES, f"report AS ({REPORT})", body="""
+        SELECT artefact, true AS exists, rows FROM (
+          SELECT 'cleaned_reviews' AS artefact, count(*) AS rows FROM cleaned UNION ALL
+          SELECT 'cleaned_reviews_csv', count(*) FROM cleaned UNION ALL
+          SELECT 'sample_reviews', least(1000, count(*)) FROM cleaned UNION ALL
+          SELECT 'product_documents', count(*) FROM sizes UNION ALL
+          SELECT 'sample_products', least(250, count(*)) FROM sizes UNION ALL
+          SELECT 'quality_report', count(*) FROM report)"""),
     "scan_reviews": with_views(["fx_reviews"], body="SELECT * FROM fx_reviews"),
     "normalize_text": f"SELECT page_id, {normalize('html')} AS html FROM pages",
     "clean_text": f"""SELECT conv_id, turn, CASE WHEN turn > 0 THEN {collapse('text')} END AS text

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from larderspark.operators.enrich import CATEGORY_RULES
-from larderspark.operators.summaries import RECOMMENDATION, SUMMARY
+from larderspark.operators.summaries import PROMPT, RECOMMENDATION, SUMMARY
 from larderspark.plans.oracles_catalog import _MASTER_CTES, _MASTER_VIEWS
 from larderspark.plans.oracles_reviews import BASIC, DOCS
 from larderspark.plans.sqltext import CLASS, SPACES, collapse, with_views
@@ -194,7 +194,39 @@ POINT_ID = """
          substr('89ab', CAST(('0x' || h[17:17]) AS INT) % 4 + 1, 1), h[18:20], '-', h[21:32]) AS point_id
   FROM (SELECT {key}, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode({name})) AS h FROM {source})"""
 
+MIXED_RECORDS = f"""
+mixed_records AS (
+  SELECT r.query_id, rank, r.product_id, title, CAST(score AS DOUBLE) AS score, avg_rating, nb_reviews,
+         CAST(NULL AS DOUBLE) AS vector_angle_degrees, relevance_percent,
+         {STRATEGY.replace('query_id', 'r.query_id')} AS strategy
+  FROM records r WHERE {STRATEGY.replace('query_id', 'r.query_id')} <> 'semantic_hybrid'
+  UNION ALL
+  SELECT query_id, rank, product_id, title, score, average_score, review_count, {angle('cosine')},
+         {angle_percent('cosine')}, 'semantic_hybrid' FROM best WHERE {STRATEGY} = 'semantic_hybrid')"""
+
+
+def json_list(c: str) -> str:
+    return f"CAST(to_json({c}[1:4]) AS VARCHAR)"
+
+
+_P = PROMPT.split("%s")
+_PROMPT_PARTS = ("title", "product_id", "format('{:.2f}', round_even(average_score, 2))", "review_count",
+                 json_list("s_list"), json_list("t_list"), "title", "product_id")
+PROMPT_SQL = "concat(" + ", ".join(
+    f"{sql_text(words)}, {part}" for words, part in zip(_P, _PROMPT_PARTS)) + f", {sql_text(_P[-1])})"
+
 ORACLES = {
+    "search_results": with_views(
+        ["fx_reviews", "fx_queries"], PRODUCTS, ASKED, ranking(20), HYBRID,
+        RECORDS.replace("FROM lex ", "FROM (SELECT * FROM lex WHERE rank <= 5) lex "),
+        MIXED_RECORDS, SHOWN, body="""
+        SELECT m.*, d.description, coalesce(s.snippets, '') AS snippets, category,
+               CASE WHEN strategy = 'lexical_fallback' THEN
+                 'Semantic search temporarily unavailable; lexical fallback used.' END AS warning
+        FROM mixed_records m JOIN descriptions d USING (product_id) JOIN haystacks USING (product_id)
+        LEFT JOIN snippets s USING (product_id)"""),
+    "summary_prompt": with_views(["fx_reviews"], PRODUCTS, SHOWN, body=f"""
+        SELECT product_id, {PROMPT_SQL} AS prompt FROM described"""),
     "lexical_score": search("""
         SELECT query_id, product_id, CAST(lexical_score AS DOUBLE) AS lexical_score, rank FROM lex""", k=10),
     "catalog_keyword_search": with_views(

@@ -136,7 +136,7 @@ def schema_listing(spark, sf):
     listing = reports.schema_listing(df)
     filled = df.agg(*[F.count(c).alias(c) for c in df.columns])
     long = reports.stack_rows(filled, df.columns, "column_name", "non_null")
-    return listing.join(F.broadcast(long), "column_name")
+    return listing.join(long, "column_name").drop("is_nullable")
 
 
 def pipeline_outputs(spark, sf):

@@ -46,6 +46,18 @@ def table_rows(columns, rows):
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+}
+
+
+def type_differences(schema, description):
+    want = {d[0]: str(d[1]) for d in description}
+    have = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in schema}
+    return [(n, have[n], want[n]) for n in have if want.get(n) != have[n]]
+
+
 def compare(spark, con, key, sf_dir):
     """'' when equal, else what differs; plus seconds and row count."""
     started = time.time()
@@ -56,6 +68,7 @@ def compare(spark, con, key, sf_dir):
     if sql is None:
         return "", seconds, len(rows), False
     result = con.execute(sql)
+    types = type_differences(df.schema, result.description)
     want_names, want = table_rows([d[0] for d in result.description], result.fetchall())
     if names != want_names:
         return f"columns {names} != {want_names}", seconds, len(rows), True
@@ -66,7 +79,7 @@ def compare(spark, con, key, sf_dir):
         a, b = bad[0]
         cells = [(n, x, y) for n, x, y in zip(names, a, b) if x != y]
         return f"{len(bad)} rows differ, first {cells!r}"[:1500], seconds, len(rows), True
-    return "", seconds, len(rows), True
+    return (f"types (name, spark, duckdb): {types}" if types else ""), seconds, len(rows), True
 
 
 def main() -> int:
