@@ -15,8 +15,7 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-# Only the runs that must change: two or more, or one that is not a plain space.
-_RUNS = r"(?U)\s{2,}|[\s&&[^ ]]"
+_RUNS = r"(?U)\s+"
 _TAGS = r"<[^>]+>"
 
 
@@ -32,7 +31,9 @@ def collapse(c: Column) -> Column:
 
 def normalize_text(c: Column) -> Column:
     """Null to blank, HTML tags to spaces, whitespace collapsed, trimmed."""
-    return collapse(F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), _TAGS, " "))
+    value = F.coalesce(c.cast("string"), F.lit(""))
+    # most texts have no tag at all and skip that pass
+    return collapse(F.when(value.contains("<"), F.regexp_replace(value, _TAGS, " ")).otherwise(value))
 
 
 def clean_text(c: Column) -> Column:

@@ -23,9 +23,10 @@ def hashed_vector(c: Column, dimension: int = HASH_DIMENSION) -> Column:
     words = F.filter(F.split(text.collapse(F.lower(c)), " "), lambda w: w != "")
     buckets = F.transform(
         words, lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("bigint") % dimension)
-    positions = F.sequence(F.lit(0), F.lit(dimension - 1))
+    positions = F.sequence(F.lit(0).cast("bigint"), F.lit(dimension - 1).cast("bigint"))
+    # array_remove is one native pass per position, a lambda per word is not
     return let(buckets, lambda bs: F.transform(
-        positions, lambda d: F.size(F.filter(bs, lambda b: b == d)).cast("double")))
+        positions, lambda d: (F.size(bs) - F.size(F.array_remove(bs, d))).cast("double")))
 
 
 def embed_native(df: DataFrame, id_column: str, c: Column, dimension: int = HASH_DIMENSION,

@@ -51,8 +51,8 @@ def description(title_: Column, summaries: Column, texts: Column, label: Column)
     """First shortened sample that says more than the title, else the label."""
     candidates = F.transform(
         F.concat(text.text_list(texts), text.text_list(summaries)), lambda c: text.clip_text(c))
-    known = text.strip(F.lower(title_))
-    first = F.get(F.filter(candidates, lambda c: (c != "") & (F.lower(c) != known)), F.lit(0))
+    first = let(text.strip(F.lower(title_)), lambda known: F.get(
+        F.filter(candidates, lambda c: (c != "") & (F.lower(c) != known)), F.lit(0)))
     labelled = F.concat(text.blank_to_null(text.strip(label)), F.lit("."))
     return F.coalesce(first, labelled, F.lit(DEFAULT_DESCRIPTION))
 
@@ -65,11 +65,11 @@ def snippets(title_: Column, description_: Column, summaries: Column, texts: Col
     def plain(c: Column) -> Column:
         return F.btrim(F.lower(c), F.lit(" ."))
 
-    known_title, known_text = text.strip(F.lower(title_)), plain(description_)
-    shown = F.filter(
-        F.transform(candidates, lambda c: text.clip_text(c, SNIPPET_CHARS)),
-        lambda c: (plain(c) != "") & (plain(c) != known_title) & (plain(c) != known_text))
-    return F.slice(shown, 1, limit)
+    known = F.array(F.lit(""), text.strip(F.lower(title_)), plain(description_))
+    return let(known, lambda ks: F.slice(
+        F.filter(
+            F.transform(candidates, lambda c: text.clip_text(c, SNIPPET_CHARS)),
+            lambda c: ~F.array_contains(ks, plain(c))), 1, limit))
 
 
 def result_columns(results: DataFrame) -> DataFrame:

@@ -98,6 +98,14 @@ def ranking_order() -> list[Column]:
     return [direction(c) for direction, c in ORDER]
 
 
+def _plan(rows) -> list[tuple]:
+    """(query ids, phrase, terms) per distinct phrase: equal queries score once."""
+    plan: dict[str, tuple] = {}
+    for row in rows:
+        plan.setdefault(row.phrase, ([], row.phrase, list(row.terms)))[0].append(row.query_id)
+    return list(plan.values())
+
+
 def _matcher(plan: list[tuple]):
     """All phrases and words of the queries in one automaton."""
     import ahocorasick
@@ -144,6 +152,7 @@ def _scan(plan, k: int, schema: pa.Schema):
             return
         automaton = _matcher(queries)
         best: dict[int, list[tuple]] = {}
+        least: dict[int, float] = {}  # k-th score so far: lower ones cannot get in
         for batch in batches:
             columns = (batch.column(n).to_pylist() for n in
                        ("product_id", "text_lower", "label_lower", "review_count", "average_score"))
@@ -152,11 +161,15 @@ def _scan(plan, k: int, schema: pa.Schema):
                 _add_matches(automaton, body, 0, scores)
                 _add_matches(automaton, label, 1, scores)
                 for q, score in scores.items():
+                    if score < least.get(q, 0.0):
+                        continue
                     rows = best.setdefault(q, [])
                     rows.append((score, reviews, rating, product))
                     if len(rows) >= 4 * k + 64:
                         best[q] = _best(rows, k)
-        out = [(queries[q][0], *row) for q, rows in best.items() for row in _best(rows, k)]
+                        least[q] = best[q][-1][0]
+        out = [(query_id, *row) for q, rows in best.items()
+               for row in _best(rows, k) for query_id in queries[q][0]]
         if out:
             query_id, score, reviews, rating, product = zip(*out)
             arrays = [query_id, product, score, reviews, rating]
@@ -196,7 +209,7 @@ def lexical_ranking(
 
 def _literal_block(products: DataFrame, block: DataFrame, k: int, schema: T.StructType) -> DataFrame:
     spark = products.sparkSession
-    plan = spark.sparkContext.broadcast([tuple(row) for row in block.collect()])  # size checked
+    plan = spark.sparkContext.broadcast(_plan(block.collect()))  # size checked
     arrow = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
     narrow = products.select("product_id", "text_lower", "label_lower", "review_count", "average_score")
     return top_k(narrow.mapInArrow(_scan(plan, k, arrow), schema), ["query_id"], ranking_order(), k)

@@ -9,7 +9,7 @@ from larderspark.functions import payload, text
 from larderspark.operators import catalog, ledger, master, nutrition, quality, reports
 from larderspark.operators.upsert import upsert, upsert_partial
 from larderspark.plans import catalog_jobs, fixtures
-from larderspark.session import scratch_path
+from larderspark.session import cut_lineage, scratch_path
 from larderspark.sources import readers, writers
 
 AMOUNT_MAX = 90_000
@@ -165,7 +165,8 @@ def upsert_part(spark, sf):
 
 def export_catalog(spark, sf):
     path = scratch_path(spark, "export")
-    catalog_jobs.export_catalog(master_rows(spark, sf), search_documents(spark, sf), path)
+    rows = cut_lineage(master_rows(spark, sf))
+    catalog_jobs.export_catalog(rows, master.search_documents(rows), path)
     products = spark.read.parquet(f"{path}/products_master.parquet")
     documents = spark.read.parquet(f"{path}/product_search_documents.parquet")
     return products.join(documents.select("product_id", "search_text"), "product_id").select(
@@ -174,7 +175,8 @@ def export_catalog(spark, sf):
 
 
 def quality_gate(spark, sf):
-    products, documents = catalog_jobs.export_frames(master_rows(spark, sf), search_documents(spark, sf))
+    rows = cut_lineage(master_rows(spark, sf))
+    products, documents = catalog_jobs.export_frames(rows, master.search_documents(rows))
     return quality.quality_gate(products, documents)
 
 
@@ -195,10 +197,11 @@ def table_counts(spark, sf):
 
 
 def catalog_report(spark, sf):
-    rows = cleaned(spark, sf)
+    rows = cut_lineage(cleaned(spark, sf))
+    merged = cut_lineage(master.products_master(rows, foods(spark, sf), facts(spark, sf)))
     tables = {
-        "catalog": rows, "products_master": master_rows(spark, sf),
-        "product_search_documents": search_documents(spark, sf), "foods": foods(spark, sf),
+        "catalog": rows, "products_master": merged,
+        "product_search_documents": master.search_documents(merged), "foods": foods(spark, sf),
         "relevance_examples": examples(spark, sf),
     }
     return reports.catalog_report(tables, rows, REPORT_COLUMNS, ("product_name",))
