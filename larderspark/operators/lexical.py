@@ -20,6 +20,11 @@ from larderspark.session import cut_lineage
 # in the search text and in the label.
 PHRASE_TEXT, PHRASE_LABEL, WORD_TEXT, WORD_LABEL = 3.0, 5.0, 1.0, 2.0
 
+# A block of queries is bounded by what a task holds for it: patterns and rows.
+LEXICAL_BLOCK_BYTES = 4 * BLOCK_BYTES
+ROW_BYTES = 160
+SPARE_ROWS = 16
+
 
 @dataclass(frozen=True)
 class Columns:
@@ -107,7 +112,7 @@ def _plan(rows) -> list[tuple]:
 
 
 def _matcher(plan: list[tuple]):
-    """All phrases and words of the queries in one automaton."""
+    """One automaton of all phrases and words, and who uses each pattern."""
     import ahocorasick
 
     uses: dict[str, dict[int, list[float]]] = {}
@@ -118,21 +123,31 @@ def _matcher(plan: list[tuple]):
             entry[0] += in_text
             entry[1] += in_label
     automaton = ahocorasick.Automaton()
-    for pattern, by_query in uses.items():
-        automaton.add_word(pattern, (len(pattern), [(q, *w) for q, w in by_query.items()]))
+    for n, pattern in enumerate(uses):
+        automaton.add_word(pattern, (n, len(pattern)))
     automaton.make_automaton()
-    return automaton
+    return automaton, [[(q, *w) for q, w in by_query.items()] for by_query in uses.values()]
 
 
-def _add_matches(automaton, value: str, side: int, scores: dict[int, float]) -> None:
-    """Add the weights of all non-overlapping matches, leftmost first."""
+def _count(automaton, value: str) -> dict[int, int]:
+    """Non-overlapping occurrences per pattern, leftmost first."""
     free_from: dict[int, int] = {}
-    for end, entry in automaton.iter(value):
-        length, by_query = entry
-        if end - length + 1 >= free_from.get(id(entry), 0):
-            free_from[id(entry)] = end + 1
-            for use in by_query:
-                scores[use[0]] = scores.get(use[0], 0.0) + use[1 + side]
+    counts: dict[int, int] = {}
+    for end, (n, length) in automaton.iter(value):
+        if end - length >= free_from.get(n, -1):
+            free_from[n] = end
+            counts[n] = counts.get(n, 0) + 1
+    return counts
+
+
+def _scores(automaton, uses: list, body: str, label: str) -> dict[int, float]:
+    """Score per query: counts first, then each pattern's weights once."""
+    scores: dict[int, float] = {}
+    for side, value in ((1, body), (2, label)):
+        for n, count in _count(automaton, value).items():
+            for use in uses[n]:
+                scores[use[0]] = scores.get(use[0], 0.0) + count * use[side]
+    return scores
 
 
 def _best(rows: list[tuple], k: int) -> list[tuple]:
@@ -150,22 +165,19 @@ def _scan(plan, k: int, schema: pa.Schema):
         queries = plan.value
         if not queries:
             return
-        automaton = _matcher(queries)
+        automaton, uses = _matcher(queries)
         best: dict[int, list[tuple]] = {}
         least: dict[int, float] = {}  # k-th score so far: lower ones cannot get in
         for batch in batches:
             columns = (batch.column(n).to_pylist() for n in
                        ("product_id", "text_lower", "label_lower", "review_count", "average_score"))
             for product, body, label, reviews, rating in zip(*columns):
-                scores: dict[int, float] = {}
-                _add_matches(automaton, body, 0, scores)
-                _add_matches(automaton, label, 1, scores)
-                for q, score in scores.items():
+                for q, score in _scores(automaton, uses, body, label).items():
                     if score < least.get(q, 0.0):
                         continue
                     rows = best.setdefault(q, [])
                     rows.append((score, reviews, rating, product))
-                    if len(rows) >= 4 * k + 64:
+                    if len(rows) >= 2 * k + SPARE_ROWS:
                         best[q] = _best(rows, k)
                         least[q] = best[q][-1][0]
         out = [(query_id, *row) for q, rows in best.items()
@@ -180,7 +192,8 @@ def _scan(plan, k: int, schema: pa.Schema):
 
 
 def lexical_ranking(
-    products: DataFrame, queries: DataFrame, k: int, regex: bool = False, block_bytes: int = BLOCK_BYTES
+    products: DataFrame, queries: DataFrame, k: int, regex: bool = False,
+    block_bytes: int = LEXICAL_BLOCK_BYTES,
 ) -> DataFrame:
     """The best ``k`` products per query: score, reviews, rating, then id.
 
@@ -190,7 +203,8 @@ def lexical_ranking(
     ``regex=True`` has to try every query on every text.
     """
     terms = query_terms(queries)
-    size = F.octet_length("phrase") + F.octet_length(F.array_join("terms", " ")) + 64
+    held = (2 * k + SPARE_ROWS) * ROW_BYTES
+    size = F.octet_length("phrase") + F.octet_length(F.array_join("terms", " ")) + 64 + held
     blocks = bounded_blocks(terms, "query_id", size, block_bytes)
     schema = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),

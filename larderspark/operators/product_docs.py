@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larderspark.functions import numeric, text
@@ -26,7 +26,7 @@ def review_samples(cleaned: DataFrame) -> DataFrame:
     )
     rows = cleaned.select(
         "ProductId", "HelpfulnessDenominator", "HelpfulnessNumerator", "Score", "text_length", "Id",
-        F.explode(F.filter(kinds, lambda k: k["value"] != "")).alias("sample"),
+        F.explode_outer(F.filter(kinds, lambda k: k["value"] != "")).alias("sample"),
     ).select("*", "sample.kind", "sample.value").drop("sample")
     best = Window.partitionBy("ProductId", "kind").orderBy(
         F.desc_nulls_first("HelpfulnessDenominator"),
@@ -101,28 +101,21 @@ def product_documents_basic(cleaned: DataFrame) -> DataFrame:
         numeric.round_even(F.avg("HelpfulnessNumerator"), 2).alias("helpfulness_moy"),
     )
     by_id = Window.partitionBy("ProductId").orderBy("Id")
-    samples = (
-        cleaned.select("ProductId", "Id", F.substring("Summary", 1, BASIC_CHARS).alias("title"), "Text")
-        .withColumn("rank", F.row_number().over(by_id))
-        .filter(F.col("rank") <= titles_bound)
-        .withColumn("Text", F.when(F.col("rank") <= BASIC_EXCERPTS, F.col("Text")))
-        .groupBy("ProductId")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("rank", "title"))).alias("titles"),
-            F.array_sort(
-                F.collect_list(F.when(F.col("Text").isNotNull(), F.struct("rank", "Text")))
-            ).alias("texts"),
-        )
-        .select(
-            "ProductId",
-            F.array_join(F.transform("titles", lambda x: x["title"]), " | ").alias("titles"),
-            F.transform("texts", lambda x: x["Text"]).alias("extraits_utiles"),
-        )
-    )
+
+    def first(value: Column, n: int, name: str) -> DataFrame:
+        rows = cleaned.select("ProductId", "Id", value.alias("value")).withColumn(
+            "rank", F.row_number().over(by_id)).filter(F.col("rank") <= n)
+        ordered = F.array_sort(F.collect_list(F.struct("rank", "value")))
+        return rows.groupBy("ProductId").agg(F.transform(ordered, lambda x: x["value"]).alias(name))
+
+    # two narrow passes: whole texts travel only for the few excerpts
+    titles = first(F.substring("Summary", 1, BASIC_CHARS), titles_bound, "titles")
+    excerpts = first(F.col("Text"), BASIC_EXCERPTS, "extraits_utiles")
     evidence = F.concat(
-        "titles", F.lit(" . "), F.array_join(F.slice("extraits_utiles", 1, BASIC_REVIEWS), " ")
+        F.array_join("titles", " | "), F.lit(" . "),
+        F.array_join(F.slice("extraits_utiles", 1, BASIC_REVIEWS), " "),
     )
-    return totals.join(samples, "ProductId").select(
+    return totals.join(titles, "ProductId").join(excerpts, "ProductId").select(
         F.col("ProductId").alias("product_id"), "note_moyenne", "nb_avis", "helpfulness_moy",
         text.truncate(evidence, BASIC_CHARS).alias("texte_recherche"), "extraits_utiles",
     )

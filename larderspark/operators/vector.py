@@ -16,12 +16,13 @@ from larderspark.functions import ids, numeric, vectors
 from larderspark.functions.payload import payload_json
 from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks
 from larderspark.operators.ranking import top_k
-from larderspark.session import cut_lineage
+from larderspark.session import checkpoint_root, cut_lineage
 
 # Cosines are compared at this precision, so equal vectors tie whatever the
 # order of additions was.
 DIGITS = 12
-CELLS = 4_000_000
+CELLS = 4_000_000  # scores of one step of a matrix product
+ROW_BYTES = 160  # one kept result row
 
 
 def dimension(df: DataFrame, vector: str = "embedding") -> int:
@@ -58,7 +59,8 @@ def sequential_ids(df: DataFrame, order: str, name: str = "point_id") -> DataFra
     Rows are range-partitioned and stored; each partition then starts at the
     number of rows before it.
     """
-    spread = cut_lineage(df.repartitionByRange(order).sortWithinPartitions(order))
+    checkpoint_root(df.sparkSession)
+    spread = df.repartitionByRange(order).sortWithinPartitions(order).checkpoint()
     numbered = spread.withColumn("_part", F.spark_partition_id()).withColumn(
         "_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
@@ -184,7 +186,8 @@ def vector_ranking(points: DataFrame, queries: DataFrame, k: int, block_bytes: i
         F.col("embedding").cast("array<float>").alias("embedding"),
         optional("review_count", "bigint"), optional("average_score", "double"))
     usable = usable_queries(queries)
-    blocks = bounded_blocks(usable, "query_id", F.size("vector") * 8 + 64, block_bytes)
+    size = F.size("vector") * 8 + 64 + k * ROW_BYTES
+    blocks = bounded_blocks(usable, "query_id", size, block_bytes)
     schema = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField("product_id", T.StringType()), T.StructField("cosine", T.DoubleType()),

@@ -25,7 +25,10 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return product_docs.product_documents(cleaned(spark, sf))
+    """Documents read the cleaned table twice, so it is stored first."""
+    used = ("Id", "ProductId", "HelpfulnessNumerator", "HelpfulnessDenominator", "Score",
+            "Summary", "Text", "review_timestamp", "text_length")
+    return product_docs.product_documents(cut_lineage(cleaned(spark, sf).select(*used), "cleaned"))
 
 
 def flat(df: DataFrame) -> DataFrame:
@@ -97,7 +100,8 @@ def product_documents(spark, sf):
 
 
 def product_documents_basic(spark, sf):
-    return flat(product_docs.product_documents_basic(reviews.clean_reviews_basic(raw(spark, sf))))
+    kept = cut_lineage(reviews.clean_reviews_basic(raw(spark, sf)), "cleaned")
+    return flat(product_docs.product_documents_basic(kept))
 
 
 def quality_report(spark, sf):

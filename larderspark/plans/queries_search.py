@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import ids, numeric, text, vectors
 from larderspark.operators import (
-    embedding, enrich, evaluation, hybrid, lexical, lsh, ranking, summaries, vector,
+    embedding, enrich, evaluation, hybrid, lexical, lsh, product_docs, ranking, reviews, summaries, vector,
 )
 from larderspark.plans import fixtures, queries_catalog, queries_reviews
 from larderspark.plans.queries_reviews import flat
@@ -143,8 +143,8 @@ def vector_index_build(spark, sf):
 
 def vector_index_basic(spark, sf):
     """Older index form of the older documents, with hashed vectors."""
-    docs = queries_reviews.product_docs.product_documents_basic(
-        queries_reviews.reviews.clean_reviews_basic(queries_reviews.raw(spark, sf)))
+    docs = product_docs.product_documents_basic(
+        cut_lineage(reviews.clean_reviews_basic(queries_reviews.raw(spark, sf)), "cleaned"))
     embedded = embedding.embed_native(
         docs, "product_id", F.col("texte_recherche"), 64,
         keep=["note_moyenne", "nb_avis", "texte_recherche", "extraits_utiles"])
@@ -166,7 +166,8 @@ def embed_input(spark, sf):
 
 
 def nonzero(df, key):
-    return df.select(key, F.posexplode("embedding").alias("pos", "x")).filter("x > 0").select(
+    # the outer form: the inner one would compute the vector again to test its size
+    return df.select(key, F.posexplode_outer("embedding").alias("pos", "x")).filter("x > 0").select(
         key, "pos", numeric.round_even(F.col("x").cast("double"), 5).alias("x"))
 
 
@@ -222,8 +223,8 @@ def indexed_products(spark, sf):
 
 # --- hybrid search --------------------------------------------------------
 
-def search_records(spark, sf, mixed: bool):
-    docs = documents(spark, sf)
+def search_records(spark, sf, mixed: bool, docs=None):
+    docs = documents(spark, sf) if docs is None else docs
     asked = embedding.embed_queries(queries(spark, sf))
     if mixed:  # keyword mode and queries whose embedding failed
         asked = asked.withColumn(
@@ -307,9 +308,8 @@ def summary_prompt(spark, sf):
 
 # --- evaluation -----------------------------------------------------------
 
-def judged_keyword(spark, sf):
-    docs = documents(spark, sf)
-    products = lexical.search_ready(docs)
+def judged_keyword(spark, sf, docs=None):
+    products = lexical.search_ready(documents(spark, sf) if docs is None else docs)
     asked = benchmark(spark, sf)
     rows = hybrid.keyword_search(products, asked, K)
     n = asked.count() * K
@@ -321,16 +321,16 @@ def eval_relevance(spark, sf):
     return judged.select("query_id", "rank", "product_id", F.col("relevant").cast("int").alias("relevant"))
 
 
-def keyword_metrics(spark, sf):
-    return evaluation.metrics(*judged_keyword(spark, sf))
+def keyword_metrics(spark, sf, docs=None):
+    return evaluation.metrics(*judged_keyword(spark, sf, docs))
 
 
 def eval_summary(spark, sf):
     return evaluation.summarize(keyword_metrics(spark, sf)).drop("avg_search_time_ms")
 
 
-def hybrid_metrics(spark, sf):
-    docs, asked, stored = search_records(spark, sf, False)
+def hybrid_metrics(spark, sf, docs=None):
+    docs, asked, stored = search_records(spark, sf, False, docs)
     products = lexical.search_ready(docs)
     plan, rows = hybrid.ranked_rows(products, asked, stored)
     groups = benchmark(spark, sf)
@@ -341,8 +341,9 @@ def hybrid_metrics(spark, sf):
 
 
 def eval_compare(spark, sf):
+    docs = documents(spark, sf)
     return evaluation.compare({
-        "keyword": keyword_metrics(spark, sf), "semantic": hybrid_metrics(spark, sf),
+        "keyword": keyword_metrics(spark, sf, docs), "semantic": hybrid_metrics(spark, sf, docs),
     }).drop("avg_search_time_ms")
 
 
