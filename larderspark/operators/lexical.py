@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -87,15 +88,6 @@ def lexical_score(body: Column, label: Column, phrase: Column, terms: Column) ->
     return count(body, phrase) * PHRASE_TEXT + count(label, phrase) * PHRASE_LABEL + words
 
 
-def regex_score(body: Column, label: Column, phrase: Column, terms: Column) -> Column:
-    """The same with query and words taken as regular expressions."""
-    words = F.aggregate(
-        terms, F.lit(0.0),
-        lambda acc, t: acc + F.regexp_count(body, t) * WORD_TEXT + F.regexp_count(label, t) * WORD_LABEL)
-    return (F.regexp_count(body, phrase) * PHRASE_TEXT
-            + F.regexp_count(label, phrase) * PHRASE_LABEL + words)
-
-
 ORDER = (F.desc, "lexical_score"), (F.desc, "review_count"), (F.desc, "average_score"), (F.asc, "product_id")
 
 
@@ -111,10 +103,8 @@ def _plan(rows) -> list[tuple]:
     return list(plan.values())
 
 
-def _matcher(plan: list[tuple]):
-    """One automaton of all phrases and words, and who uses each pattern."""
-    import ahocorasick
-
+def _uses(plan: list[tuple]) -> dict[str, list[tuple]]:
+    """Every phrase and word, with (query, weight in text, weight in label)."""
     uses: dict[str, dict[int, list[float]]] = {}
     for q, (_, phrase, terms) in enumerate(plan):
         weights = [(phrase, PHRASE_TEXT, PHRASE_LABEL)] + [(t, WORD_TEXT, WORD_LABEL) for t in terms]
@@ -122,31 +112,48 @@ def _matcher(plan: list[tuple]):
             entry = uses.setdefault(pattern, {}).setdefault(q, [0.0, 0.0])
             entry[0] += in_text
             entry[1] += in_label
+    return {p: [(q, *w) for q, w in by_query.items()] for p, by_query in uses.items()}
+
+
+def _literal_counter(patterns: list[str]) -> Callable[[str], dict[int, int]]:
+    """Non-overlapping occurrences per pattern, leftmost first, in one walk."""
+    import ahocorasick
+
     automaton = ahocorasick.Automaton()
-    for n, pattern in enumerate(uses):
+    for n, pattern in enumerate(patterns):
         automaton.add_word(pattern, (n, len(pattern)))
     automaton.make_automaton()
-    return automaton, [[(q, *w) for q, w in by_query.items()] for by_query in uses.values()]
 
+    def count(value: str) -> dict[int, int]:
+        free_from: dict[int, int] = {}
+        counts: dict[int, int] = {}
+        for end, (n, length) in automaton.iter(value):
+            if end - length >= free_from.get(n, -1):
+                free_from[n] = end
+                counts[n] = counts.get(n, 0) + 1
+        return counts
+
+    return count
+
+
+def _regex_counter(patterns: list[str]) -> Callable[[str], dict[int, int]]:
+    """Matches per pattern; an invalid pattern is an error."""
+    compiled = [re.compile(p) for p in patterns]
+
+    def count(value: str) -> dict[int, int]:
+        found = ((n, sum(1 for _ in p.finditer(value))) for n, p in enumerate(compiled))
+        return {n: times for n, times in found if times}
 
-def _count(automaton, value: str) -> dict[int, int]:
-    """Non-overlapping occurrences per pattern, leftmost first."""
-    free_from: dict[int, int] = {}
-    counts: dict[int, int] = {}
-    for end, (n, length) in automaton.iter(value):
-        if end - length >= free_from.get(n, -1):
-            free_from[n] = end
-            counts[n] = counts.get(n, 0) + 1
-    return counts
+    return count
 
 
-def _scores(automaton, uses: list, body: str, label: str) -> dict[int, float]:
+def _scores(count: Callable[[str], dict[int, int]], uses: list, body: str, label: str) -> dict[int, float]:
     """Score per query: counts first, then each pattern's weights once."""
     scores: dict[int, float] = {}
     for side, value in ((1, body), (2, label)):
-        for n, count in _count(automaton, value).items():
+        for n, times in count(value).items():
             for use in uses[n]:
-                scores[use[0]] = scores.get(use[0], 0.0) + count * use[side]
+                scores[use[0]] = scores.get(use[0], 0.0) + times * use[side]
     return scores
 
 
@@ -155,7 +162,7 @@ def _best(rows: list[tuple], k: int) -> list[tuple]:
     return rows[:k]
 
 
-def _scan(plan, k: int, schema: pa.Schema):
+def _scan(plan, k: int, schema: pa.Schema, regex: bool):
     """mapInArrow function: the best ``k`` documents per query of one partition.
 
     Each text is read once whatever the number of queries, and only the
@@ -165,14 +172,16 @@ def _scan(plan, k: int, schema: pa.Schema):
         queries = plan.value
         if not queries:
             return
-        automaton, uses = _matcher(queries)
+        patterns = _uses(queries)
+        uses = list(patterns.values())
+        count = (_regex_counter if regex else _literal_counter)(list(patterns))
         best: dict[int, list[tuple]] = {}
         least: dict[int, float] = {}  # k-th score so far: lower ones cannot get in
         for batch in batches:
             columns = (batch.column(n).to_pylist() for n in
                        ("product_id", "text_lower", "label_lower", "review_count", "average_score"))
             for product, body, label, reviews, rating in zip(*columns):
-                for q, score in _scores(automaton, uses, body, label).items():
+                for q, score in _scores(count, uses, body, label).items():
                     if score < least.get(q, 0.0):
                         continue
                     rows = best.setdefault(q, [])
@@ -211,8 +220,7 @@ def lexical_ranking(
         T.StructField("product_id", T.StringType()), T.StructField("lexical_score", T.DoubleType()),
         T.StructField("review_count", T.LongType()), T.StructField("average_score", T.DoubleType()),
     ])
-    score_block = _regex_block if regex else _literal_block
-    results = [score_block(products, block, k, schema) for block in blocks]
+    results = [_rank_block(products, block, k, schema, regex) for block in blocks]
     if len(results) > 1:  # one pass per block; each is stored before the next
         results = [cut_lineage(r) for r in results]
     ranked = results[0]
@@ -221,21 +229,10 @@ def lexical_ranking(
     return ranked
 
 
-def _literal_block(products: DataFrame, block: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+def _rank_block(products: DataFrame, block: DataFrame, k: int, schema: T.StructType, regex: bool) -> DataFrame:
     spark = products.sparkSession
     plan = spark.sparkContext.broadcast(_plan(block.collect()))  # size checked
     arrow = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
     narrow = products.select("product_id", "text_lower", "label_lower", "review_count", "average_score")
-    return top_k(narrow.mapInArrow(_scan(plan, k, arrow), schema), ["query_id"], ranking_order(), k)
-
-
-def _regex_block(products: DataFrame, block: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    plan = block.agg(F.collect_list(F.struct("query_id", "phrase", "terms"))).scalar()  # size checked
-    hits = F.filter(
-        F.transform(plan, lambda q: F.struct(
-            q["query_id"].alias("query_id"),
-            regex_score(F.col("text_lower"), F.col("label_lower"), q["phrase"], q["terms"])
-            .alias("lexical_score"))),
-        lambda h: h["lexical_score"] > 0)
-    scored = products.select("product_id", "review_count", "average_score", F.inline(hits))
-    return top_k(scored.select(*schema.names), ["query_id"], ranking_order(), k)
+    found = narrow.mapInArrow(_scan(plan, k, arrow, regex), schema)
+    return top_k(found, ["query_id"], ranking_order(), k)

@@ -91,10 +91,10 @@ def product_documents_basic(cleaned: DataFrame) -> DataFrame:
     """Older document: all titles then three reviews, cut to 2000 characters.
 
     Only the first 2000 characters survive and each title takes at least the
-    three characters of its separator, so no more than 667 titles can show:
+    three characters of its separator, so no more than 668 titles can show:
     ranking to that bound per product is exact and keeps groups small.
     """
-    titles_bound = BASIC_CHARS // 3 + 1
+    titles_bound = -(-BASIC_CHARS // 3) + 1
     totals = cleaned.groupBy("ProductId").agg(
         numeric.round_even(F.avg("Score"), 2).alias("note_moyenne"),
         F.count("Score").alias("nb_avis"),
