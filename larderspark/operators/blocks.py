@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 64 * 1024 * 1024
-BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 128 * 1024 * 1024
+ID_ROW_BYTES = 64  # a row of one or two ids and numbers
 
 
 def bounded_blocks(df: DataFrame, key: str, size: Column, limit: int = BLOCK_BYTES) -> list[DataFrame]:
@@ -36,9 +37,10 @@ def bounded_blocks(df: DataFrame, key: str, size: Column, limit: int = BLOCK_BYT
         n *= 2
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast hint if the known number of (narrow) rows is within the bound.
+def small(df: DataFrame, rows: int, row_bytes: int = ID_ROW_BYTES) -> DataFrame:
+    """Broadcast hint if the known number of rows is within the byte bound.
 
     Beyond it Spark plans a shuffled join and splits skewed keys at run time.
+    Only for frames of ids: ``row_bytes`` says how wide a row can be.
     """
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df

@@ -78,9 +78,10 @@ def hybrid_rows(
                            F.col("vector").cast("array<double>").alias("vector"), "top_k")
 
     meta = _details(products, candidates, rows)
-    missing = candidates.filter(F.col("cosine").isNull()).select("query_id", "product_id").join(
-        small(asked.select("query_id", "vector"), n_queries), "query_id")
-    backfill = points.select("product_id", "embedding").join(small(missing, rows), "product_id").select(
+    # ids find the vectors where they are; the query vectors meet only those few
+    missing = candidates.filter(F.col("cosine").isNull()).select("query_id", "product_id")
+    found = points.select("product_id", "embedding").join(small(missing, rows), "product_id")
+    backfill = found.join(asked.select("query_id", "vector"), "query_id").select(
         "query_id", "product_id",
         numeric.round_even(vectors.cosine(F.col("embedding"), F.col("vector")), DIGITS)
         .alias("filled"))
@@ -166,16 +167,18 @@ def ranked_rows(products: DataFrame, queries: DataFrame, points: DataFrame | Non
 
 
 def search(products: DataFrame, queries: DataFrame, points: DataFrame | None = None,
-           weights: Weights = Weights()) -> DataFrame:
+           weights: Weights = Weights(), all_indexed: bool = False) -> DataFrame:
     """Result records of every query, with the strategy that was used.
 
     ``products`` from ``search_ready``; ``queries``: query_id, query and
     optionally vector, mode, top_k, min_score; ``points``: product_id,
-    embedding, review_count, average_score.
+    embedding, review_count, average_score. Only products with a vector are
+    searched. Set ``all_indexed`` when both come from one table of documents
+    with their vectors: it saves the join of two large tables.
     """
     if points is None:
         queries = queries.drop("vector")
-    else:
+    elif not all_indexed:
         products = lexical.indexed_products(products, points)
     plan, rows = ranked_rows(products, queries, points, weights)
     return enrich.result_columns(rows).join(

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderspark.functions import numeric, vectors
-from larderspark.operators.blocks import small
+from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks
 from larderspark.operators.ranking import top_k
 from larderspark.operators.vector import DIGITS, ranking_order, usable_queries
+from larderspark.session import cut_lineage
 
 TABLES, BITS, SEED = 10, 7, 17
+PROBE_BYTES = 40  # one broadcast (query, table, signature) row
 
 
 def _codes(tables: int, bits: int, seed: int):
@@ -41,39 +45,53 @@ def _probes(codes: Column, bits: int) -> Column:
 
 
 def ann_ranking(index: DataFrame, queries: DataFrame, k: int, tables: int = TABLES, bits: int = BITS,
-                seed: int = SEED) -> DataFrame:
+                seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The best ``k`` candidates per query by exact cosine.
 
     Candidates share a signature (or one sign apart) in some table: an equi
-    join on (table, signature). A pair is scored only at its first common
-    table, which removes doubles without a shuffle. The query side is
-    broadcast when its counted rows are within the bound; the point side then
-    stays where it is, however full one signature may be.
+    join on (table, signature). The query side goes out in blocks of a checked
+    size, so the points stay where they are, however full one signature is.
     """
-    usable = with_codes(usable_queries(queries), "vector", tables, bits, seed).withColumn(
-        "query_norm", vectors.norm(F.col("vector")))
-    rows = usable.count() * tables * (bits + 1)
-    probes = usable.withColumn("probes", _probes(F.col("codes"), bits)).drop("codes")
-    probes = probes.select("*", F.posexplode("probes").alias("table", "near")).select(
-        "query_id", "vector", "query_norm", "min_score", "probes", "table", F.explode("near").alias("code"))
+    usable = usable_queries(queries)
+    size = F.size("vector") * 8 + tables * (bits + 1) * PROBE_BYTES + 64
+    blocks = bounded_blocks(usable, "query_id", size, block_bytes)
+    results = [_rank_block(index, with_codes(b, "vector", tables, bits, seed), k, bits) for b in blocks]
+    if len(results) > 1:  # one pass per block; each is stored before the next
+        results = [cut_lineage(r) for r in results]
+    return reduce(DataFrame.unionByName, results)
+
+
+def _rank_block(index: DataFrame, coded: DataFrame, k: int, bits: int) -> DataFrame:
+    """Ids meet on the signature; vector and probes are added per query.
+
+    A pair is scored only at its first common table, which removes doubles
+    without a shuffle.
+    """
+    asked = coded.select(
+        "query_id", "vector", "min_score", vectors.norm(F.col("vector")).alias("query_norm"),
+        _probes(F.col("codes"), bits).alias("probes"))
+    near = asked.select("query_id", F.posexplode("probes").alias("table", "near")).select(
+        "query_id", "table", F.explode("near").alias("code"))
     points = index.select("*", F.posexplode("codes").alias("table", "code"))
     first_common = F.array_position(
         F.zip_with("probes", "codes", lambda p, c: F.array_contains(p, c)), True) - 1
     norm = F.col("norm") if "norm" in index.columns else None
     cosine = numeric.round_even(vectors.cosine(
         F.col("embedding"), F.col("vector"), norm, F.col("query_norm")), DIGITS)
+
+    def optional(name: str, kind: str) -> Column:
+        value = F.col(name).cast(kind) if name in index.columns else F.lit(None).cast(kind)
+        return F.coalesce(value, F.lit(0).cast(kind)).alias(name)
+
     pairs = (
-        points.join(small(probes, rows * 4), ["table", "code"])
+        points.join(F.broadcast(near), ["table", "code"])  # size checked
+        .join(F.broadcast(asked), "query_id")  # size checked
         .filter(first_common == F.col("table"))
         .withColumn("cosine", cosine)
         .filter(F.col("cosine").isNotNull()
                 & (F.col("min_score").isNull() | (F.col("cosine") >= F.col("min_score"))))
-        .select(
-            "query_id", F.col("product_id").cast("string").alias("product_id"), "cosine",
-            F.lit(0).cast("bigint").alias("review_count") if "review_count" not in index.columns
-            else "review_count",
-            F.lit(0.0).alias("average_score") if "average_score" not in index.columns
-            else "average_score")
+        .select("query_id", F.col("product_id").cast("string").alias("product_id"), "cosine",
+                optional("review_count", "bigint"), optional("average_score", "double"))
     )
     return top_k(pairs, ["query_id"], ranking_order(), k)
 

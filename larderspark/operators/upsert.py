@@ -39,24 +39,30 @@ def upsert_partial(
     """Existing rows take only the ``update`` columns; new rows take everything.
 
     ``refresh`` gives columns that are set on every inserted or updated row,
-    such as a time stamp.
+    such as a time stamp. ``source`` has one row per key. For a small source
+    the base is read once without a shuffle, and once more for its keys only.
     """
-    refresh = dict(refresh or {})
-    keys = list(keys)
-    old = base.withColumn("_in_base", F.lit(True)).alias("b")
+    refresh, keys = dict(refresh or {}), list(keys)
     new = source.withColumn("_in_source", F.lit(True)).alias("s")
-    joined = old.join(new, keys, "full_outer")
+    joined = base.alias("b").join(new, keys, "left")
     touched = F.col("s._in_source").isNotNull()
-    inserted = F.col("b._in_base").isNull()
 
-    def value(c: str) -> Column:
+    def updated(c: str) -> Column:
         if c in keys:
             return F.col(c)
         if c in refresh:
             return F.when(touched, refresh[c]).otherwise(F.col(f"b.{c}")).alias(c)
-        if c not in source.columns:
-            return F.col(f"b.{c}")
-        take = touched if c in update else inserted
-        return F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
+        if c in update and c in source.columns:
+            return F.when(touched, F.col(f"s.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
+        return F.col(f"b.{c}")
 
-    return joined.select(*[value(c) for c in base.columns])
+    def inserted(c: str) -> Column:
+        if c in refresh:
+            return refresh[c].alias(c)
+        if c in source.columns:
+            return F.col(c)
+        return F.lit(None).cast(base.schema[c].dataType).alias(c)
+
+    added = source.join(base.select(*keys), keys, "left_anti")
+    return joined.select(*[updated(c) for c in base.columns]).unionByName(
+        added.select(*[inserted(c) for c in base.columns]))

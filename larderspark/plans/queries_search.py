@@ -30,10 +30,15 @@ def benchmark(spark: SparkSession, sf: str) -> DataFrame:
     return queries(spark, sf).select("query_id", "query", "top_k", groups.alias("positive_groups"))
 
 
-def points(docs: DataFrame) -> DataFrame:
-    """Vectors of product documents by the built-in encoder."""
+def with_vectors(docs: DataFrame) -> DataFrame:
+    """Documents and their vectors by the built-in encoder, as one stored table."""
     value = embedding.document_input(F.col("search_text"))
-    return embedding.embed_native(docs, "ProductId", value, keep=["review_count", "average_score"]).select(
+    return cut_lineage(embedding.embed_native(
+        docs, "ProductId", value, keep=[c for c in docs.columns if c != "ProductId"]))
+
+
+def points(table: DataFrame) -> DataFrame:
+    return table.select(
         F.col("ProductId").alias("product_id"), "embedding", "review_count",
         F.col("average_score").cast("double").alias("average_score"))
 
@@ -223,32 +228,32 @@ def indexed_products(spark, sf):
 
 # --- hybrid search --------------------------------------------------------
 
-def search_records(spark, sf, mixed: bool, docs=None):
-    docs = documents(spark, sf) if docs is None else docs
+def search_inputs(spark, sf, mixed: bool, docs=None):
+    """Products, queries with vectors, points; products and points are one table."""
+    table = with_vectors(queries_reviews.documents(spark, sf) if docs is None else docs)
     asked = embedding.embed_queries(queries(spark, sf))
     if mixed:  # keyword mode and queries whose embedding failed
         asked = asked.withColumn(
             "mode", F.when(F.col("query_id") % 3 == 0, F.lit("keyword")).otherwise(F.lit("semantic"))
         ).withColumn("vector", F.when(F.col("query_id") % 5 != 0, F.col("vector")))
-    return docs, asked, cut_lineage(points(docs))
+    return lexical.search_ready(table), asked, points(table)
 
 
 def hybrid_search(spark, sf):
-    docs, asked, stored = search_records(spark, sf, False)
-    rows = hybrid.search(lexical.search_ready(docs), asked, stored)
+    products, asked, stored = search_inputs(spark, sf, False)
+    rows = hybrid.search(products, asked, stored, all_indexed=True)
     return rows.select(
         "query_id", "rank", "product_id", "title", "score", "avg_rating", "nb_reviews",
         six("semantic_similarity"), "vector_angle_degrees", "relevance_percent", "strategy")
 
 
 def search_results(spark, sf):
-    docs, asked, stored = search_records(spark, sf, True)
-    return flat(hybrid.search(lexical.search_ready(docs), asked, stored)).drop("semantic_similarity")
+    products, asked, stored = search_inputs(spark, sf, True)
+    return flat(hybrid.search(products, asked, stored)).drop("semantic_similarity")
 
 
 def search_strategy(spark, sf):
-    docs, asked, stored = search_records(spark, sf, True)
-    products = lexical.search_ready(docs)
+    products, asked, stored = search_inputs(spark, sf, True)
     plan, rows = hybrid.ranked_rows(products, asked, stored)
     return hybrid.search_summary(plan, rows, stored.count())
 
@@ -330,8 +335,7 @@ def eval_summary(spark, sf):
 
 
 def hybrid_metrics(spark, sf, docs=None):
-    docs, asked, stored = search_records(spark, sf, False, docs)
-    products = lexical.search_ready(docs)
+    products, asked, stored = search_inputs(spark, sf, False, docs)
     plan, rows = hybrid.ranked_rows(products, asked, stored)
     groups = benchmark(spark, sf)
     titled = rows.withColumn("title", enrich.title(F.col("label_hint"), F.col("product_id")))
@@ -348,7 +352,9 @@ def eval_compare(spark, sf):
 
 
 def eval_strategies(spark, sf):
-    docs, asked, stored = search_records(spark, sf, True)
+    asked = embedding.embed_queries(queries(spark, sf)).withColumn(
+        "mode", F.when(F.col("query_id") % 3 == 0, F.lit("keyword")).otherwise(F.lit("semantic"))
+    ).withColumn("vector", F.when(F.col("query_id") % 5 != 0, F.col("vector")))
     return evaluation.strategy_counts(hybrid.with_strategy(asked))
 
 

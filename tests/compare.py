@@ -58,10 +58,12 @@ def type_differences(schema, description):
     return [(n, have[n], want[n]) for n in have if want.get(n) != have[n]]
 
 
-def compare(spark, con, key, sf_dir):
+def compare(spark, con, key, sf_dir, inspect=None):
     """'' when equal, else what differs; plus seconds and row count."""
     started = time.time()
     df = entrypoint.queries()[key](spark, sf_dir)
+    if inspect is not None:
+        inspect(df)
     names, rows = table_rows(df.columns, df.collect())
     seconds = time.time() - started
     sql = entrypoint.oracle_sql().get(key)
