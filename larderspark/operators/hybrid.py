@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,7 @@ from larderspark.operators.ranking import top_k
 from larderspark.operators.vector import DIGITS, usable_queries, vector_ranking
 from larderspark.session import cut_lineage
 
+Ranker = Callable[[DataFrame, DataFrame, int], DataFrame]
 MAX_TOP_K = 10
 WARNING = "Semantic search temporarily unavailable; lexical fallback used."
 KEYWORD, HYBRID, FALLBACK = "keyword_only", "semantic_hybrid", "lexical_fallback"
@@ -148,8 +150,12 @@ def with_strategy(queries: DataFrame, default_k: int = MAX_TOP_K) -> DataFrame:
 
 
 def ranked_rows(products: DataFrame, queries: DataFrame, points: DataFrame | None = None,
-                weights: Weights = Weights()) -> tuple[DataFrame, DataFrame]:
-    """(strategies, ranked rows) of a query table under one row contract."""
+                weights: Weights = Weights(), ranker: Ranker = vector_ranking) -> tuple[DataFrame, DataFrame]:
+    """(strategies, ranked rows) of a query table under one row contract.
+
+    ``ranker`` finds the vector candidates: exact, or ``lsh.ann_ranking`` when
+    ``points`` carry signatures.
+    """
     plan = cut_lineage(with_strategy(queries))
     n = plan.count()
     lexical_hits = cut_lineage(lexical.lexical_ranking(products, plan, weights.pool))
@@ -159,7 +165,7 @@ def ranked_rows(products: DataFrame, queries: DataFrame, points: DataFrame | Non
     rows = keyword_rows(by_words, products, n * weights.pool)
     if points is not None:
         semantic = plan.filter(F.col("strategy") == HYBRID)
-        semantic_hits = vector_ranking(points, semantic, weights.pool)
+        semantic_hits = ranker(points, semantic, weights.pool)
         words = lexical_hits.join(semantic.select("query_id"), "query_id", "left_semi")
         rows = rows.unionByName(
             hybrid_rows(products, points, semantic, words, semantic_hits, n, weights))
@@ -167,7 +173,8 @@ def ranked_rows(products: DataFrame, queries: DataFrame, points: DataFrame | Non
 
 
 def search(products: DataFrame, queries: DataFrame, points: DataFrame | None = None,
-           weights: Weights = Weights(), all_indexed: bool = False) -> DataFrame:
+           weights: Weights = Weights(), all_indexed: bool = False,
+           ranker: Ranker = vector_ranking) -> DataFrame:
     """Result records of every query, with the strategy that was used.
 
     ``products`` from ``search_ready``; ``queries``: query_id, query and
@@ -180,7 +187,7 @@ def search(products: DataFrame, queries: DataFrame, points: DataFrame | None = N
         queries = queries.drop("vector")
     elif not all_indexed:
         products = lexical.indexed_products(products, points)
-    plan, rows = ranked_rows(products, queries, points, weights)
+    plan, rows = ranked_rows(products, queries, points, weights, ranker)
     return enrich.result_columns(rows).join(
         plan.select("query_id", "strategy", "warning"), "query_id")
 

@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 from larderspark import schemas
 from larderspark.operators import catalog, ledger, master, nutrition, quality
 from larderspark.operators.upsert import last_wins, upsert
+from larderspark.session import cut_lineage
 from larderspark.sources import readers, writers
 
 
 def load(df: DataFrame, path: str, keys: list[str]) -> int:
-    """Upsert into a versioned table; the row count of the source is returned."""
+    """Upsert into a versioned table; the row count of the source is returned.
+
+    The source is stored first: it is computed once and its size is known, so
+    a small one is broadcast and the table is not shuffled.
+    """
+    source = cut_lineage(df)
     base = writers.read_versioned(df.sparkSession, path)
-    writers.write_versioned(df if base is None else upsert(base, df, keys), path)
-    return df.count()
+    writers.write_versioned(source if base is None else upsert(base, source, keys), path)
+    return source.count()
 
 
 def import_nutrition(spark: SparkSession, directory: str, warehouse: str) -> int:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,18 +50,24 @@ def write_review_outputs(raw: DataFrame, out: str, mode: str = "overwrite") -> d
     return paths
 
 
+def _read_artefact(spark: SparkSession, path: str) -> DataFrame:
+    if path.endswith(".csv"):
+        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    return spark.read.json(path) if path.endswith(".json") else spark.read.parquet(path)
+
+
 def artefact_list(spark: SparkSession, paths: Mapping[str, str | None]) -> DataFrame:
-    """Which artefacts exist and how many rows each of them has."""
+    """Which artefacts exist, and how many rows each of them has."""
     frames = []
     for name, path in paths.items():
-        if path is None:
-            continue
-        reader = {"csv": lambda p: spark.read.option("header", True).option("multiLine", True)
-                  .option("escape", '"').csv(p), "json": spark.read.json}.get(
-                      path.rsplit(".", 1)[-1], spark.read.parquet)
-        frames.append(reader(path).agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("artefact"), F.lit(True).alias("exists"), "rows"))
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+        try:
+            found = None if path is None else _read_artefact(spark, path)
+        except AnalysisException:
+            found = None
+        if found is None:
+            rows = spark.createDataFrame([(None,)], "rows bigint")
+        else:
+            rows = found.agg(F.count(F.lit(1)).alias("rows"))
+        frames.append(rows.select(
+            F.lit(name).alias("artefact"), F.lit(found is not None).alias("exists"), "rows"))
+    return reduce(DataFrame.unionByName, frames)

@@ -49,8 +49,9 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's part of the shared checkpoint folder."""
+    root = checkpoint_root(spark).rstrip("/")
+    return f"{root}/larder-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

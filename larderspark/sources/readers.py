@@ -14,10 +14,14 @@ from larderspark.functions import text
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """Review CSV with the declared schema, quoted fields may span lines."""
+    """Review CSV with the declared schema, quoted fields may span lines.
+
+    A header that does not name these columns in this order is an error.
+    """
     return (
         spark.read.schema(schemas.REVIEWS)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", True)
@@ -32,17 +36,17 @@ def read_reviews_tolerant(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_nutrition(spark: SparkSession, directory: str, name: str) -> DataFrame:
-    """One nutrition CSV as text columns; a missing file is an error."""
-    columns = schemas.NUTRITION_FILES[name]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    """One nutrition CSV as text columns; a missing file is an error.
+
+    Columns are taken by header name, so other columns and orders are fine.
+    """
     return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
+        spark.read.option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(f"{directory.rstrip('/')}/{name}.csv")
+        .select(*schemas.NUTRITION_FILES[name])
     )
 
 

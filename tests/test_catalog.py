@@ -160,17 +160,17 @@ def test_jobs_end_to_end(spark, tmp_path):
         "food": "fdc_id,data_type,description,food_category_id,publication_date\n"
                 '10,f,"MILK, ""WHOLE""",1.0,2024-01-01\n11,f,,1,2024-01-01\n',
         "foundation_food": "fdc_id,NDB_number,footnote\n10,1,\n",
-        "nutrient": "id,name,unit_name,nutrient_nbr,rank\n",
+        # another order and one more column: read by name
+        "nutrient": "rank,id,name,unit_name,extra,nutrient_nbr\n300,1008,Energy,KCAL,x,208\n",
         "food_nutrient": "id,fdc_id,nutrient_id,amount,data_points,min,max,median\n1,10,1008,61.5,,,,\n",
         "measure_unit": "id,name\n1,cup\n",
         "food_portion": "id,fdc_id,measure_unit_id,amount,gram_weight,portion_description,modifier\n1,10,1,1,244,,\n",
     }
-    files["nutrient"] = "id,name,nutrient_nbr,unit_name,rank\n1008,Energy,208,KCAL,300\n"
     for name, body in files.items():
         (raw / f"{name}.csv").write_text(body)
     (raw / "dump.tsv").write_text(
         "code\tproduct_name\tcategories\tbrands\n12345678\tGreen tea\ten:teas\tB\textra\n1\tbad\tx\ty\n")
-    assert catalog_jobs.import_nutrition(spark, str(raw), house) == 7 - 0
+    assert catalog_jobs.import_nutrition(spark, str(raw), house) == 7
     assert catalog_jobs.import_catalog(spark, str(raw / "dump.tsv"), house) == 1
     catalog_jobs.rebuild_master(spark, house)
     catalog_jobs.rebuild_master(spark, house)  # a second run changes nothing
@@ -189,6 +189,13 @@ def test_jobs_end_to_end(spark, tmp_path):
             readers.read_nutrition(spark, str(tmp_path), "food")).collect()
 
 
+def test_table_with_limit(spark):
+    spark.range(10).withColumn("v", F.lit(1)).createOrReplaceTempView("some_table")
+    assert readers.read_table(spark, "some_table", ["id"], 3).columns == ["id"]
+    assert readers.read_table(spark, "some_table", ["id"], 3).count() == 3
+    assert readers.read_table(spark, "some_table").count() == 10
+
+
 def test_barcodes(spark):
     values = spark.createDataFrame([("2, 1,,3",)], "value string")
     lines = spark.createDataFrame([("# no",), (" 4 ",), ("",), ("5,6",), (" # kept",)], "value string")

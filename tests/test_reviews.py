@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from larderspark import schemas
 from larderspark.operators import histogram, product_docs, ranking, reports, reviews
 from larderspark.operators.dedup import keep_first
+from larderspark.plans import pipelines
+from larderspark.sources import readers, writers
 
 
 def review(spark, *rows):
@@ -98,6 +100,26 @@ def test_basic_document_with_blank_titles(spark):
     assert doc.texte_recherche == (" | ".join([""] * 800) + " . ")[:2000]
 
 
+def test_review_file_round_trip(spark, tmp_path):
+    df = review(spark, {"Text": 'two\nlines, "quoted" ', "Summary": ""}, {"Text": "plain", "ProfileName": None})
+    writers.write_csv(df, str(tmp_path / "r"))
+    back = readers.read_reviews(spark, str(tmp_path / "r")).orderBy("Id").collect()
+    assert [(r.Id, r.Text, r.Score) for r in back] == [(1, 'two\nlines, "quoted" ', 5.0), (2, "plain", 5.0)]
+    assert "ProfileName" not in readers.read_reviews_tolerant(spark, str(tmp_path / "r")).columns
+    (tmp_path / "bad.csv").write_text("Id,Other\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        readers.read_reviews(spark, str(tmp_path / "bad.csv")).collect()
+
+
+def test_pipeline_outputs(spark, tmp_path):
+    df = review(spark, {}, {"Text": "b"}, {"Score": 0.0})
+    paths = pipelines.write_review_outputs(df, str(tmp_path))
+    paths["other"] = str(tmp_path / "none.parquet")
+    got = {r.artefact: (r.exists, r.rows) for r in pipelines.artefact_list(spark, paths).collect()}
+    assert got["cleaned_reviews"] == got["cleaned_reviews_csv"] == got["sample_reviews"] == (True, 2)
+    assert got["product_documents"] == (True, 1) and got["other"] == (False, None)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 101])
 def test_nearest_quantiles(spark, n):
     values = [(i * i) % 37 for i in range(n)]

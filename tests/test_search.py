@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from larderspark.plans import search_jobs
+from larderspark.sources import writers
 from larderspark.operators import blocks, embedding, enrich, evaluation, hybrid, lexical, lsh, summaries, vector
 
 WORDS = ["tea", "the", "other", "green", "c++", "a.b", "aa", "aaa", "bar", "é"]
@@ -264,6 +266,47 @@ def test_hybrid_against_brute_force(spark, weights):
         assert got[query_id] == hybrid_brute(rows, vecs, query, vector_, k, weights)
 
 
+def test_hybrid_with_signatures(spark):
+    """All signature tables wide open: the approximate ranker finds everything."""
+    _, df, _, points, _, queries = hybrid_inputs(spark)
+    products = lexical.search_ready(df)
+    wide = lambda p, q, k: lsh.ann_ranking(p, q, k, tables=40, bits=1)
+    index = lsh.with_codes(points, "embedding", 40, 1)
+    columns = ["query_id", "rank", "product_id", "score"]
+    got = hybrid.search(products, queries, index, ranker=wide).select(*columns)
+    assert sorted(got.collect()) == sorted(hybrid.search(products, queries, points).select(*columns).collect())
+
+
+def test_embed_index_evaluate_jobs(spark, tmp_path, collect):
+    _, df = documents(spark, 30)
+    out, index = str(tmp_path / "vectors"), str(tmp_path / "index")
+    first = search_jobs.embed_table(df.limit(10), out, "ProductId", "search_text", "hashed")
+    again = search_jobs.embed_table(df, out, "ProductId", "search_text", "hashed")
+    assert (first["products_embedded"], again["products_embedded"], again["errors"]) == (10, 30, 0)
+    assert again["products_total"] == 30 and again["vector_size"] == 64
+    table = df.join(spark.read.parquet(out), "ProductId")
+    stored = table.select("ProductId", "embedding", "review_count")
+    assert search_jobs.index_vectors(stored.limit(5), index, "ProductId") == 1
+    assert search_jobs.index_vectors(stored, index, "ProductId") == 2
+    assert writers.read_versioned(spark, index).count() == 30
+    search_jobs.index_vectors(stored.limit(7), index, "ProductId", recreate=True)
+    assert writers.read_versioned(spark, index).count() == 7
+
+    asked = spark.createDataFrame(
+        [(1, "green tea", 3, [["tea"], ["green"]]), (2, "zzz", 3, [["zzz"]])],
+        "query_id int, query string, top_k int, positive_groups array<array<string>>")
+    with_vectors = asked.join(embedding.embed_queries(asked.select("query_id", "query")).drop("query"), "query_id")
+    points = table.select(F.col("ProductId").alias("product_id"), "embedding", "review_count", "average_score")
+    products = lexical.search_ready(df)
+    systems = {"keyword": search_jobs.evaluate(products, asked),
+               "semantic": search_jobs.evaluate(products, with_vectors, points, all_indexed=True)}
+    report = {r.system: r for r in search_jobs.write_evaluation(systems, str(tmp_path / "report")).collect()}
+    assert report["keyword"].queries_total == 2 and report["keyword"].success_rate_at_k == 0.5
+    assert report["semantic"].success_rate_at_k == 0.5
+    got = {r.query_id: r for r in spark.read.json(str(tmp_path / "report" / "semantic")).collect()}
+    assert got[1].strategy == "semantic_hybrid" and got[2].mrr == 0.0
+
+
 def test_strategies(spark):
     _, df, _, points, _, queries = hybrid_inputs(spark)
     mixed = queries.withColumn("mode", F.when(F.col("query_id") == 0, F.lit("keyword"))).withColumn(
