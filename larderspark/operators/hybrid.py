@@ -12,7 +12,7 @@ from larderspark.functions import numeric, text, vectors
 from larderspark.operators import enrich, lexical
 from larderspark.operators.blocks import small
 from larderspark.operators.ranking import top_k
-from larderspark.operators.vector import DIGITS, usable_queries, vector_ranking
+from larderspark.operators.vector import DIGITS, vector_ranking
 from larderspark.session import cut_lineage
 
 Ranker = Callable[[DataFrame, DataFrame, int], DataFrame]

@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from larderspark.functions import text
 from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks
-from larderspark.operators.ranking import top_k
+from larderspark.operators.ranking import merge_top_k
 from larderspark.session import cut_lineage
 
 # Weight of a match of the whole query and of one of its words,
@@ -117,7 +117,10 @@ def _uses(plan: list[tuple]) -> dict[str, list[tuple]]:
 
 def _literal_counter(patterns: list[str]) -> Callable[[str], dict[int, int]]:
     """Non-overlapping occurrences per pattern, leftmost first, in one walk."""
-    import ahocorasick
+    try:
+        import ahocorasick
+    except ImportError:  # one walk per pattern
+        return lambda value: {n: value.count(p) for n, p in enumerate(patterns) if p in value}
 
     automaton = ahocorasick.Automaton()
     for n, pattern in enumerate(patterns):
@@ -235,4 +238,4 @@ def _rank_block(products: DataFrame, block: DataFrame, k: int, schema: T.StructT
     arrow = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
     narrow = products.select("product_id", "text_lower", "label_lower", "review_count", "average_score")
     found = narrow.mapInArrow(_scan(plan, k, arrow, regex), schema)
-    return top_k(found, ["query_id"], ranking_order(), k)
+    return merge_top_k(found, ["query_id"], ranking_order(), k)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import numeric, vectors
 from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks
-from larderspark.operators.ranking import top_k
+from larderspark.operators.ranking import merge_top_k
 from larderspark.operators.vector import DIGITS, ranking_order, usable_queries
 from larderspark.session import cut_lineage
 
@@ -93,7 +93,7 @@ def _rank_block(index: DataFrame, coded: DataFrame, k: int, bits: int) -> DataFr
         .select("query_id", F.col("product_id").cast("string").alias("product_id"), "cosine",
                 optional("review_count", "bigint"), optional("average_score", "double"))
     )
-    return top_k(pairs, ["query_id"], ranking_order(), k)
+    return merge_top_k(pairs, ["query_id"], ranking_order(), k)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

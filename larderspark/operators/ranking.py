@@ -30,6 +30,21 @@ def top_k(
     return ranked.filter(F.col(rank) <= k)
 
 
+PARTITIONS_PER_SLICE = 1024
+
+
+def merge_top_k(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], k: int) -> DataFrame:
+    """``top_k`` of rows that are already cut to ``k`` per key and partition.
+
+    A scan of very many partitions still sends ``k`` rows per key from each of
+    them. They are merged per slice of partitions first, so the last task of a
+    key sees ``k`` rows per slice.
+    """
+    part = F.floor(F.spark_partition_id() / PARTITIONS_PER_SLICE)
+    merged = top_k(df.withColumn("_slice", part), [*keys, "_slice"], order, k, "_rank")
+    return top_k(merged.drop("_slice", "_rank"), keys, order, k)
+
+
 def page(df: DataFrame, keys: Sequence[str], order: Sequence[Column], number: int, size: int) -> DataFrame:
     """Page ``number`` (from 1) of the rows of each key in the given order."""
     last = number * size

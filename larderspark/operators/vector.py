@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from larderspark.functions import ids, numeric, vectors
 from larderspark.functions.payload import payload_json
 from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks
-from larderspark.operators.ranking import top_k
+from larderspark.operators.ranking import merge_top_k
 from larderspark.session import checkpoint_root, cut_lineage
 
 # Cosines are compared at this precision, so equal vectors tie whatever the
@@ -199,7 +199,7 @@ def vector_ranking(points: DataFrame, queries: DataFrame, k: int, block_bytes: i
     for block in blocks:
         plan = context.broadcast(_query_matrix(block.collect()))  # size checked
         found = narrow.mapInArrow(_scan(plan, k, arrow), schema)
-        results.append(top_k(found, ["query_id"], ranking_order(), k))
+        results.append(merge_top_k(found, ["query_id"], ranking_order(), k))
     if len(results) > 1:  # one pass per block; each is stored before the next
         results = [cut_lineage(r) for r in results]
     ranked = results[0]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from larderspark.plans.sqltext import BLANK, SPACES, collapse, normalize, with_views
+from larderspark.plans.sqltext import SPACES, collapse, normalize, with_views
 
 CLEAN = f"""
 normalized AS (

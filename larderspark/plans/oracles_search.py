@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from larderspark.operators.enrich import CATEGORY_RULES
 from larderspark.operators.summaries import PROMPT, RECOMMENDATION, SUMMARY
-from larderspark.plans.oracles_catalog import _MASTER_CTES, _MASTER_VIEWS
+from larderspark.plans.oracles_catalog import _MASTER_CTES, _MASTER_VIEWS, EXAMPLES
 from larderspark.plans.oracles_reviews import BASIC, DOCS
 from larderspark.plans.sqltext import CLASS, SPACES, collapse, with_views
 
@@ -343,6 +343,14 @@ ORACLES = {
         JUDGED.format(results="records"),
         JUDGED.format(results="best").replace("judged", "h_judged").replace("measured", "h_measured"),
         k=20),
+    "eval_graded": with_views(
+        ["fx_reviews", "fx_queries", "fx_examples"], PRODUCTS, ASKED, ranking(5), EXAMPLES, body="""
+        SELECT query_id, 5 AS top_k, round_even(count(*) FILTER (WHERE hit) / 5.0::DOUBLE, 4) AS precision_at_k,
+               CASE WHEN count(*) FILTER (WHERE hit) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS success_at_k,
+               coalesce(round_even(1.0::DOUBLE / min(rank) FILTER (WHERE hit), 4), 0.0::DOUBLE) AS mrr
+        FROM (SELECT f.query_id, rank, EXISTS (SELECT 1 FROM examples x WHERE x.query_id = l.query_id
+                AND x.product_id = l.product_id AND esci_label IN ('E', 'Exact')) AS hit
+              FROM fx_queries f LEFT JOIN lex l USING (query_id)) GROUP BY query_id"""),
     "eval_judgements": with_views([], CENTROIDS, body="""
         SELECT query_id, 10 AS top_k, round_even(count(*) FILTER (WHERE label = query_id) / 10.0::DOUBLE, 4)
                AS precision_at_k,

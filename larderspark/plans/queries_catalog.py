@@ -10,7 +10,7 @@ from larderspark.operators import catalog, ledger, master, nutrition, quality, r
 from larderspark.operators.upsert import upsert, upsert_partial
 from larderspark.plans import catalog_jobs, fixtures
 from larderspark.session import cut_lineage, scratch_path
-from larderspark.sources import readers, writers
+from larderspark.sources import readers
 
 AMOUNT_MAX = 90_000
 REPORT_COLUMNS = ("product_name", "brand", "categories", "ingredients_text", "allergens", "nutriscore")
@@ -20,10 +20,6 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.clean_catalog(fixtures.catalog_dump(spark, sf))
 
 
-def fx(name: str):
-    return lambda spark, sf: fixtures.view(spark, sf, name)
-
-
 def categories(spark, sf):
     return nutrition.categories(fixtures.view(spark, sf, "fx_categories"))
 

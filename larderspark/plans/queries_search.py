@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import ids, numeric, text, vectors
 from larderspark.operators import (
-    embedding, enrich, evaluation, hybrid, lexical, lsh, product_docs, ranking, reviews, summaries, vector,
+    embedding, enrich, evaluation, hybrid, lexical, lsh, nutrition, product_docs, ranking, reviews, summaries, vector,
 )
 from larderspark.plans import fixtures, queries_catalog, queries_reviews
 from larderspark.plans.queries_reviews import flat
@@ -367,7 +367,17 @@ def eval_judgements(spark, sf):
     return evaluation.metrics(judged, asked.select("query_id", F.lit(10).alias("top_k")))
 
 
+def eval_graded(spark, sf):
+    """Keyword results judged by the imported exact judgements."""
+    products = lexical.search_ready(documents(spark, sf))
+    asked = queries(spark, sf)
+    found = lexical.lexical_ranking(products, asked, K)
+    pairs = nutrition.relevant_pairs(queries_catalog.examples(spark, sf))
+    return evaluation.metrics(evaluation.judge_by_pairs(found, pairs), asked)
+
+
 QUERIES = {
+    "eval_graded": eval_graded,
     "lexical_score": lexical_score,
     "catalog_keyword_search": catalog_keyword_search,
     "keyword_search": keyword_search,

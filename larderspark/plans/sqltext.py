@@ -12,7 +12,6 @@ CLASS = (r"[\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}"
 _CODES = [9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
           0x202F, 0x205F, 0x3000]
 SPACES = "concat(" + ", ".join(f"chr({c})" for c in _CODES) + ")"
-BLANK = "''"
 
 
 def collapse(column: str) -> str:

@@ -184,6 +184,19 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert report["products_rows"] == report["documents_rows"] == 2
     shown = spark.read.parquet(f"{out}/product_search_documents.parquet").orderBy("product_id").collect()
     assert shown[0].search_text == "Green tea B teas" and isinstance(shown[0].updated_at, str)
+    (raw / "payloads.json").write_text(json.dumps(
+        {"code": "12345678", "product": {"product_name": "Green tea, new"}}) + "\n{}\n")
+    assert catalog_jobs.import_payloads(spark, str(raw / "payloads.json"), house) == 1
+    catalog_jobs.rebuild_master(spark, house)
+    table = writers.read_versioned(spark, f"{house}/master")
+    assert {r.product_id: r.product_name for r in table.collect()}["off:12345678"] == "Green tea, new"
+    spark.createDataFrame(
+        [(1, " tea ", 2, "p", "us", "E", "train", 1, 1), (2, "tea", 2, "p", "us", "Z", "train", 1, 1)],
+        "example_id int, query string, query_id int, product_id string, product_locale string, esci_label string, "
+        "split string, small_version int, large_version int").write.parquet(str(raw / "examples"))
+    assert catalog_jobs.import_examples(spark, str(raw / "examples"), house) == 1
+    runs = ledger.latest_runs(ledger.read_ledger(spark, f"{house}/runs")).collect()
+    assert len(runs) == 4 and {r.status for r in runs} == {"succeeded"}
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         readers.read_nutrition(spark, str(raw), "food").unionByName(
             readers.read_nutrition(spark, str(tmp_path), "food")).collect()

@@ -277,6 +277,26 @@ def test_hybrid_with_signatures(spark):
     assert sorted(got.collect()) == sorted(hybrid.search(products, queries, points).select(*columns).collect())
 
 
+def test_keyword_only_with_points(spark):
+    _, df, _, points, _, queries = hybrid_inputs(spark)
+    products = lexical.search_ready(df)
+    rows = hybrid.search(products, queries.withColumn("mode", F.lit("keyword")), points, all_indexed=True).collect()
+    assert rows and {r.strategy for r in rows} == {"keyword_only"}
+    plain = hybrid.search(products, queries.drop("vector")).collect()
+    assert len(plain) == len(rows) and {r.strategy for r in plain} == {"lexical_fallback"}
+
+
+def test_counter_without_automaton(monkeypatch):
+    import sys
+
+    patterns = ["aa", "tea", "é", "c++"]
+    with_automaton = lexical._literal_counter(patterns)
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    plain = lexical._literal_counter(patterns)
+    for value in ("", "aaaa tea", "té c++++ teatea", "a a"):
+        assert with_automaton(value) == plain(value)
+
+
 def test_embed_index_evaluate_jobs(spark, tmp_path, collect):
     _, df = documents(spark, 30)
     out, index = str(tmp_path / "vectors"), str(tmp_path / "index")
