@@ -8,4 +8,4 @@ from larderspark.plans import (
 
 QUERIES = {**queries_reviews.QUERIES, **queries_catalog.QUERIES, **queries_search.QUERIES}
 ORACLES = {**oracles_reviews.ORACLES, **oracles_catalog.ORACLES, **oracles_search.ORACLES}
-FLAGSHIP = "keyword_search"
+FLAGSHIP = "hybrid_search"

@@ -4,11 +4,13 @@ import re
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from larderspark.plans import search_jobs
 from larderspark.sources import writers
-from larderspark.operators import blocks, embedding, enrich, evaluation, hybrid, lexical, lsh, summaries, vector
+from larderspark.operators import blocks, embedding, enrich, evaluation, hybrid, lexical, lsh, ranking, summaries, vector
 
 WORDS = ["tea", "the", "other", "green", "c++", "a.b", "aa", "aaa", "bar", "é"]
 
@@ -297,6 +299,22 @@ def test_counter_without_automaton(monkeypatch):
         assert with_automaton(value) == plain(value)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text("ab ", min_size=1, max_size=4), min_size=1, max_size=6, unique=True),
+       st.text("ab ", max_size=60))
+def test_counter_equals_plain_counting(patterns, value):
+    counts = lexical._literal_counter(patterns)(value)
+    assert counts == {n: value.count(p) for n, p in enumerate(patterns) if p in value}
+
+
+def test_merge_in_slices_equals_one_top_k(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "PARTITIONS_PER_SLICE", 2)
+    df = spark.range(0, 3000, 1, 9).select((F.col("id") % 4).alias("q"), (F.col("id") * 7919 % 997).alias("s"), "id")
+    order = [F.desc("s"), F.asc("id")]
+    merged = ranking.merge_top_k(df, ["q"], order, 10)
+    assert sorted(merged.collect()) == sorted(ranking.top_k(df, ["q"], order, 10).collect())
+
+
 def test_embed_index_evaluate_jobs(spark, tmp_path, collect):
     _, df = documents(spark, 30)
     out, index = str(tmp_path / "vectors"), str(tmp_path / "index")
