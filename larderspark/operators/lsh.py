@@ -2,98 +2,113 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larderspark.functions import numeric, vectors
-from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks
-from larderspark.operators.ranking import merge_top_k
-from larderspark.operators.vector import DIGITS, ranking_order, usable_queries
-from larderspark.session import cut_lineage
+from larderspark.operators.blocks import BLOCK_BYTES
+from larderspark.operators.vector import CELLS, DIGITS, BestRows, rank_points, read_points
 
 TABLES, BITS, SEED = 10, 7, 17
-PROBE_BYTES = 40  # one broadcast (query, table, signature) row
+PROBE_BYTES = 16  # one (signature, query) pair of the lookup
 
 
-def _codes(tables: int, bits: int, seed: int):
+def signatures(matrix: np.ndarray, tables: int, bits: int, seed: int) -> np.ndarray:
+    """One integer of ``bits`` signs per row and table."""
+    planes = np.random.default_rng(seed).standard_normal((matrix.shape[1], tables * bits))
+    signs = (matrix @ planes > 0).reshape(len(matrix), tables, bits)
+    return (signs << np.arange(bits)).sum(axis=2).astype(np.int32)
+
+
+def with_codes(df: DataFrame, vector: str, tables: int = TABLES, bits: int = BITS, seed: int = SEED) -> DataFrame:
+    """Vectors with their signatures; store them together as the index."""
     @F.pandas_udf("array<int>")
     def codes(column: pd.Series) -> pd.Series:
         if column.empty:
             return pd.Series([], dtype=object)
-        matrix = np.stack(column.to_numpy()).astype(np.float64)
-        planes = np.random.default_rng(seed).standard_normal((matrix.shape[1], tables * bits))
-        signs = (matrix @ planes > 0).reshape(len(matrix), tables, bits)
-        return pd.Series(list((signs << np.arange(bits)).sum(axis=2).astype(np.int32)))
+        return pd.Series(list(signatures(np.stack(column.to_numpy()).astype(np.float64), tables, bits, seed)))
 
-    return codes
+    return df.filter(F.size(vector) > 0).withColumn("codes", codes(F.col(vector)))
 
 
-def with_codes(df: DataFrame, vector: str, tables: int = TABLES, bits: int = BITS, seed: int = SEED) -> DataFrame:
-    """One signature of ``bits`` signs per table; store it with the vectors."""
-    present = df.filter(F.size(vector) > 0)
-    return present.withColumn("codes", _codes(tables, bits, seed)(F.col(vector)))
-
+def _lookup(unit: np.ndarray, tables: int, bits: int, seed: int) -> list[tuple]:
+    """Per table the sorted signatures near a query, and whose they are.
 
-def _probes(codes: Column, bits: int) -> Column:
-    """Per table the signature itself and all with one sign changed."""
-    flips = F.array(F.lit(0), *[F.lit(1 << b) for b in range(bits)])
-    return F.transform(codes, lambda c: F.transform(flips, lambda f: c.bitwiseXOR(f)))
+    Near means the signature of the query itself or one sign apart.
+    """
+    flips = np.concatenate([[0], 1 << np.arange(bits)]).astype(np.int32)
+    near = signatures(unit, tables, bits, seed)[:, :, None] ^ flips
+    owner = np.repeat(np.arange(len(unit)), bits + 1)
+    out = []
+    for t in range(tables):
+        flat = near[:, t, :].ravel()
+        order = np.argsort(flat, kind="stable")
+        out.append((flat[order], owner[order]))
+    return out
+
+
+def _candidates(codes: np.ndarray, lookup: list[tuple], queries: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, query) pairs that share a signature in some table, each once."""
+    met = np.zeros((len(codes), queries), dtype=bool)
+    for t, (near, owner) in enumerate(lookup):
+        low = np.searchsorted(near, codes[:, t], side="left")
+        count = np.searchsorted(near, codes[:, t], side="right") - low
+        row = np.repeat(np.arange(len(codes)), count)
+        within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        met[row, owner[np.repeat(low, count) + within]] = True
+    return np.nonzero(met)
+
+
+def _cosines(block: np.ndarray, unit: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Dot products of the pairs; one matrix product when the pairs are dense."""
+    if len(row) * 16 > len(block) * len(unit):
+        return (block @ unit.T)[row, query]
+    step = max(1, CELLS // block.shape[1])
+    parts = [np.einsum("ij,ij->i", block[row[i:i + step]], unit[query[i:i + step]])
+             for i in range(0, len(row), step)]
+    return np.concatenate(parts) if parts else np.zeros(0)
 
 
 def ann_ranking(index: DataFrame, queries: DataFrame, k: int, tables: int = TABLES, bits: int = BITS,
                 seed: int = SEED, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The best ``k`` candidates per query by exact cosine.
 
-    Candidates share a signature (or one sign apart) in some table: an equi
-    join on (table, signature). The query side goes out in blocks of a checked
-    size, so the points stay where they are, however full one signature is.
-    """
-    usable = usable_queries(queries)
-    size = F.size("vector") * 8 + tables * (bits + 1) * PROBE_BYTES + 64
-    blocks = bounded_blocks(usable, "query_id", size, block_bytes)
-    results = [_rank_block(index, with_codes(b, "vector", tables, bits, seed), k, bits) for b in blocks]
-    if len(results) > 1:  # one pass per block; each is stored before the next
-        results = [cut_lineage(r) for r in results]
-    return reduce(DataFrame.unionByName, results)
-
-
-def _rank_block(index: DataFrame, coded: DataFrame, k: int, bits: int) -> DataFrame:
-    """Ids meet on the signature; vector and probes are added per query.
-
-    A pair is scored only at its first common table, which removes doubles
-    without a shuffle.
+    ``index`` is the result of ``with_codes`` with the same parameters. More
+    bits mean fewer candidates, more tables mean a better recall. The query
+    side goes out in blocks of a checked size, as in exact search; points stay
+    where they are, however many share one signature.
     """
-    asked = coded.select(
-        "query_id", "vector", "min_score", vectors.norm(F.col("vector")).alias("query_norm"),
-        _probes(F.col("codes"), bits).alias("probes"))
-    near = asked.select("query_id", F.posexplode("probes").alias("table", "near")).select(
-        "query_id", "table", F.explode("near").alias("code"))
-    points = index.select("*", F.posexplode("codes").alias("table", "code"))
-    first_common = F.array_position(
-        F.zip_with("probes", "codes", lambda p, c: F.array_contains(p, c)), True) - 1
-    norm = F.col("norm") if "norm" in index.columns else None
-    cosine = numeric.round_even(vectors.cosine(
-        F.col("embedding"), F.col("vector"), norm, F.col("query_norm")), DIGITS)
-
-    def optional(name: str, kind: str) -> Column:
-        value = F.col(name).cast(kind) if name in index.columns else F.lit(None).cast(kind)
-        return F.coalesce(value, F.lit(0).cast(kind)).alias(name)
-
-    pairs = (
-        points.join(F.broadcast(near), ["table", "code"])  # size checked
-        .join(F.broadcast(asked), "query_id")  # size checked
-        .filter(first_common == F.col("table"))
-        .withColumn("cosine", cosine)
-        .filter(F.col("cosine").isNotNull()
-                & (F.col("min_score").isNull() | (F.col("cosine") >= F.col("min_score"))))
-        .select("query_id", F.col("product_id").cast("string").alias("product_id"), "cosine",
-                optional("review_count", "bigint"), optional("average_score", "double"))
-    )
-    return merge_top_k(pairs, ["query_id"], ranking_order(), k)
+    def scan(plan, k: int, schema: pa.Schema):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, matrix, floors = plan.value
+            if not names:
+                return
+            unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+            lookup = _lookup(unit, tables, bits, seed)
+            best = BestRows(names, floors, k)
+            step = max(1, CELLS // len(names))
+            for batch in batches:
+                points = read_points(batch, matrix.shape[1])
+                if points is None:
+                    continue
+                block, norms, reviews, rating, product, kept = points
+                codes = kept.column("codes").flatten().to_numpy(zero_copy_only=False).reshape(-1, tables)
+                for lo in range(0, len(block), step):
+                    part = slice(lo, lo + step)
+                    row, query = _candidates(codes[part], lookup, len(names))
+                    cosine = np.round(_cosines(block[part], unit, row, query) / norms[part][row], DIGITS)
+                    good = cosine >= best.bar[query]
+                    at = lo + row[good]
+                    best.add(query[good], cosine[good], reviews[at], rating[at], product[at])
+            yield from best.batches(schema)
+
+        return run
+
+    return rank_points(index, queries, k, scan, tables * (bits + 1) * PROBE_BYTES, ["codes"], block_bytes)
 
 
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:

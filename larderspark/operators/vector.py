@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -107,55 +108,81 @@ def _keep(best: tuple, k: int) -> tuple:
     return tuple(column[chosen] for column in best)
 
 
+class BestRows:
+    """The best ``k`` rows per query that a task has seen."""
+
+    def __init__(self, names: list, floors: np.ndarray, k: int):
+        self.names, self.floors, self.k = names, floors, k
+        self.bar = floors.copy()  # a lower score cannot get in
+        self.rows = None
+
+    def add(self, query, score, reviews, rating, product) -> None:
+        found = (query, score, reviews, rating, product)
+        if self.rows is not None:
+            found = tuple(np.concatenate(pair) for pair in zip(self.rows, found))
+        self.rows = _keep(found, self.k)  # sorted by query, best first
+        counts = np.bincount(self.rows[0], minlength=len(self.names))
+        full = counts == self.k
+        self.bar[full] = self.rows[1][np.cumsum(counts)[full] - 1]
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if self.rows is not None and len(self.rows[0]):
+            query, score, reviews, rating, product = self.rows
+            arrays = [[self.names[q] for q in query], product.tolist(), score, reviews, rating]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(a, type=f.type) for a, f in zip(arrays, schema)], schema=schema)
+
+
+def read_points(batch: pa.RecordBatch, dimension: int):
+    """(vectors, norms, reviews, ratings, ids, batch) of the usable rows, or None."""
+    lengths = pc.fill_null(pc.list_value_length(batch.column("embedding")), 0)
+    batch = batch.filter(pc.greater(lengths, 0))
+    if batch.num_rows == 0:
+        return None
+    column = batch.column("embedding")
+    if not pc.all(pc.equal(pc.list_value_length(column), dimension)).as_py():
+        raise ValueError("vectors of different dimensions")
+    block = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
+    norms = np.linalg.norm(block, axis=1)
+    if not norms.all():  # zero vectors match nothing
+        batch = batch.filter(pa.array(norms > 0))
+        block, norms = block[norms > 0], norms[norms > 0]
+    return (
+        block, norms, batch.column("review_count").to_numpy(zero_copy_only=False),
+        batch.column("average_score").to_numpy(zero_copy_only=False),
+        np.array(batch.column("product_id").to_pylist(), dtype=object).astype(str), batch,
+    )
+
+
 def _scan(plan, k: int, schema: pa.Schema):
     """mapInArrow function: the best ``k`` rows per query of one partition.
 
     A batch of vectors meets all queries in one matrix product; only scores
-    that reach the k-th of the batch are looked at further.
+    that reach the k-th of the batch and of all before are looked at further.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix, floors = plan.value
         if not names:
             return
         unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        best = None
+        best = BestRows(names, floors, k)
+        step = max(1, CELLS // len(names))
         for batch in batches:
-            lengths = pc.fill_null(pc.list_value_length(batch.column("embedding")), 0)
-            batch = batch.filter(pc.greater(lengths, 0))
-            if batch.num_rows == 0:
+            points = read_points(batch, matrix.shape[1])
+            if points is None:
                 continue
-            column = batch.column("embedding")
-            if pc.min(pc.list_value_length(column)).as_py() != matrix.shape[1] or \
-                    pc.max(pc.list_value_length(column)).as_py() != matrix.shape[1]:
-                raise ValueError("vectors of different dimensions")
-            block = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            block = block.reshape(-1, matrix.shape[1])
-            product = np.array(batch.column("product_id").to_pylist(), dtype=object).astype(str)
-            reviews = batch.column("review_count").to_numpy(zero_copy_only=False)
-            rating = batch.column("average_score").to_numpy(zero_copy_only=False)
-            step = max(1, CELLS // len(names))
+            block, norms, reviews, rating, product, _ = points
             for lo in range(0, len(block), step):
-                part = block[lo:lo + step]
-                length = np.linalg.norm(part, axis=1)
-                rows = np.flatnonzero(length > 0)
-                if len(rows) == 0:
-                    continue
-                scores = np.round((part[rows] @ unit.T) / length[rows, None], DIGITS)
-                floor = floors
-                if len(rows) > k:
-                    kth = np.partition(scores, len(rows) - k, axis=0)[len(rows) - k]
-                    floor = np.maximum(floors, kth)
-                hit, query = np.nonzero(scores >= floor)
-                at = lo + rows[hit]
-                found = (query, scores[hit, query], reviews[at], rating[at], product[at])
-                if best is not None:
-                    found = tuple(np.concatenate(pair) for pair in zip(best, found))
-                best = _keep(found, k)
-        if best is not None and len(best[0]):
-            query, score, reviews, rating, product = best
-            arrays = [[names[q] for q in query], product.tolist(), score, reviews, rating]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, type=f.type) for a, f in zip(arrays, schema)], schema=schema)
+                part = slice(lo, lo + step)
+                scores = np.round((block[part] @ unit.T) / norms[part, None], DIGITS)
+                bar = best.bar
+                if len(scores) > k:
+                    kth = np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
+                    bar = np.maximum(bar, kth)
+                hit, query = np.nonzero(scores >= bar)
+                at = lo + hit
+                best.add(query, scores[hit, query], reviews[at], rating[at], product[at])
+        yield from best.batches(schema)
 
     return run
 
@@ -169,14 +196,9 @@ def usable_queries(queries: DataFrame) -> DataFrame:
     ).filter((F.size("vector") > 0) & (vectors.norm(F.col("vector")) > 0))
 
 
-def vector_ranking(points: DataFrame, queries: DataFrame, k: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The exact best ``k`` points per query by cosine, reviews, rating, id.
-
-    ``points``: product_id, embedding and optionally review_count and
-    average_score. ``queries``: query_id, vector and optionally min_score, the
-    least cosine to report. Points are not shuffled; every partition sends at
-    most ``k`` rows per query. Zero and missing vectors never match.
-    """
+def rank_points(points: DataFrame, queries: DataFrame, k: int, scan: Callable, extra_bytes: int = 0,
+                keep: Sequence[str] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Run ``scan(plan, k, schema)`` over the points for blocks of queries."""
     def optional(name: str, kind: str) -> Column:
         value = F.col(name).cast(kind) if name in points.columns else F.lit(None).cast(kind)
         return F.coalesce(value, F.lit(0).cast(kind)).alias(name)
@@ -184,10 +206,9 @@ def vector_ranking(points: DataFrame, queries: DataFrame, k: int, block_bytes: i
     narrow = points.select(
         F.col("product_id").cast("string").alias("product_id"),
         F.col("embedding").cast("array<float>").alias("embedding"),
-        optional("review_count", "bigint"), optional("average_score", "double"))
-    usable = usable_queries(queries)
-    size = F.size("vector") * 8 + 64 + k * ROW_BYTES
-    blocks = bounded_blocks(usable, "query_id", size, block_bytes)
+        optional("review_count", "bigint"), optional("average_score", "double"), *keep)
+    size = F.size("vector") * 8 + 64 + k * ROW_BYTES + extra_bytes
+    blocks = bounded_blocks(usable_queries(queries), "query_id", size, block_bytes)
     schema = T.StructType([
         T.StructField("query_id", queries.schema["query_id"].dataType),
         T.StructField("product_id", T.StringType()), T.StructField("cosine", T.DoubleType()),
@@ -198,14 +219,22 @@ def vector_ranking(points: DataFrame, queries: DataFrame, k: int, block_bytes: i
     results = []
     for block in blocks:
         plan = context.broadcast(_query_matrix(block.collect()))  # size checked
-        found = narrow.mapInArrow(_scan(plan, k, arrow), schema)
+        found = narrow.mapInArrow(scan(plan, k, arrow), schema)
         results.append(merge_top_k(found, ["query_id"], ranking_order(), k))
     if len(results) > 1:  # one pass per block; each is stored before the next
         results = [cut_lineage(r) for r in results]
-    ranked = results[0]
-    for other in results[1:]:
-        ranked = ranked.unionByName(other)
-    return ranked
+    return reduce(DataFrame.unionByName, results)
+
+
+def vector_ranking(points: DataFrame, queries: DataFrame, k: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The exact best ``k`` points per query by cosine, reviews, rating, id.
+
+    ``points``: product_id, embedding and optionally review_count and
+    average_score. ``queries``: query_id, vector and optionally min_score, the
+    least cosine to report. Points are not shuffled; every partition sends at
+    most ``k`` rows per query. Zero and missing vectors never match.
+    """
+    return rank_points(points, queries, k, _scan, block_bytes=block_bytes)
 
 
 def cosine_pairs(pairs: DataFrame, left: str, right: str, name: str = "cosine") -> DataFrame:
