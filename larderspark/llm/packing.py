@@ -7,7 +7,6 @@ of a bounded number of pieces, so it scales with the number of groups.
 
 from __future__ import annotations
 
-import re
 import sys
 import types
 import zlib
@@ -24,11 +23,12 @@ END_ID = 1
 #: Pieces per randomised group, about.
 GROUP_PIECES = 4_096
 #: Words that a Python worker remembers the ids of, at most.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
-#: White space other than single blanks and line feeds, or at an end: such texts go to the tokenizer whole.
-UNEVEN = re.compile(r"\s\s|[^\S \n]|^\s|\s$")
-TAIL = ".,;:!?|"
+#: Marks that are a pre-token of their own after letters (an apostrophe may begin a contraction).
+TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Texts that are encoded together.
+TEXTS = 200
 
 
 def public_vocabulary() -> str:
@@ -54,43 +54,54 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.feed = self.plain("\n")
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def word(self, table: dict[str, bytes], word: str, blank: str) -> bytes:
-        """Letters and the marks after them are separate pre-tokens."""
-        stem = word.rstrip(TAIL)
-        if stem != word and stem.isalpha():
-            ids = table.get(stem) or table.setdefault(stem, self.plain(blank + stem))
-            mark = word[len(stem) :]
-            return ids + (self.first.get(mark) or self.first.setdefault(mark, self.plain(mark)))
-        return self.plain(blank + word)
-
-    def look_up(self, table: dict[str, bytes], words: list[str], blank: str) -> bytes:
-        try:
-            return b"".join(map(table.__getitem__, words))
-        except KeyError:
+    def learn(self, table: dict[str, bytes], words: list[str], blank: str) -> None:
+        """Ids of new words after ``blank``; words with white space in them are left out.
+
+        Letters and the marks after them are separate pre-tokens, so stems of
+        letters are encoded in one go, whatever follows them.
+        """
+        if " ".join(words).split() != words:
+            words = [w for w in words if w.split() == [w]]
+        stems = [w.rstrip(TAIL) for w in words]
+        fresh = list({s for s in stems if s not in table and s.isalpha()})
+        if fresh:
+            # with a blank between them pre-token i is word i, with a line feed word i is pre-token 2i
+            joined, step = (" " + " ".join(fresh), 1) if blank else ("\n".join(fresh), 2)
+            found = self.tokenizer.encode(joined, add_special_tokens=False)
+            ids, at = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
+            starts = (4 * np.searchsorted(at, np.arange(0, step * len(fresh), step))).tolist()
+            ends = (4 * np.searchsorted(at, np.arange(1, step * len(fresh) + 1, step))).tolist()
+            table.update(zip(fresh, [ids[a:b] for a, b in zip(starts, ends)]))
+        odd = []
+        for w, stem in zip(words, stems):
+            if w is not stem and stem.isalpha():
+                mark = w[len(stem) :]
+                table[w] = table[stem] + (self.marks.get(mark) or self.marks.setdefault(mark, self.plain(mark)))
+            elif w not in table:
+                odd.append(w)
+        table.update((w, self.plain(blank + w)) for w in odd)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        for table in (self.first, self.later, self.marks):
             if len(table) > REMEMBERED:
                 table.clear()
-            for w in words:
-                if w not in table:
-                    table[w] = self.word(table, w, blank)
-            return b"".join(map(table.__getitem__, words))
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if UNEVEN.search(text):
-            return self.plain(text)
-        parts = []
-        for line in text.split("\n"):
-            head, _, rest = line.partition(" ")
-            parts.append(self.look_up(self.first, [head], ""))
-            if rest:
-                parts[-1] += self.look_up(self.later, rest.split(" "), " ")
-        return self.feed.join(parts)
+        split = [[line.split(" ") for line in text.split("\n")] for text in texts]
+        first, later = self.first, self.later
+        self.learn(first, list({line[0] for lines in split for line in lines if line[0] not in first}), "")
+        self.learn(later, list({w for lines in split for line in lines for w in line[1:] if w not in later}), " ")
+        out, get = [], later.__getitem__
+        for text, lines in zip(texts, split):
+            try:
+                out.append(self.feed.join([first[line[0]] + b"".join(map(get, line[1:])) for line in lines]))
+            except KeyError:  # uneven white space
+                out.append(self.plain(text) if text else b"")
+        return out
 
 
 def encoder_of(path: str) -> Encoder:
@@ -101,10 +112,13 @@ def encoder_of(path: str) -> Encoder:
     return held.__dict__[path]
 
 
-def pieces(docs: DataFrame, vocabulary: str, tokens: int = SEQUENCE_TOKENS, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame, vocabulary: str, tokens: int = SEQUENCE_TOKENS, end_id: int = END_ID, with_ids: bool = True
+) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, ids) per piece of every row of ``docs``.
 
-    ``ids`` is the piece's ids as little-endian unsigned 32-bit bytes. Null
+    ``ids`` is the piece's ids as little-endian unsigned 32-bit bytes, null
+    unless asked for. Null
     text is empty; every document ends with ``end_id``, so none is without a
     piece. Pieces are ``tokens`` long but the last of a document.
     """
@@ -114,17 +128,17 @@ def pieces(docs: DataFrame, vocabulary: str, tokens: int = SEQUENCE_TOKENS, end_
         encoder = encoder_of(vocabulary)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = encoder.encode(text or "") + end
-                total = len(ids) // 4
-                for start in range(0, total, tokens):
-                    part = ids[4 * start : 4 * (start + tokens)]
-                    out.append((doc_id, start, len(part) // 4, zlib.crc32(part), total, part))
-                if len(out) >= 2_000:
-                    yield pd.DataFrame(out, columns=names)
-                    out = []
-            yield pd.DataFrame(out, columns=names)
+            rows, texts = batch["doc_id"].tolist(), batch["text"].fillna("").tolist()
+            for low in range(0, len(rows), TEXTS):
+                out = []
+                some = texts[low : low + TEXTS]
+                for doc_id, ids in zip(rows[low : low + TEXTS], encoder.encode(some)):
+                    ids += end
+                    total = len(ids) // 4
+                    for start in range(0, total, tokens):
+                        part = ids[4 * start : 4 * (start + tokens)]
+                        out.append((doc_id, start, len(part) // 4, zlib.crc32(part), total, part if with_ids else None))
+                yield pd.DataFrame(out, columns=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(
@@ -199,7 +213,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, tokens: int =
     Every id of every row of ``docs`` (repeated rows too) is in exactly one
     piece, and the offsets of a sequence run from 0 without a gap.
     """
-    cut = cut_lineage(pieces(docs, vocabulary or public_vocabulary(), tokens).drop("ids"), "pieces")
+    cut = cut_lineage(pieces(docs, vocabulary or public_vocabulary(), tokens, with_ids=False).drop("ids"), "pieces")
     return place(cut, tokens)
 
 
