@@ -50,7 +50,7 @@ def ranked(members: DataFrame, *keys: str) -> DataFrame:
     that rise along it are the ranks.
     """
     repeated = members.groupBy(*keys).agg(F.count("*").alias("size"), F.min(place()).alias("first")).filter("size > 1")
-    return cut_lineage(repeated.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()).drop("size"), "ranks")
+    return repeated.orderBy(*keys).withColumn("rank", F.monotonically_increasing_id()).drop("size")
 
 
 def rank_tables(lines: DataFrame) -> list[DataFrame]:
@@ -93,16 +93,17 @@ def later_copies(tables: list[DataFrame]) -> DataFrame:
                 reach.filter("next is not null").groupBy("first", "length", "next")
                 .agg(F.count("*").alias("size"), F.min(place()).alias("own")).filter("size > 1").drop("size")
             )
-            split = cut_lineage(reach.join(parts, ["first", "length", "next"], "left"), "split")
-            stay = split.filter(F.col("own").isNull() | (place() == F.col("own"))).select("doc", "i", "length", "first")
-            move = split.filter(F.col("own").isNotNull()).select(
-                "doc", "i", (F.col("length") + (1 << k)).alias("length"), F.col("own").alias("first"))
-            nodes = stay.unionByName(move)
+            split = reach.join(parts, ["first", "length", "next"], "left")
+            stays = F.when(F.col("own").isNull() | (place() == F.col("own")), F.struct("length", "first"))
+            moves = F.when(F.col("own").isNotNull(), F.struct(
+                (F.col("length") + (1 << k)).alias("length"), F.col("own").alias("first")))
+            nodes = split.select("doc", "i", F.explode(F.array(stays, moves)).alias("to")).filter("to is not null").select(
+                "doc", "i", "to.length", "to.first")
         if k + 1 < len(tables):
             deeper = tables[k + 1].filter(place() > F.col("first")).select("doc", "i")
             table = table.join(deeper, ["doc", "i"], "left_anti")
         fresh = table.select("doc", "i", F.lit(1 << k).alias("length"), "first")
-        nodes = cut_lineage(fresh if nodes is None else nodes.unionByName(fresh), "nodes")
+        nodes = fresh if nodes is None else nodes.unionByName(fresh)
     best = F.max(F.struct("length", "first"))
     return nodes.filter(place() > F.col("first")).groupBy("doc", "i").agg(best.alias("best")).select("doc", "i", "best.*")
 
