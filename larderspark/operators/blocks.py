@@ -28,6 +28,9 @@ def bounded_blocks(df: DataFrame, key: str, size: Column, limit: int = BLOCK_BYT
         raise ValueError(f"one row of the query table takes more than {limit} bytes")
     if (stats.total or 0) <= limit:
         return [df]
+    heaviest = df.groupBy(key).agg(F.sum(size).alias("bytes")).agg(F.max("bytes")).first()[0]
+    if heaviest > limit:  # rows of one key cannot be split
+        raise ValueError(f"the rows of one {key} take more than {limit} bytes")
     n = math.ceil(2 * stats.total / limit)
     while True:
         block = F.pmod(F.xxhash64(key), F.lit(n))

@@ -16,3 +16,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+
+
+def keep_first_by_digest(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """``keep_first`` for long keys: rows are sorted and dealt by a 256-bit digest, not by whole texts."""
+    digest = F.sha2(F.to_json(F.struct(*keys)), 256)
+    return keep_first(df.withColumn("_digest", digest), ["_digest"], order).drop("_digest")

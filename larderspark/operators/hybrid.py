@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -99,7 +99,7 @@ def hybrid_rows(
         best = _best_score(c)
         return F.when(F.coalesce(best, zero) != 0, F.coalesce(F.col(c), zero) / best).otherwise(zero)
 
-    title_lower = F.coalesce(F.col("label_lower"), F.lower("product_id"))
+    title_lower = F.coalesce(F.nullif("label_lower", F.lit("")), F.lower("product_id"))
     in_words = title_lower.contains(F.col("phrase")) | F.coalesce(
         F.col("text_lower"), F.lit("")).contains(F.col("phrase"))
     rating = F.coalesce(F.col("average_score"), zero)
@@ -157,7 +157,8 @@ def ranked_rows(products: DataFrame, queries: DataFrame, points: DataFrame | Non
     ``points`` carry signatures.
     """
     plan = cut_lineage(with_strategy(queries))
-    n = plan.count()
+    n, most = plan.agg(F.count(F.lit(1)), F.max("top_k")).first()
+    weights = replace(weights, pool=max(weights.pool, most or 0))  # a pool below top_k would lose results
     lexical_hits = cut_lineage(lexical.lexical_ranking(products, plan, weights.pool))
     keyword_only = plan.filter(F.col("strategy") != HYBRID).select("query_id", "top_k")
     by_words = lexical_hits.join(small(keyword_only, n), "query_id").filter(

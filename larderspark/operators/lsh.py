@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larderspark.functions import vectors
 from larderspark.operators.blocks import BLOCK_BYTES
-from larderspark.operators.vector import CELLS, DIGITS, BestRows, rank_points, read_points
+from larderspark.operators.vector import CELLS, DIGITS, BestRows, ids_of, rank_points, read_points
 
 TABLES, BITS, SEED = 10, 7, 17
 PROBE_BYTES = 16  # one (signature, query) pair of the lookup
@@ -25,14 +26,17 @@ def signatures(matrix: np.ndarray, tables: int, bits: int, seed: int) -> np.ndar
 
 
 def with_codes(df: DataFrame, vector: str, tables: int = TABLES, bits: int = BITS, seed: int = SEED) -> DataFrame:
-    """Vectors with their signatures; store them together as the index."""
+    """Vectors with their signatures; store them together as the index.
+
+    Null, empty, zero and non-finite vectors match nothing and are left out.
+    """
     @F.pandas_udf("array<int>")
     def codes(column: pd.Series) -> pd.Series:
         if column.empty:
             return pd.Series([], dtype=object)
         return pd.Series(list(signatures(np.stack(column.to_numpy()).astype(np.float64), tables, bits, seed)))
 
-    return df.filter(F.size(vector) > 0).withColumn("codes", codes(F.col(vector)))
+    return df.filter((F.size(vector) > 0) & vectors.norm(F.col(vector)).between(5e-324, 1.7e308)).withColumn("codes", codes(F.col(vector)))
 
 
 def _lookup(unit: np.ndarray, tables: int, bits: int, seed: int) -> list[tuple]:
@@ -103,7 +107,7 @@ def ann_ranking(index: DataFrame, queries: DataFrame, k: int, tables: int = TABL
                     cosine = np.round(_cosines(block[part], unit, row, query) / norms[part][row], DIGITS)
                     good = cosine >= best.bar[query]
                     at = lo + row[good]
-                    best.add(query[good], cosine[good], reviews[at], rating[at], product[at])
+                    best.add(query[good], cosine[good], reviews[at], rating[at], ids_of(product, at))
             yield from best.batches(schema)
 
         return run

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderspark.functions import numeric, text
+from larderspark.operators.ranking import merge_top_k
 
 SUMMARIES = 6
 TEXTS = 8
@@ -17,8 +18,9 @@ def review_samples(cleaned: DataFrame) -> DataFrame:
     """At most 6 summaries and 8 shortened texts per product, best rated first.
 
     Each review becomes up to two narrow rows (kind, value). The ranked filter
-    keeps 8 per product and kind in every partition before the shuffle, so a
-    product with a third of all reviews sends a few rows, not its texts.
+    keeps 8 per product and kind in every partition before the shuffle and
+    merges them per slice of partitions, so a product with a third of all
+    reviews sends a few rows per slice, not its texts.
     """
     kinds = F.array(
         F.struct(F.lit("s").alias("kind"), F.col("Summary").alias("value")),
@@ -28,14 +30,14 @@ def review_samples(cleaned: DataFrame) -> DataFrame:
         "ProductId", "HelpfulnessDenominator", "HelpfulnessNumerator", "Score", "text_length", "Id",
         F.explode_outer(F.filter(kinds, lambda k: k["value"] != "")).alias("sample"),
     ).select("*", "sample.kind", "sample.value").drop("sample")
-    best = Window.partitionBy("ProductId", "kind").orderBy(
+    best = [
         F.desc_nulls_first("HelpfulnessDenominator"),
         F.desc_nulls_first("HelpfulnessNumerator"),
         F.desc_nulls_first("Score"),
         F.desc_nulls_first("text_length"),
         "Id",
-    )
-    kept = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= TEXTS)
+    ]
+    kept = merge_top_k(rows, ["ProductId", "kind"], best, TEXTS)
 
     def values(kind: str, limit: int):
         item = F.when(
@@ -100,11 +102,8 @@ def product_documents_basic(cleaned: DataFrame) -> DataFrame:
         F.count("Score").alias("nb_avis"),
         numeric.round_even(F.avg("HelpfulnessNumerator"), 2).alias("helpfulness_moy"),
     )
-    by_id = Window.partitionBy("ProductId").orderBy("Id")
-
     def first(value: Column, n: int, name: str) -> DataFrame:
-        rows = cleaned.select("ProductId", "Id", value.alias("value")).withColumn(
-            "rank", F.row_number().over(by_id)).filter(F.col("rank") <= n)
+        rows = merge_top_k(cleaned.select("ProductId", "Id", value.alias("value")), ["ProductId"], ["Id"], n)
         ordered = F.array_sort(F.collect_list(F.struct("rank", "value")))
         return rows.groupBy("ProductId").agg(F.transform(ordered, lambda x: x["value"]).alias(name))
 

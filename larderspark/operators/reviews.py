@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larderspark.functions import numeric, text
-from larderspark.operators.dedup import keep_first
+from larderspark.operators.dedup import keep_first_by_digest
 
 TEXT_COLUMNS = ("ProductId", "UserId", "ProfileName", "Summary", "Text")
 DUPLICATE_KEYS = ("ProductId", "UserId", "Score", "Time", "Summary", "Text")
@@ -55,7 +55,7 @@ def clean_reviews(reviews: DataFrame) -> DataFrame:
         & (F.col("HelpfulnessNumerator") <= F.col("HelpfulnessDenominator"))
     )
     valid = valid_reviews(normalize_reviews(numbers_ok))
-    return enrich_reviews(keep_first(valid, DUPLICATE_KEYS, ["Id"]))
+    return enrich_reviews(keep_first_by_digest(valid, DUPLICATE_KEYS, ["Id"]))
 
 
 def clean_reviews_basic(reviews: DataFrame) -> DataFrame:
@@ -71,4 +71,4 @@ def clean_reviews_basic(reviews: DataFrame) -> DataFrame:
             }
         )
     )
-    return keep_first(kept, ["ProductId", "Text"], ["Id"])
+    return keep_first_by_digest(kept, ["ProductId", "Text"], ["Id"])

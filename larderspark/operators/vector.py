@@ -144,16 +144,21 @@ def read_points(batch: pa.RecordBatch, dimension: int):
         raise ValueError("vectors of different dimensions")
     block = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
     norms = np.linalg.norm(block, axis=1)
-    if not norms.all():  # zero vectors match nothing
-        batch = batch.filter(pa.array(norms > 0))
-        block, norms = block[norms > 0], norms[norms > 0]
+    good = np.isfinite(norms) & (norms > 0)
+    if not good.all():  # zero and non-finite vectors match nothing
+        batch, block, norms = batch.filter(pa.array(good)), block[good], norms[good]
     return (
         block, norms, batch.column("review_count").to_numpy(zero_copy_only=False),
         batch.column("average_score").to_numpy(zero_copy_only=False),
-        np.array(batch.column("product_id").to_pylist(), dtype=object).astype(str), batch,
+        batch.column("product_id"), batch,
     )
 
 
+def ids_of(column: pa.Array, at: np.ndarray) -> np.ndarray:
+    """The ids of some rows only: those of a whole batch would be one wide array."""
+    return np.array(column.take(pa.array(at)).to_pylist(), dtype=object).astype(str)
+
+
 def _scan(plan, k: int, schema: pa.Schema):
     """mapInArrow function: the best ``k`` rows per query of one partition.
 
@@ -181,19 +186,19 @@ def _scan(plan, k: int, schema: pa.Schema):
                     bar = np.maximum(bar, kth)
                 hit, query = np.nonzero(scores >= bar)
                 at = lo + hit
-                best.add(query, scores[hit, query], reviews[at], rating[at], product[at])
+                best.add(query, scores[hit, query], reviews[at], rating[at], ids_of(product, at))
         yield from best.batches(schema)
 
     return run
 
 
 def usable_queries(queries: DataFrame) -> DataFrame:
-    """query_id, vector, min_score of queries with a non-zero vector."""
+    """query_id, vector, min_score of queries with a finite, non-zero vector; others match nothing."""
     threshold = F.col("min_score") if "min_score" in queries.columns else F.lit(None)
     return queries.select(
         "query_id", F.col("vector").cast("array<double>").alias("vector"),
         threshold.cast("double").alias("min_score"),
-    ).filter((F.size("vector") > 0) & (vectors.norm(F.col("vector")) > 0))
+    ).filter((F.size("vector") > 0) & vectors.norm(F.col("vector")).between(5e-324, 1.7e308))
 
 
 def rank_points(points: DataFrame, queries: DataFrame, k: int, scan: Callable, extra_bytes: int = 0,
@@ -232,7 +237,7 @@ def vector_ranking(points: DataFrame, queries: DataFrame, k: int, block_bytes: i
     ``points``: product_id, embedding and optionally review_count and
     average_score. ``queries``: query_id, vector and optionally min_score, the
     least cosine to report. Points are not shuffled; every partition sends at
-    most ``k`` rows per query. Zero and missing vectors never match.
+    most ``k`` rows per query. Zero, missing and non-finite vectors never match.
     """
     return rank_points(points, queries, k, _scan, block_bytes=block_bytes)
 

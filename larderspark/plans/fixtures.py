@@ -24,12 +24,7 @@ VIEWS: dict[str, str] = {
                text AS Text
         FROM documents""",
     "fx_queries": """
-        SELECT item_id AS query_id,
-               lower(concat(split_part(text, ' ', 1), ' ', split_part(text, ' ', 2))) AS query,
-               5 AS top_k,
-               lower(split_part(text, ' ', 1)) AS term_a,
-               lower(split_part(text, ' ', 2)) AS term_b
-        FROM benchmark""",
+        SELECT item_id AS query_id, lower(text) AS query, 5 AS top_k FROM benchmark""",
     "fx_examples": """
         SELECT doc_id AS example_id,
                concat(' query  ', CAST(doc_id % 40 AS STRING), ' ') AS query,

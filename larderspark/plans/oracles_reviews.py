@@ -136,8 +136,8 @@ ORACLES = {
           SELECT 'quality_report', count(*) FROM report)"""),
     "scan_reviews": with_views(["fx_reviews"], body="SELECT * FROM fx_reviews"),
     "normalize_text": f"SELECT page_id, {normalize('html')} AS html FROM pages",
-    "clean_text": f"""SELECT conv_id, turn, CASE WHEN turn > 0 THEN {collapse('text')} END AS text
-                      FROM conversations""",
+    "clean_text": f"""SELECT c.conv_id, c.turn, {collapse('c.text')} AS text, {collapse('n.text')} AS later
+                      FROM conversations c LEFT JOIN conversations n ON c.conv_id = n.conv_id AND n.turn = c.turn + 1""",
     "safe_cast": """
         SELECT event_id, CAST(trunc(TRY_CAST(v AS DOUBLE)) AS BIGINT) AS as_long,
                TRY_CAST(v AS DOUBLE) AS as_double

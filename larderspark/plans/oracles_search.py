@@ -28,7 +28,7 @@ SCORE = (
 )
 ASKED = f"""
 asked AS (SELECT *, string_split_regex(phrase, '{CLASS}+') AS terms
-          FROM (SELECT query_id, trim(query, {SPACES}) AS phrase, top_k, term_a, term_b FROM fx_queries)
+          FROM (SELECT query_id, trim(query, {SPACES}) AS phrase, top_k FROM fx_queries)
           WHERE phrase <> '')"""
 
 
@@ -83,7 +83,7 @@ mixed AS (
          round_even(0.65::DOUBLE * cosine / max(cosine) OVER q
            + 0.35::DOUBLE * coalesce(CAST(pool.lexical_score AS DOUBLE), 0)
              / coalesce(nullif(CAST(max(pool.lexical_score) OVER q AS DOUBLE), 0), 1)
-           + CASE WHEN contains(CASE WHEN p.label_hint IS NULL THEN lower(p.product_id) ELSE label_lower END, phrase)
+           + CASE WHEN contains(coalesce(nullif(label_lower, ''), lower(p.product_id)), phrase)
                     OR contains(text_lower, phrase) THEN 0.08::DOUBLE ELSE 0 END
            + least(p.average_score / 5.0::DOUBLE, 1.0) * 0.02::DOUBLE
            + least(ln(1 + p.review_count) / 5.0::DOUBLE, 1.0) * 0.03::DOUBLE, 6) AS score
@@ -175,8 +175,9 @@ _S, _R = SUMMARY.split("%s"), RECOMMENDATION.split("%s")
 JUDGED = """
 judged AS (
   SELECT query_id, rank, product_id,
-         CAST(contains(words, term_a) AND contains(words, term_b) AS INT) AS relevant
-  FROM (SELECT r.query_id, r.rank, r.product_id, term_a, term_b,
+         CAST(len(list_filter(terms, lambda t, i: i % 2 = 1 AND t <> '' AND contains(words, t))) > 0
+              AND len(list_filter(terms, lambda t, i: i % 2 = 0 AND t <> '' AND contains(words, t))) > 0 AS INT) AS relevant
+  FROM (SELECT r.query_id, r.rank, r.product_id, string_split(query, ' ') AS terms,
                lower(concat_ws(' ', r.title, coalesce(p.label_hint, ''), text_lower)) AS words
         FROM {results} r JOIN products p USING (product_id) JOIN fx_queries USING (query_id))),
 measured AS (
@@ -247,6 +248,11 @@ ORACLES = {
         WHERE rank BETWEEN 3 AND 4""", RECORDS),
     "vector_search": with_views([], CENTROIDS, body="""
         SELECT query_id, product_id, round_even(cosine, 6) AS cosine, rank FROM nearest WHERE cosine >= 0.1"""),
+    "vector_search_dirty": with_views([], CENTROIDS, body="""
+        SELECT query_id, product_id, cosine, rank FROM (
+          SELECT query_id, CAST(vec_id AS VARCHAR) AS product_id, round_even(cosine, 6) AS cosine,
+                 CAST(row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, CAST(vec_id AS VARCHAR)) AS INT) AS rank
+          FROM paired WHERE vec_id % 7 > 3) WHERE rank <= 10"""),
     "cosine_pairs": with_views([], CENTROIDS, body="""
         SELECT vec_id, label, round_even(cosine, 6) AS cosine FROM paired WHERE label = query_id"""),
     "angle_metrics": with_views([], CENTROIDS, body=f"""
@@ -296,6 +302,8 @@ ORACLES = {
                review_count AS nb_reviews, round_even(cosine, 6) AS semantic_similarity,
                {angle('cosine')} AS vector_angle_degrees, {angle_percent('cosine')} AS relevance_percent,
                'semantic_hybrid' AS strategy FROM best""", HYBRID, k=20),
+    "hybrid_small_pool": search(
+        "SELECT query_id, rank, product_id, score FROM best", HYBRID.replace("rn <= 20", "rn <= 5"), k=5),
     "search_strategy": search(f"""
         SELECT query_id, {STRATEGY} AS strategy,
                CASE WHEN {STRATEGY} = 'lexical_fallback' THEN

@@ -51,9 +51,11 @@ def normalize_text(spark, sf):
 
 
 def clean_text(spark, sf):
+    """Every turn, beside the one after it (null after the last turn)."""
     rows = fixtures.table(spark, sf, "conversations")
-    value = text.clean_text(F.when(F.col("turn") > 0, F.col("text")))
-    return rows.select("conv_id", "turn", value.alias("text"))
+    later = rows.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("later"))
+    return rows.join(later, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", text.clean_text(F.col("text")).alias("text"), text.clean_text(F.col("later")).alias("later"))
 
 
 def safe_cast(spark, sf):

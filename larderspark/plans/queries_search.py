@@ -26,7 +26,10 @@ def queries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def benchmark(spark: SparkSession, sf: str) -> DataFrame:
-    groups = F.array(F.array("term_a"), F.array("term_b"))
+    """Two term groups per query: all its words at odd places, and all at even ones."""
+    words = F.split("query", " ")
+    at = lambda odd: F.filter(words, lambda w, i: (i % 2 == odd) & (w != ""))
+    groups = F.array(at(0), at(1))
     return queries(spark, sf).select("query_id", "query", "top_k", groups.alias("positive_groups"))
 
 
@@ -103,6 +106,21 @@ def vector_search(spark, sf):
         "query_id", "product_id", six("cosine"), "rank")
 
 
+def vector_search_dirty(spark, sf):
+    """Vectors with NaN, null and infinite components and zero vectors among the others."""
+    def at_third(value):
+        return F.transform("embedding", lambda x, i: F.when(i == 3, F.lit(value).cast("float")).otherwise(x))
+
+    dirty = (
+        F.when(F.col("vec_id") % 7 == 0, at_third(float("nan"))).when(F.col("vec_id") % 7 == 1, at_third(None))
+        .when(F.col("vec_id") % 7 == 2, at_third(float("inf")))
+        .when(F.col("vec_id") % 7 == 3, F.transform("embedding", lambda x: F.lit(0).cast("float")))
+        .otherwise(F.col("embedding")))
+    return vector.vector_ranking(
+        embeddings(spark, sf).withColumn("embedding", dirty), centroid_queries(spark, sf), 10
+    ).select("query_id", "product_id", six("cosine"), "rank")
+
+
 def ann_index(spark, sf):
     """Vectors with norm and signatures, stored like an index."""
     rows = embeddings(spark, sf).withColumn("norm", vectors.norm(F.col("embedding")))
@@ -247,9 +265,16 @@ def hybrid_search(spark, sf):
         six("semantic_similarity"), "vector_angle_degrees", "relevance_percent", "strategy")
 
 
+def hybrid_small_pool(spark, sf):
+    """A pool below the number of rows asked for is raised to it."""
+    products, asked, stored = search_inputs(spark, sf, False)
+    rows = hybrid.search(products, asked, stored, hybrid.Weights(pool=2), all_indexed=True)
+    return rows.select("query_id", "rank", "product_id", "score")
+
+
 def search_results(spark, sf):
     products, asked, stored = search_inputs(spark, sf, True)
-    return flat(hybrid.search(products, asked, stored)).drop("semantic_similarity")
+    return flat(hybrid.search(products, asked, stored, all_indexed=True)).drop("semantic_similarity")
 
 
 def search_strategy(spark, sf):
@@ -383,6 +408,8 @@ QUERIES = {
     "keyword_search": keyword_search,
     "sorted_page": sorted_page,
     "vector_search": vector_search,
+    "vector_search_dirty": vector_search_dirty,
+    "hybrid_small_pool": hybrid_small_pool,
     "ann_search": ann_search,
     "ann_recall": ann_recall,
     "cosine_pairs": cosine_pairs,

@@ -43,6 +43,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if current is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="larder-checkpoint-"))
         current = context.getCheckpointDir()
     return current

@@ -14,25 +14,27 @@ from larderspark.functions import text
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """Review CSV with the declared schema, quoted fields may span lines.
+    """Review CSV, columns taken by header name; quoted fields may span lines.
 
-    A header that does not name these columns in this order is an error.
+    Other orders and further columns are fine. A field that is not of its
+    type becomes null. Files whose headers differ from each other are an error,
+    and so is a missing column. One task reads a file: bring many.
     """
-    return (
-        spark.read.schema(schemas.REVIEWS)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", True)
-        .csv(path)
-    )
+    return _reviews(spark, path, schemas.REVIEWS)
+
+
+def _reviews(spark: SparkSession, path: str, wanted: T.StructType) -> DataFrame:
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+    names = reader.csv(path).columns
+    require_columns(names, wanted.names)
+    texts = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    rows = reader.option("enforceSchema", False).schema(texts).csv(path)
+    return rows.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted])
 
 
 def read_reviews_tolerant(spark: SparkSession, path: str) -> DataFrame:
     """The older column subset; a field that does not parse becomes null."""
-    columns = [c for c in schemas.REVIEWS.names if c != "ProfileName"]
-    return read_reviews(spark, path).select(*columns)
+    return _reviews(spark, path, T.StructType([f for f in schemas.REVIEWS if f.name != "ProfileName"]))
 
 
 def read_nutrition(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -67,6 +69,7 @@ def read_catalog_dump(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)  # a file with its columns in another order is an error
         .option("sep", "\t")
         .option("quote", '"')
         .option("escape", '"')
@@ -130,10 +133,16 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def read_table(spark: SparkSession, name: str, columns: Iterable[str] = ("*",), limit: int = 0) -> DataFrame:
-    """Columns of a catalogue table, with the optional ``LIMIT`` of the embed job."""
+def read_table(
+    spark: SparkSession, name: str, columns: Iterable[str] = ("*",), limit: int = 0, order: Iterable[str] = ()
+) -> DataFrame:
+    """Columns of a catalogue table, with the optional ``LIMIT`` of the embed job, by the columns of ``order``."""
     df = spark.read.table(name).select(*columns)
-    return df.limit(limit) if limit > 0 else df
+    if limit <= 0:
+        return df
+    if not order:
+        raise ValueError("a limit needs an order")
+    return df.orderBy(*order).limit(limit)
 
 
 def read_database(

@@ -204,11 +204,24 @@ def test_jobs_end_to_end(spark, tmp_path):
 
 def test_table_with_limit(spark):
     spark.range(10).withColumn("v", F.lit(1)).createOrReplaceTempView("some_table")
-    assert readers.read_table(spark, "some_table", ["id"], 3).columns == ["id"]
-    assert readers.read_table(spark, "some_table", ["id"], 3).count() == 3
+    assert readers.read_table(spark, "some_table", ["id"], 3, ["id"]).columns == ["id"]
+    assert readers.read_table(spark, "some_table", ["id"], 3, ["id"]).count() == 3
+    with pytest.raises(ValueError, match="order"):
+        readers.read_table(spark, "some_table", ["id"], 3)
     assert readers.read_table(spark, "some_table").count() == 10
 
 
+def test_dump_files_with_other_column_order_are_an_error(spark, tmp_path):
+    from larderspark import schemas
+
+    names = list(schemas.CATALOG_REQUIRED)
+    for n, order in enumerate((names, names[::-1])):
+        (tmp_path / f"{n}.tsv").write_text("\t".join(order) + "\n" + "\t".join(order) + "\n")
+    assert readers.read_catalog_dump(spark, str(tmp_path / "0.tsv")).count() == 1
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        readers.read_catalog_dump(spark, str(tmp_path)).collect()
+
+
 def test_barcodes(spark):
     values = spark.createDataFrame([("2, 1,,3",)], "value string")
     lines = spark.createDataFrame([("# no",), (" 4 ",), ("",), ("5,6",), (" # kept",)], "value string")

@@ -107,8 +107,17 @@ def test_review_file_round_trip(spark, tmp_path):
     assert [(r.Id, r.Text, r.Score) for r in back] == [(1, 'two\nlines, "quoted" ', 5.0), (2, "plain", 5.0)]
     assert "ProfileName" not in readers.read_reviews_tolerant(spark, str(tmp_path / "r")).columns
     (tmp_path / "bad.csv").write_text("Id,Other\n1,2\n")
-    with pytest.raises(Exception, match="(?i)header|schema"):
-        readers.read_reviews(spark, str(tmp_path / "bad.csv")).collect()
+    with pytest.raises(ValueError, match="missing required columns"):
+        readers.read_reviews(spark, str(tmp_path / "bad.csv"))
+
+
+def test_review_columns_are_taken_by_name(spark, tmp_path):
+    names = [f.name for f in schemas.REVIEWS][::-1]
+    row = {**dict.fromkeys(names, "1"), "Text": "fine", "Score": "x", "More": "?"}
+    (tmp_path / "r.csv").write_text(",".join([*names, "More"]) + "\n" + ",".join(row[n] for n in [*names, "More"]) + "\n")
+    (back,) = readers.read_reviews(spark, str(tmp_path / "r.csv")).collect()
+    assert (back.Id, back.Text, back.Score) == (1, "fine", None)
+    assert back.__fields__ == [f.name for f in schemas.REVIEWS]
 
 
 def test_pipeline_outputs(spark, tmp_path):

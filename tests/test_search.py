@@ -101,6 +101,49 @@ def test_blocks_are_bounded(spark):
         blocks.bounded_blocks(df, "id", F.col("size"), 5)
 
 
+def test_rows_of_one_key_above_the_bound_are_an_error(spark):
+    df = spark.range(200).select(F.lit(1).alias("id"), F.lit(10).alias("size"))
+    with pytest.raises(ValueError, match="one id"):
+        blocks.bounded_blocks(df, "id", F.col("size"), 1000)
+
+
+def test_vectors_that_are_not_finite_lose_nothing(spark):
+    good = [(f"p{i}", [1.0, i / 10]) for i in range(20)]
+    bad = [(f"x{i}", [float("nan"), 1.0]) for i in range(3)] + [("y", [None, 1.0]), ("z", [float("inf"), 1.0]), ("o", [0.0, 0.0])]
+    points = spark.createDataFrame(good + bad, "product_id string, embedding array<float>").coalesce(1)
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [float("nan"), 1.0])], "query_id int, vector array<float>")
+    got = vector.vector_ranking(points, queries, 3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.product_id) for r in got] == [(1, "p0"), (1, "p1"), (1, "p2")]
+    assert lsh.with_codes(points, "embedding").count() == 20
+
+
+def test_pool_below_top_k_loses_nothing(spark):
+    _, df, _, points, _, queries = hybrid_inputs(spark)
+    products = lexical.search_ready(df)
+    for mode in ("semantic", "keyword"):
+        asked = queries.withColumn("mode", F.lit(mode))
+        small = hybrid.search(products, asked, points, hybrid.Weights(pool=3), all_indexed=True)
+        large = hybrid.search(products, asked, points, hybrid.Weights(pool=10), all_indexed=True)
+        columns = ["query_id", "rank", "product_id", "score"]
+        assert sorted(small.select(columns).collect()) == sorted(large.select(columns).collect())
+
+
+def test_scratch_space_must_be_shared(monkeypatch):
+    from larderspark import session
+
+    class Remote:
+        class sparkContext:
+            master = "spark://host"
+            getCheckpointDir = staticmethod(lambda: None)
+            getConf = staticmethod(dict)
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Remote)
+
+
 def vectors_and_queries(spark, n=300, dim=8, seed=3):
     rng = np.random.default_rng(seed)
     data = rng.standard_normal((n, dim)).astype(np.float32)
