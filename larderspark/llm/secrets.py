@@ -27,6 +27,8 @@ LEAST_VALUE = 6
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 #: Documents that random strings, and identifiers, are learned from, at most (chosen by hash).
 RANDOM_ROWS, IDENTIFIER_ROWS = 20_000, 2_000
+#: Pairs that a character's share counts like, in the probability of what follows another.
+BACK_OFF = 5
 #: Mean log-likelihood ratio per character pair from which a candidate is reported.
 THRESHOLD = 0.5
 MARK = "\u0001"
@@ -93,11 +95,16 @@ def fit_model(docs: DataFrame, text: str = "text") -> list[float] | None:
     size = len(ALPHABET)
 
     def logs(strings: DataFrame) -> list[float] | None:
-        counts = [[0.5] * size for _ in range(size)]
         rows = pair_counts(strings).collect()
+        counts = [[0] * size for _ in range(size)]
         for r in rows:
-            counts[r["a"] - 1][r["b"] - 1] += r["n"]
-        return [math.log(n / sum(row)) for row in counts for n in row] if rows else None
+            counts[r["a"] - 1][r["b"] - 1] = r["n"]
+        whole = sum(map(sum, counts))
+        share = [(sum(row[b] for row in counts) + 0.5) / (whole + 0.5 * size) for b in range(size)]
+        # pairs back off to the second character's share
+        return [
+            math.log((n + BACK_OFF * share[b]) / (sum(row) + BACK_OFF)) for row in counts for b, n in enumerate(row)
+        ] if rows else None
 
     one, other = logs(random), logs(plain)
     return [x - y for x, y in zip(one, other)] if one and other else None
