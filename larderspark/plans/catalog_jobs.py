@@ -46,9 +46,12 @@ def import_catalog(spark: SparkSession, dump: str, warehouse: str, limit: int =
 
 
 def import_payloads(spark: SparkSession, landed: str, warehouse: str) -> int:
-    """Landed payloads into the catalogue table; of equal codes one row wins."""
+    """Landed payloads into the catalogue table; of equal codes one row wins.
+
+    A payload without a code takes the barcode its file is named after.
+    """
     def job() -> int:
-        rows = catalog.normalize_payloads(readers.read_payloads(spark, landed))
+        rows = catalog.normalize_payloads(readers.read_payloads(spark, landed), F.col("barcode"))
         return load(last_wins(rows, ["code"], ["raw_payload"]), f"{warehouse}/catalog", ["code"])
 
     return ledger.run_logged(spark, f"{warehouse}/runs", "catalog_payloads", job, {"path": landed})

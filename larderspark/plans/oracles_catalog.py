@@ -164,6 +164,7 @@ ORACLES = {
     "initcap_words": with_views(["fx_foods"], body=f"""
         SELECT fdc_id, {INITCAP.format(c='description')} AS name FROM fx_foods"""),
     "dim_categories": with_views(["fx_categories"], CATEGORIES, body="SELECT * FROM cats"),
+    "scan_nutrition": with_views(["fx_foods"], body="SELECT * FROM fx_foods"),
     "dim_foods": with_views(["fx_categories", "fx_foods"], FOODS, body="SELECT * FROM foods"),
     "dim_foundation": with_views(["fx_foods"], body=f"""
         SELECT CAST(fdc_id AS BIGINT) AS fdc_id, food_category_id AS ndb_number,

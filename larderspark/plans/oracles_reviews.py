@@ -135,6 +135,10 @@ ORACLES = {
           SELECT 'sample_products', least(250, count(*)) FROM sizes UNION ALL
           SELECT 'quality_report', count(*) FROM report)"""),
     "scan_reviews": with_views(["fx_reviews"], body="SELECT * FROM fx_reviews"),
+    "scan_reviews_by_name": with_views(["fx_reviews"], body="SELECT * EXCLUDE (ProfileName) FROM fx_reviews"),
+    "artefact_names": """
+        SELECT page_id, trim(regexp_replace(lower(url), '[^a-z0-9]+', '_', 'g'), '_') AS slug,
+               translate(url, ':-.', '___') AS suffix FROM pages""",
     "normalize_text": f"SELECT page_id, {normalize('html')} AS html FROM pages",
     "clean_text": f"""SELECT c.conv_id, c.turn, {collapse('c.text')} AS text, {collapse('n.text')} AS later
                       FROM conversations c LEFT JOIN conversations n ON c.conv_id = n.conv_id AND n.turn = c.turn + 1""",

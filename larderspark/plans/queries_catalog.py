@@ -10,7 +10,7 @@ from larderspark.operators import catalog, ledger, master, nutrition, quality, r
 from larderspark.operators.upsert import upsert, upsert_partial
 from larderspark.plans import catalog_jobs, fixtures
 from larderspark.session import cut_lineage, scratch_path
-from larderspark.sources import readers
+from larderspark.sources import readers, writers
 
 AMOUNT_MAX = 90_000
 REPORT_COLUMNS = ("product_name", "brand", "categories", "ingredients_text", "allergens", "nutriscore")
@@ -61,6 +61,14 @@ def scan_tsv_dump(spark, sf):
     return dump.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c.replace("-", "_")) for c in dump.columns])
 
 
+def scan_nutrition(spark, sf):
+    """A nutrition file with its columns in another order, read back by name."""
+    foods = fixtures.view(spark, sf, "fx_foods")
+    path = scratch_path(spark, "nutrition")
+    writers.write_csv(foods.select(*foods.columns[::-1], F.lit("x").alias("more")), f"{path}/food.csv")
+    return readers.read_nutrition(spark, path, "food")
+
+
 def normalize_payload(spark, sf):
     source = fixtures.catalog_dump(spark, sf)
     product = F.struct(
@@ -215,6 +223,7 @@ def extract_json(spark, sf):
 
 
 QUERIES = {
+    "scan_nutrition": scan_nutrition,
     "scan_tsv_dump": scan_tsv_dump,
     "normalize_payload": normalize_payload,
     "barcode_list": barcode_list,

@@ -45,6 +45,21 @@ def scan_reviews(spark, sf):
     )
 
 
+def scan_reviews_by_name(spark, sf):
+    """Columns in another order, with a further one, by header name; the older subset of columns."""
+    rows = raw(spark, sf)
+    path = scratch_path(spark, "reviews-csv")
+    writers.write_csv(rows.select(*rows.columns[::-1], F.lit("x").alias("More")), path)
+    return readers.read_reviews_tolerant(spark, path).withColumns(
+        {c: F.coalesce(c, F.lit("")) for c in ("Summary", "Text")}
+    )
+
+
+def artefact_names(spark, sf):
+    pages = fixtures.table(spark, sf, "pages")
+    return pages.select("page_id", text.slug(F.col("url")).alias("slug"), text.suffix(F.col("url")).alias("suffix"))
+
+
 def normalize_text(spark, sf):
     pages = fixtures.table(spark, sf, "pages")
     return pages.select("page_id", text.normalize_text(F.col("html")).alias("html"))
@@ -166,6 +181,8 @@ def empty_source(spark, sf):
 
 QUERIES = {
     "scan_reviews": scan_reviews,
+    "scan_reviews_by_name": scan_reviews_by_name,
+    "artefact_names": artefact_names,
     "normalize_text": normalize_text,
     "clean_text": clean_text,
     "safe_cast": safe_cast,

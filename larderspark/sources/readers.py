@@ -92,8 +92,14 @@ def column_or(df: DataFrame, name: str, default: Column | None = None) -> Column
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed product payloads, one JSON document per line, kept as text."""
-    return spark.read.text(path).select(F.col("value").alias("payload"))
+    """Landed product payloads, one JSON document per line, kept as text.
+
+    ``barcode`` is the one that was asked for, if the file is named after it
+    (``123.json``), else null.
+    """
+    asked = F.regexp_extract("_metadata.file_name", r"^([0-9]+)\.", 1)
+    return spark.read.text(path).select(
+        F.col("value").alias("payload"), F.when(asked != "", asked).alias("barcode"))
 
 
 def barcode_list(values: DataFrame, lines: DataFrame | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from larderspark.operators import embedding
+from larderspark.operators.dedup import keep_first
 from larderspark.operators.upsert import last_wins, upsert
 from larderspark.sources import writers
 
@@ -63,7 +64,7 @@ def embed_stream(documents: DataFrame, key: str, text_column: str, out: str, che
         target = f"{out}/batch={number}"
         done = read_embedded(spark, out, schema)
         earlier = done.filter(F.col("batch") < number)
-        todo = embedding.remaining(batch.dropDuplicates([key]), earlier, key)
+        todo = embedding.remaining(keep_first(batch, [key], [F.desc_nulls_last(text_column)]), earlier, key)
         new = embedding.embed_documents(todo, key, text_column, max_chars, make_encoder)
         new.filter(F.col("embedding").isNotNull()).select(*schema.names).write.mode("overwrite").parquet(target)
 
