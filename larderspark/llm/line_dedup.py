@@ -89,16 +89,18 @@ def later_copies(tables: list[DataFrame]) -> DataFrame:
             reach = nodes.withColumn("at", F.col("i") + F.col("length"))
             ahead = table.select("doc", F.col("i").alias("at"), F.col("rank").alias("next"))
             reach = cut_lineage(reach.join(ahead, ["doc", "at"], "left").drop("at"), "reach")
+            ends = reach.filter("next is null").select("doc", "i", "length", "first")  # nothing repeated follows
+            goes_on = reach.filter("next is not null")
             parts = (
-                reach.filter("next is not null").groupBy("first", "length", "next")
+                goes_on.groupBy("first", "length", "next")
                 .agg(F.count("*").alias("size"), F.min(place()).alias("own")).filter("size > 1").drop("size")
             )
-            split = reach.join(parts, ["first", "length", "next"], "left")
+            split = goes_on.join(parts, ["first", "length", "next"], "left")
             stays = F.when(F.col("own").isNull() | (place() == F.col("own")), F.struct("length", "first"))
             moves = F.when(F.col("own").isNotNull(), F.struct(
                 (F.col("length") + (1 << k)).alias("length"), F.col("own").alias("first")))
             nodes = split.select("doc", "i", F.explode(F.array(stays, moves)).alias("to")).filter("to is not null").select(
-                "doc", "i", "to.length", "to.first")
+                "doc", "i", "to.length", "to.first").unionByName(ends)
         if k + 1 < len(tables):
             deeper = tables[k + 1].filter(place() > F.col("first")).select("doc", "i")
             table = table.join(deeper, ["doc", "i"], "left_anti")
