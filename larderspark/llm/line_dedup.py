@@ -29,7 +29,7 @@ def row_key(row: str, text: str) -> Column:
 
 
 def lines_of(docs: DataFrame, row: str, text: str) -> DataFrame:
-    """(doc, i, line, words): every line of every distinct document. A line's id is a 96-bit digest."""
+    """(doc, i, line, words): every line of every document. A line's id is a 96-bit digest."""
     line = F.col("raw")
     words = F.size(F.filter(F.split(line, BLANKS), lambda w: w != ""))
     return (
@@ -115,7 +115,9 @@ def repeated_runs(docs: DataFrame, row: str = "doc_id", text: str = "text", leas
 
     None if no line occurs twice. The order of documents is that of ``row_key``.
     """
-    tables = rank_tables(lines_of(docs.select(row, text).filter(F.col(text).isNotNull()).distinct(), row, text))
+    lines = lines_of(docs.select(row, text).filter(F.col(text).isNotNull()), row, text)
+    # repeated rows are one document; its lines are shorter to compare than its text
+    tables = rank_tables(cut_lineage(lines.dropDuplicates(["doc", "i"]), "lines"))
     if not tables:
         return None
     along = Window.partitionBy("doc").orderBy("i")
