@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entrypoint
-from larderspark.plans import fixtures, queries_catalog, queries_search
+from larderspark.plans import fixtures, queries_catalog, queries_search, registry
 from larderspark.streaming import jobs
 from larderspark.operators.upsert import upsert
 from larderspark.sources import writers
@@ -21,7 +21,9 @@ ROOT = Path(__file__).resolve().parents[1]
 
 
 def test_every_query_has_sql():
-    assert set(entrypoint.queries()) - set(entrypoint.oracle_sql()) == WITHOUT_SQL
+    assert set(registry.QUERIES) - set(registry.ORACLES) == WITHOUT_SQL
+    assert set(registry.ORACLES) <= set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(entrypoint.queries())
     assert set(entrypoint.oracle_sql()) <= set(entrypoint.queries())
 
 
@@ -44,7 +46,7 @@ def has_no_cross_join(df):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
-@pytest.mark.parametrize("key", list(entrypoint.queries()))
+@pytest.mark.parametrize("key", list(registry.QUERIES))
 def test_query_equals_sql(spark, sf_dir, duck, key):
     problem, _, n, _ = compare.compare(spark, duck, key, sf_dir, has_no_cross_join)
     assert not problem
