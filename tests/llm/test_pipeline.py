@@ -63,3 +63,13 @@ def test_nothing_else_imports_the_package():
             "assert 'pipeline' not in e.queries() and len(e.queries()) > 80")
     done = subprocess.run([sys.executable, "-c", code], cwd=corpus_pipeline.__file__.rpartition("/")[0], capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+@pytest.mark.parametrize("key", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+def test_queries_without_sql_run_on_whole_tables(spark, key):
+    df = queries.QUERIES[key](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+    table = "pages" if key.startswith("op8") else "documents"
+    first = df.columns[0]
+    assert df.select(first).distinct().count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
