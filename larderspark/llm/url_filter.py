@@ -22,8 +22,17 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Host words of the label list: a URL whose host has one as a hyphenated part is labelled bad.
-BAD_WORDS = ("casino", "pills", "spam")
+#: Host words of the label list, by kind: a URL whose host has one between dots, hyphens or digits is labelled bad.
+BAD_WORDS = (
+    "bet", "bets", "betting", "bingo", "blackjack", "casino", "casinos", "gambling", "jackpot", "lottery", "poker",
+    "roulette", "slots",
+    "cialis", "meds", "pharma", "pill", "pills", "steroids", "viagra",
+    "adult", "cams", "erotic", "escort", "escorts", "hentai", "nude", "nudes", "porn", "porno", "sex", "sexy", "xxx",
+    "ad", "ads", "adserver", "adservice", "advert", "adverts", "affiliate", "banner", "banners", "clickbait", "popup",
+    "popups", "track", "tracker", "trackers", "tracking",
+    "backlinks", "linkfarm", "phish", "phishing", "scam", "spam", "spammer",
+    "cracked", "keygen", "malware", "torrents", "trojan", "warez",
+)
 #: Labelled URLs that the trees are fitted on, at most (chosen by hash), and rows that a suffix needs for a statistic.
 TRAINING_ROWS, SUFFIX_ROWS = 10_000, 20
 TREES, DEPTH = 15, 3
@@ -87,12 +96,25 @@ def with_suffix(rows: DataFrame, statistics: DataFrame, share: float) -> DataFra
     return rows.join(F.broadcast(statistics), "suffix", "left").fillna({"suffix_rate": share, "suffix_share": 0.0})
 
 
+def suspicious_form(url: Column) -> Column:
+    """Signs of a bad URL that need no word: a user name before the host, an address for a name, a punycode label,
+    two hyphens in one label, or a label with four digits or more."""
+    host = host_of(url)
+    return host.contains("@") | host.rlike(r"^(\d{1,3}\.){3}\d{1,3}(:\d+)?\z") | host.rlike(
+        r"(^|\.)xn--|-[^.]*-|(\d[^.]*){4}")
+
+
 def labelled_by_words(urls: DataFrame, words=BAD_WORDS) -> DataFrame:
-    """(url, label): 1 if a hyphenated part of a host label is a listed word, else 0."""
-    parts = F.split(host_of(F.col("url")), r"[.-]")
-    return urls.filter("url is not null").select(
-        "url", F.arrays_overlap(parts, F.array(*map(F.lit, words))).cast("int").alias("label")
-    )
+    """(url, label): 1 if a part of the host is a listed word or the URL has a suspicious form, else 0.
+
+    A host with a hyphen and neither of these has a null label: what no list
+    names is not thereby good, so it teaches the trees nothing and they judge
+    it by its likeness to the labelled ones.
+    """
+    host = host_of(F.col("url"))
+    listed = F.arrays_overlap(F.split(host, "[^a-z]+"), F.array(*map(F.lit, words)))
+    label = F.when(listed | suspicious_form(F.col("url")), 1).when(~host.contains("-"), 0)
+    return urls.filter("url is not null").select("url", label.alias("label"))
 
 
 class Model:
@@ -146,5 +168,5 @@ def judge(pages: DataFrame, model: Model, rules=RULES) -> DataFrame:
 
 
 def filter_pages(pages: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """``judge`` with a model of ``labelled``; unset, the pages' URLs labelled by the word list."""
+    """``judge`` with a model of ``labelled``; unset, the pages' URLs labelled by words and form."""
     return judge(pages, fit_model(labelled_by_words(pages) if labelled is None else labelled))

@@ -1,9 +1,11 @@
 import math
 from collections import Counter
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
-from larderspark.llm import url_filter
+from larderspark.llm import queries, url_filter
 
 CASES = {
     "http://A.Example.NET/en/x?q": ("a.example.net", "/en/x", "example.net/en/", "allow"),
@@ -58,3 +60,43 @@ def test_trees_learn_from_labelled_urls_without_python(spark, capsys):
     assert {r.page_id: r.verdict for r in found.collect()} == {1: "allow", 2: "block"}
     found.explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def verdicts(spark, pages, path):
+    """Undecided by rules, as the registered query judges them: host to its verdicts."""
+    pages.write.parquet(f"{path}/pages.parquet")
+    found = queries.QUERIES["op8_url_filter"](spark, str(path)).filter("rule is null")
+    return {r.host: set(r.v) for r in found.groupBy("host").agg(F.collect_set("verdict").alias("v")).collect()}
+
+
+def test_registered_query_blocks_hosts_that_the_list_does_not_name(spark, tmp_path):
+    named = ["m.casino-win", "free-bets", "www.cheap-pills", "m.ads-track", "blog.adult-x", "spam-farm"]
+    unnamed = ["m.golden-rush", "quick-loot", "www.mega-sale", "blog.hot-z"]
+    words = {w for h in unnamed for w in h.replace("-", ".").split(".")}
+    assert not words & set(url_filter.BAD_WORDS)
+    clean = [f"{s}th{w}" for s in ("", "m.", "www.", "blog.") for w in ("er", "on", "ing", "and", "or", "ese", "ble", "tion")]
+    ends = ["{}.html", "{}", "{}/", "{}?utm_source=feed", "{}#top", "{}?page=2&ref=x"]
+    urls = [f"http://{h}.example.{'com' if i % 2 else 'org'}/en/{ends[i % 6].format(i * 37 % 9973)}"
+            for k, h in enumerate(clean * 3 + named + unnamed) for i in range(k, k + 12)]
+    found = verdicts(spark, spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), tmp_path)
+    for h in named + unnamed:
+        assert {frozenset(v) for host, v in found.items() if host.startswith(h + ".")} == {frozenset({"block"})}, h
+    assert {frozenset(v) for host, v in found.items() if "-" not in host} == {frozenset({"allow"})}
+
+
+def test_registered_query_on_the_given_pages(spark, tmp_path):
+    path = Path("/root/testdata/sf0.1/pages.parquet")
+    if not path.exists():
+        pytest.skip("test tables are not here")
+    found = verdicts(spark, spark.read.parquet(str(path)), tmp_path)
+    bad = {h: v for h, v in found.items() if "-" in h}
+    assert len(bad) > 3 and all(v == {"block"} for v in bad.values())
+    assert all(v == {"allow"} for h, v in found.items() if "-" not in h)
+
+
+def test_labels(spark):
+    cases = {"http://free-bets.a/": 1, "http://ads2.a.b/x": 1, "http://gadsby.a/": 0, "http://my-site.a/casino": None,
+             "http://a.b/casino-win": 0, "http://10.0.0.1/x": 1, "http://xn--abc.de/": 1, "http://x-y-z.a/": 1, "none": 0,
+             "http://a@b.c/": 1, "http://b1234.c/": 1, "http://b12.c34/": 0}
+    urls = spark.createDataFrame([(u,) for u in [*cases, None]], "url string")
+    assert {r.url: r.label for r in url_filter.labelled_by_words(urls).collect()} == cases
