@@ -30,8 +30,8 @@ def line_dedup_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near-duplicates stays."""
-    return simhash.keep_one(docs)
+    """One row of every group of near-duplicates stays."""
+    return simhash.keep_one(docs, repeats=False)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,11 +13,11 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from larderspark.llm.common import BLOCK_ROWS, components, in_partitions, runs_of, spanning_edges
+from larderspark.llm.common import BLOCK_ROWS, components, in_partitions, runs_of, spanning_edges, spare
 from larderspark.session import cut_lineage
 
 SHINGLE_WORDS = 4
@@ -117,20 +117,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return cut_lineage(docs.select("doc_id", fingerprint_column("text").alias("fp")), "fingerprints")
 
 
-def groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) per distinct fingerprint of (doc_id, fp): the least id reachable by links.
-
-    Null ids count only where a whole component has no other; its id is null.
-    """
-    distinct = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
+def rooted(prints: DataFrame, least: Column, radius: int = RADIUS) -> DataFrame:
+    """(fp, least, root) per distinct fingerprint of ``prints``: the aggregate ``least``, one fingerprint per component."""
+    distinct = cut_lineage(prints.groupBy("fp").agg(least.alias("least")), "distinct")
     roots = components(linked(distinct.select("fp"), radius))
-    rooted = cut_lineage(
+    return cut_lineage(
         distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
         .select("fp", "least", F.coalesce("root", "fp").alias("root")),
         "rooted",
     )
-    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(best, "root").select("fp", "component_id")
+
+
+def groups(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(fp, component_id) per distinct fingerprint of (doc_id, fp): the least id reachable by links.
+
+    Null ids count only where a whole component has no other; its id is null.
+    """
+    members = rooted(prints, F.min("doc_id"), radius)
+    best = members.groupBy("root").agg(F.min("least").alias("component_id"))
+    return members.join(best, "root").select("fp", "component_id")
 
 
 def group_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -145,15 +150,36 @@ def group_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``docs``, all columns, with the document of least id of every group.
+def text_digest() -> Column:
+    """Identity of a text; null counts as empty, as it does for the fingerprint."""
+    return F.md5(F.coalesce(F.col("text"), F.lit("")))
 
-    Rows with the kept id that are repeated stay repeated only if their texts
-    differ in no word shingle; of a group without ids all rows stay.
+
+def keep_one(docs: DataFrame, radius: int = RADIUS, repeats: bool = True) -> DataFrame:
+    """``docs``, all columns, with one document of every group: the least by (id, nulls last, text digest).
+
+    A document is an id and a text, so of rows without ids, or with one id and
+    several texts, one stays. Rows that repeat both of them stay if
+    ``repeats``, whatever their other columns; else the first of them by the
+    other columns stays, and every group has exactly one row.
     """
-    prints = fingerprints(docs)
-    kept = (
-        prints.join(groups(prints, radius), "fp")
-        .filter("doc_id = component_id or component_id is null").select("doc_id").distinct()
+    prints = cut_lineage(
+        docs.select("doc_id", text_digest().alias("digest"), fingerprint_column("text").alias("fp"))
+        .groupBy("fp", "doc_id", "digest").agg(F.count("*").alias("n")),
+        "fingerprints",
     )
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    members = rooted(prints, F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "digest", "n")), radius)
+    best = cut_lineage(members.groupBy("root").agg(F.min("least").alias("k")).select("k.doc_id", "k.digest", "k.n"), "kept")
+    key = spare(docs, "digest")
+    keyed = docs.withColumn(key, text_digest())
+
+    def rows_of(kept: DataFrame) -> DataFrame:
+        return keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["doc_id"]) & (keyed[key] == kept["digest"]), "left_semi")
+
+    if repeats or best.filter("n > 1").isEmpty():
+        return rows_of(best).drop(key)
+    others = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "text"]))
+    turn = spare(keyed, "turn")
+    first = Window.partitionBy("doc_id", key).orderBy(others)
+    single = rows_of(best.filter("n > 1")).withColumn(turn, F.row_number().over(first)).filter(F.col(turn) == 1).drop(turn)
+    return rows_of(best.filter("n = 1")).unionByName(single).drop(key)

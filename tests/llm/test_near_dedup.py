@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import corpus_pipeline
 import numpy as np
 
 from larderspark.llm import common, embed_dedup, simhash
@@ -59,6 +60,37 @@ def test_documents_null_empty_repeated(spark):
     assert simhash.group_documents(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_every_group_stays(spark):
+    """Two groups without ids, a mixed one, rows repeated, and one id in two groups."""
+    words = lambda a, n=300: " ".join(f"{a}{i}" for i in range(n))
+    near = lambda a: words(a, 299) + " z"
+    rows = [
+        *[(None, words("a"), f"a{i}") for i in range(3)], (None, near("a"), "a3"),
+        *[(None, near("b"), f"b{i}") for i in range(2)], (None, words("b"), "b2"),
+        (None, words("c"), "c0"), (7, words("c"), "c1"), (9, near("c"), "c2"), (None, near("c"), "c3"),
+        *[(1, words("d"), "d0")] * 4, (2, near("d"), "d1"), (1, near("d"), "d2"),
+        (3, words("e"), "e0"), (3, words("f"), "f1"), (2, words("f"), "f0"),
+        (5, None, "g0"), (5, "", "g1"), (None, None, "g2"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    for repeats in (False, True):
+        kept = simhash.keep_one(docs, repeats=repeats)
+        assert kept.columns == docs.columns
+        found = {}
+        for r in kept.collect():
+            found.setdefault(r.digest[0], []).append(r)
+        assert {g: {r.doc_id for r in f} for g, f in found.items()} == {"a": {None}, "b": {None}, "c": {7}, "d": {1}, "e": {3}, "f": {2}, "g": {5}}
+        assert all(len({r.text or "" for r in f}) == 1 for f in found.values())
+        assert repeats or all(len(f) == 1 for f in found.values()), found
+
+
+def test_pipeline_stage_keeps_one_row_where_the_hot_id_is_null(spark):
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(None, text)] * 40 + [(None, text.replace("w299", f"v{i}")) for i in range(10)] + [(i, f"other{i} text {i}") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert corpus_pipeline.near_dedup(spark, docs, "").count() == 6
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(1000, 2000 + i) for i in range(60)] + [(5, 5), (7, 8), (8, 7)]
     found = common.components(spark.createDataFrame(edges, "a long, b long")).collect()
