@@ -71,6 +71,7 @@ def clean_catalog(raw: DataFrame, limit: int = 0) -> DataFrame:
         text.clean_field(column_or(first, "allergens")).alias("allergens"),
         F.when(grade.isin(*GRADES), grade).otherwise(F.lit("")).alias("nutriscore"),
         nutriment_map(first).alias("nutriments"),
+        F.to_json(nutriment_map(first)).alias("nutriments_json"),
         url.alias("source_url"),
     ).filter((F.col("product_name") != "") & ~F.lower("product_name").isin(*text.JUNK_WORDS))
     return shaped.withColumn("raw_payload", raw_payload()).select(*schemas.CATALOG_COLUMNS)
@@ -106,6 +107,8 @@ def normalize_payloads(payloads: DataFrame, barcode: Column | None = None) -> Da
     """Landed payloads (text column ``payload``) to catalogue rows.
 
     Payloads that are not JSON, or without a code or a name, are rejected.
+    ``nutriments_json`` is the whole nutriments object, ``{}`` where there is
+    none; ``nutriments`` has its numbers.
     """
     parsed = payloads.withColumn("_doc", strict_json(F.col("payload")))
     doc, product = F.col("_doc"), F.try_variant_get(F.col("_doc"), "$.product", "variant")
@@ -114,6 +117,7 @@ def normalize_payloads(payloads: DataFrame, barcode: Column | None = None) -> Da
         text.blank_to_null(F.try_variant_get(doc, "$.product.code", "string")),
         F.lit(None).cast("string") if barcode is None else barcode,
     )
+    given = F.try_variant_get(product, "$.nutriments", "variant")
     nutriments = F.try_variant_get(product, "$.nutriments", "map<string,variant>")
     numbers = F.map_filter(
         F.transform_values(nutriments, lambda k, v: F.try_variant_get(v, "$", "double")),
@@ -129,6 +133,7 @@ def normalize_payloads(payloads: DataFrame, barcode: Column | None = None) -> Da
         best_text(product, "nutriscore_grade", "nutriscore_score").alias("nutriscore"),
         F.coalesce(numbers, F.map_from_arrays(
             F.array().cast("array<string>"), F.array().cast("array<double>"))).alias("nutriments"),
+        F.when(F.schema_of_variant(given).startswith("OBJECT"), F.to_json(given)).otherwise("{}").alias("nutriments_json"),
         F.concat(F.lit(f"{BASE_URL}/product/"), text.strip(code)).alias("source_url"),
         F.col("payload").alias("raw_payload"),
     )

@@ -20,6 +20,8 @@ def load(df: DataFrame, path: str, keys: list[str]) -> int:
     """
     source = cut_lineage(df)
     base = writers.read_versioned(df.sparkSession, path)
+    if base is not None:  # columns that the table did not have yet
+        base = base.withColumns({f.name: F.lit(None).cast(f.dataType) for f in source.schema if f.name not in base.columns})
     writers.write_versioned(source if base is None else upsert(base, source, keys), path)
     return source.count()
 

@@ -72,7 +72,7 @@ CATALOG_OPTIONAL = (
 
 CATALOG_COLUMNS = (
     "code", "product_name", "brand", "categories", "ingredients_text", "allergens",
-    "nutriscore", "nutriments", "source_url", "raw_payload",
+    "nutriscore", "nutriments", "nutriments_json", "source_url", "raw_payload",
 )
 
 RUN_LEDGER = struct(

@@ -58,6 +58,29 @@ def test_payloads(spark):
     assert got["22"].product_name == "g" and got["22"].brand == ""
 
 
+def test_payloads_keep_the_whole_nutriments_object(spark):
+    given = {"a": {"fat_100g": 1.5, "fat_unit": "g", "energy": "12", "none": None, "flag": True, "deep": {"x": ["y", 2]}, "é": ""},
+             "b": {}, "c": None, "d": ["g"], "e": "g"}
+    payloads = [{"code": k, "product": {"product_name": "tea", "nutriments": v}} for k, v in given.items()]
+    payloads.append({"code": "f", "product": {"product_name": "tea"}})
+    df = spark.createDataFrame([(json.dumps(p),) for p in payloads], "payload string")
+    got = {r.code: r for r in catalog.normalize_payloads(df).collect()}
+    assert {k: json.loads(r.nutriments_json) for k, r in got.items()} == {
+        k: v if isinstance(v, dict) else {} for k, v in {**given, "f": None}.items()}
+    assert got["a"].nutriments["fat_100g"] == 1.5 and "fat_unit" not in got["a"].nutriments
+
+
+def test_payloads_go_into_an_older_catalogue_table(spark, tmp_path):
+    """A table written before the column was there keeps its rows and gets the column."""
+    old = catalog.clean_catalog(dump(spark, ("12345678", "tea", "x"))).drop("nutriments_json")
+    writers.write_versioned(old, f"{tmp_path}/catalog")
+    payload = {"code": "87654321", "product": {"product_name": "tea", "nutriments": {"fat_unit": "g"}}}
+    catalog_jobs.load(catalog.normalize_payloads(
+        spark.createDataFrame([(json.dumps(payload),)], "payload string")), f"{tmp_path}/catalog", ["code"])
+    rows = writers.read_versioned(spark, f"{tmp_path}/catalog").collect()
+    assert {r.code: r.nutriments_json for r in rows} == {"12345678": None, "87654321": '{"fat_unit":"g"}'}
+
+
 def test_nutrition_fan_out_takes_least_id(spark):
     facts = spark.createDataFrame(
         [(2, 1, 1008, 9.0), (1, 1, 1008, 5.0), (3, 1, 1004, 2.5), (4, 2, 999, 1.0)],
