@@ -14,7 +14,8 @@ from larderspark.functions import vectors
 from larderspark.operators.blocks import BLOCK_BYTES
 from larderspark.operators.vector import CELLS, DIGITS, BestRows, ids_of, rank_points, read_points
 
-TABLES, BITS, SEED = 10, 7, 17
+#: Measured on the given vectors: recall@10 of 0.96 or more (see README).
+TABLES, BITS, SEED = 24, 8, 17
 PROBE_BYTES = 16  # one (signature, query) pair of the lookup
 
 

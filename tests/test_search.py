@@ -1,6 +1,7 @@
 import math
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -8,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from larderspark.plans import search_jobs
+from larderspark.plans import queries_search, search_jobs
 from larderspark.sources import writers
 from larderspark.operators import blocks, embedding, enrich, evaluation, hybrid, lexical, lsh, ranking, summaries, vector
 
@@ -212,6 +213,21 @@ def test_approximate_search_is_exact_on_what_it_finds(spark):
     assert share > 0.8
 
 
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.1"])
+def test_recall_of_the_registered_query(spark, size):
+    """Every row with an id divisible by 100 is asked, and nine tenths of its true neighbours are found."""
+    sf = Path("/root/testdata") / size
+    if not sf.exists():
+        pytest.skip("test tables are not here")
+    found = queries_search.ann_recall(spark, str(sf)).collect()
+    ids = {r.vec_id for r in spark.read.parquet(f"{sf}/embeddings.parquet").filter("vec_id % 100 = 0").collect()}
+    assert {r.query_id for r in found if r.query_id >= 0} == ids and len(found) > len(ids)
+    for part in (lambda q: q >= 0, lambda q: q < 0):
+        rows = [r for r in found if part(r.query_id)]
+        assert all(r.relevant == 10 for r in rows)
+        assert sum(r.recall for r in rows) / len(rows) >= 0.9
+
+
 def test_approximate_search_with_one_full_signature(spark):
     """A third of all points share one vector: none is lost, none is doubled."""
     rows = [(f"h{i:04d}", [1.0, 1.0, 1.0, 1.0]) for i in range(1000)] + [
