@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larderspark.llm import (
-    decontam, embed_dedup, language, line_dedup, packing, quality, secrets, simhash, toxicity, url_filter,
+    conversation_trie, decontam, embed_dedup, language, line_dedup, packing, quality, secrets, simhash, toxicity, url_filter,
 )
 from larderspark.llm.common import read
 
@@ -57,11 +57,16 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_documents(read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(read(spark, sf_dir, "conversations"), rebuilt=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_line_dedup, op2_secret_scan, op3_packing, op4_decontamination, op5_language_id,
         op6_quality, op7_toxicity, op8_url_filter, op9_embedding_dedup, op10_simhash_dedup,
+        op13_conversation_trie,
     )
 }
 

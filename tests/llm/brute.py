@@ -96,3 +96,46 @@ def cosine_links(vectors, threshold=0.98):
 
     counts = {a: sum(linked(a, b) for b in vectors if b != a) for a in vectors}
     return counts, groups(list(vectors), linked)
+
+
+def trie(rows, rebuilt):
+    """rows: (conv_id, turn, role, text). All nodes of the prefix trie, as tuples."""
+    import hashlib
+    import zlib
+
+    convs = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            convs.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    convs = {c: [t[2:] for t in sorted(ts, key=lambda t: (t[0], t[1], tie(t[2], t[3])))] for c, ts in convs.items()}
+    if rebuilt:
+        first = lambda c: c - int(np.fmod(c, 100))
+        h = {c: zlib.crc32(str(c).encode()) % 6 for c in convs}
+        convs = {c: convs.get(first(c), [])[: h[c]] + ts[h[c] :] for c, ts in convs.items()}
+    nodes = {}
+    for c, ts in convs.items():
+        for d in range(len(ts) + 1):
+            nodes.setdefault(tuple(ts[:d]), []).append(c)
+    out = []
+    for path, members in nodes.items():
+        below = [p for p in nodes if p[: len(path)] == path]
+        children = [p for p in below if len(p) == len(path) + 1]
+        leaves = [p for p in below if not any(q[:-1] == p for q in nodes if q)]
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1]) for p in below if p)
+        ends = ",".join(str(c) for c in sorted(members) if len(convs[c]) == len(path))
+        out.append((min(members), len(path), min(nodes[path[:-1]]) if path else None, len(members), len(children),
+                    len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def tie(role, text):
+    """Spark's 64-bit digests, by which turns with equal numbers are ordered."""
+    import xxhash
+
+    def chained(seed, *parts):
+        state = xxhash.xxh64_intdigest(np.int32(seed).tobytes(), 42)
+        for p in parts:
+            state = xxhash.xxh64_intdigest(p.encode(), state)
+        return state - (1 << 64) if state >> 63 else state
+
+    return chained(1, role, text), chained(2, text, role)
