@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larderspark.llm import (
-    conversation_trie, decontam, embed_dedup, language, line_dedup, packing, quality, secrets, simhash, toxicity, url_filter,
+    conversation_trie, decontam, embed_dedup, language, line_dedup, packing, periodic_runs, quality, secrets, simhash, toxicity,
+    url_filter,
 )
 from larderspark.llm.common import read
 
@@ -57,6 +58,11 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(read(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(read(spark, sf_dir, "conversations"), rebuilt=True)
 
@@ -66,10 +72,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_line_dedup, op2_secret_scan, op3_packing, op4_decontamination, op5_language_id,
         op6_quality, op7_toxicity, op8_url_filter, op9_embedding_dedup, op10_simhash_dedup,
-        op13_conversation_trie,
+        op11_periodic_runs, op13_conversation_trie,
     )
 }
 
+#: crc32 of a decimal id, bit by bit
+CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({0}::VARCHAR, ''),
+  lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda crc, b: xor(xor(crc, b) >> 1, 3988292384::BIGINT * (xor(crc, b) & 1))), 4294967295::BIGINT)"""
+
 ORACLES: dict[str, str] = {
     # all pairs of equal lines, joined along diagonals to common runs
     "op1_line_dedup": rf"""
@@ -123,5 +134,68 @@ reach AS (
 SELECT e.vec_id, coalesce(k.n, 0) AS n_links, r.c AS component_id, e.vec_id = r.c AS kept FROM embeddings e
 JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON e.vec_id = r.a
 LEFT JOIN (SELECT a, count(*) AS n FROM near GROUP BY a) k ON e.vec_id = k.a
+""",
+    # all pairs of equal words in a document, joined to stretches
+    "op11_periodic_runs": rf"""
+WITH d AS (
+  SELECT doc_id, {CRC32.format("doc_id")} AS h,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+m AS (SELECT *, len(w) AS n, h // 10 AS g, (h // 10) % greatest(len(w), 1) AS a FROM d),
+v AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i:
+    w[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) ELSE w END AS w FROM m),
+p AS (SELECT doc_id, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM v),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM p x JOIN p y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i
+  WHERE 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretches
+  WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs
+  FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS turn FROM runs)
+  WHERE turn = 1),
+gone AS (
+  SELECT DISTINCT p.doc_id, p.i FROM p JOIN runs r ON p.doc_id = r.doc_id AND p.i >= r.start + r.period AND p.i < r.start + r.length),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(l.runs, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
+    # all prefixes, joined with those they continue
+    "op13_conversation_trie": f"""
+WITH own AS (
+  SELECT conv_id, {CRC32.format("conv_id")} % 6 AS h, conv_id - conv_id % 100 AS donor,
+    list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+convs AS (
+  SELECT c.conv_id, list_concat(coalesce(d.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM own c LEFT JOIN own d ON d.conv_id = c.donor),
+members AS (
+  SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM convs),
+paths AS (SELECT conv_id, depth, len(turns) = depth AS ends, turns[1:depth] AS path FROM members),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS ends
+  FROM paths GROUP BY path, depth),
+linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, coalesce((n.n_convs - 1) * length(n.path[-1].text), 0) AS saved
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+children AS (
+  SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL),
+counted AS (SELECT l.*, coalesce(c.n, 0) AS n_children FROM linked l LEFT JOIN children c USING (conv_id, depth)),
+above AS (
+  SELECT path[1:d] AS path, d AS depth, n_children, saved FROM (
+    SELECT path, n_children, saved, unnest(range(depth + 1)) AS d FROM counted)),
+sums AS (
+  SELECT path, depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM above GROUP BY path, depth)
+SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, s.n_leaves, s.saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN sums s ON c.path = s.path AND c.depth = s.depth
 """,
 }

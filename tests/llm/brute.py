@@ -139,3 +139,18 @@ def tie(role, text):
         return state - (1 << 64) if state >> 63 else state
 
     return chained(1, role, text), chained(2, text, role)
+
+
+def runs(words):
+    """(start, length, period) of all runs of one document, by start, then period."""
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j - i + q >= max(6, 4 * q):
+                found.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, length, q) for (s, length), q in found.items()), key=lambda r: (r[0], r[2]))
