@@ -268,18 +268,21 @@ def trie(turns: DataFrame, members: DataFrame, container_turns: int = CONTAINER_
         zero.alias("c1"), zero.alias("c2"), F.lit(None).cast("long").alias("p1"), F.lit(None).cast("long").alias("p2"),
         F.lit(None).cast("long").alias("parent_conv"), "conv", "n_convs", zero.alias("chars"), "turns", "classes", "end"),
         "heads")
-    if root.first()["conv"] is None:
+    top = root.first()
+    if top["conv"] is None:
         return None
+    kind_of = F.when(F.col("classes") == 1, "chain").when(F.col("turns") > container_turns, "burst").otherwise("sweep")
     heads, resting = [root], []
-    at = classes.withColumns({"c1": zero, "c2": zero})
+    at, kinds = classes.withColumns({"c1": zero, "c2": zero}), None
     while True:
-        depth, level = len(heads) - 1, heads[-1]
+        depth = len(heads) - 1
         # what every class's container is: one that bursts, one to be swept, a chain
-        kinds = level.select(
-            "c1", "c2", F.col("conv").alias("head"),
-            F.when(F.col("classes") == 1, "chain").when(F.col("turns") > container_turns, "burst").otherwise("sweep").alias("kind"))
-        placed = cut_lineage(
-            at.filter(F.col("n") > depth).join(kinds, ["c1", "c2"]).withColumn("depth", F.lit(depth).cast("long")), "containers")
+        if kinds is None:
+            first = {"head": F.lit(top["conv"]), "classes": F.lit(top["classes"]), "turns": F.lit(top["turns"])}
+            placed = at.withColumns(first).withColumn("kind", kind_of).drop("classes", "turns")
+        else:
+            placed = at.join(kinds, ["c1", "c2"])
+        placed = cut_lineage(placed.filter(F.col("n") > depth).withColumn("depth", F.lit(depth).cast("long")), "containers")
         resting.append(placed.filter("kind <> 'burst'"))
         bursting = placed.filter("kind = 'burst'")
         if bursting.isEmpty():
@@ -298,6 +301,7 @@ def trie(turns: DataFrame, members: DataFrame, container_turns: int = CONTAINER_
                 F.sum(F.col("n") - depth - 1).alias("turns"), F.count("*").alias("classes"), ends.alias("end")),
             "heads"))
         at = at.select("conv", "n", "times", "c1", "c2")
+        kinds = heads[-1].select("c1", "c2", F.col("conv").alias("head"), kind_of.alias("kind"))
     rest = resting[0]
     for more in resting[1:]:
         rest = rest.unionByName(more)
