@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larderspark.llm import (
-    conversation_trie, decontam, embed_dedup, language, line_dedup, packing, periodic_runs, quality, secrets, simhash, toxicity,
-    url_filter,
+    conversation_trie, decontam, embed_dedup, language, line_dedup, packing, periodic_runs, quality, secrets, simhash,
+    substring_dedup, toxicity, url_filter,
 )
 from larderspark.llm.common import read
 
@@ -63,6 +63,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.find_runs(docs))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(substring_dedup.remove_repeats(read(spark, sf_dir, "documents")))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.prefix_trie(read(spark, sf_dir, "conversations"), rebuilt=True)
 
@@ -72,7 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_line_dedup, op2_secret_scan, op3_packing, op4_decontamination, op5_language_id,
         op6_quality, op7_toxicity, op8_url_filter, op9_embedding_dedup, op10_simhash_dedup,
-        op11_periodic_runs, op13_conversation_trie,
+        op11_periodic_runs, op12_substring_dedup, op13_conversation_trie,
     )
 }
 
@@ -166,6 +170,22 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM p ANTI JOI
 SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
   sha256(coalesce(l.runs, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
 FROM documents d LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
+""",
+    # all windows and their least documents
+    "op12_substring_dedup": rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + {substring_dedup.WINDOW - 1}], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {substring_dedup.WINDOW - 2})) AS i FROM d)),
+least AS (SELECT words, min(doc_id) AS first FROM windows GROUP BY words),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {substring_dedup.WINDOW})) AS i
+  FROM windows JOIN least USING (words) WHERE first < doc_id),
+p AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM p ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(g.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """,
     # all prefixes, joined with those they continue
     "op13_conversation_trie": f"""

@@ -154,3 +154,15 @@ def runs(words):
                 found.setdefault((i, j - i + q), q)
             i = max(j, i + 1)
     return sorted(((s, length, q) for (s, length), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def repeated_words(docs, window=13):
+    """docs: list of (id, text). Per row (id, words, removed word numbers)."""
+    split = [(d, re.findall(f"[^{BLANKS}]+", t or "")) for d, t in docs]
+    least = {}
+    for d, ws in split:
+        for i in range(len(ws) - window + 1 if d is not None else 0):
+            key = tuple(ws[i : i + window])
+            least[key] = min(d, least.get(key, d))
+    return [(d, ws, {i + j for i in range(len(ws) - window + 1 if d is not None else 0)
+                     if least[tuple(ws[i : i + window])] < d for j in range(window)}) for d, ws in split]
