@@ -38,17 +38,32 @@ def fold(row_id: str, folds: int) -> Column:
     return F.coalesce(F.crc32(F.col(row_id).cast("string").cast("binary")) % folds, F.lit(-1))
 
 
+#: Steps of the share by which samples are drawn: fine enough for any table.
+SHARE = 1 << 40
+
+
+def drawn(share: Column, *keys: str) -> Column:
+    """Whether the hash of ``keys`` falls into ``share`` (0 to 1)."""
+    return F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(SHARE)) < (share * SHARE).cast("long")
+
+
 def bounded_sample(df: DataFrame, rows: int, *keys: str) -> DataFrame:
-    """About ``rows`` rows, chosen by the hash of ``keys``; all rows of a small table.
+    """About ``rows`` rows with different ``keys``, chosen by their hash; all rows of a small table.
 
     The share follows from the counted size, so the sample has the same bound
-    at every scale. It is a filter: no sort, no shuffle.
+    at every scale. Of rows with equal keys one is in the sample, so a key
+    that a third of all rows have counts once (they are combined map-side).
     """
     total = df.count()
     if total <= rows:
         return df
-    share = F.pmod(F.xxhash64(F.lit("sample"), *keys), F.lit(1_000_000))
-    return df.filter(share < int(1_000_000 * rows / total) + 1)
+    return df.filter(drawn(F.lit(rows / total), *keys)).dropDuplicates(list(keys))
+
+
+def one_text(rows: DataFrame, row: str, *keep: str) -> DataFrame:
+    """One row per ``row`` of (row, text, keep): that of the least text digest. ``keep`` is equal in all of them."""
+    best = F.min_by("text", F.struct(F.xxhash64("text"), F.hash("text")))
+    return rows.groupBy(row, *keep).agg(best.alias("text"))
 
 
 def training_labels(labels: DataFrame, label: str, folds: int, held_out: int) -> DataFrame:

@@ -10,12 +10,11 @@ the words around each hit are then compared one by one.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderspark.llm.common import spare
+from larderspark.operators.blocks import bounded_blocks, small
 from larderspark.session import cut_lineage
 
 #: Positions that each mask looks at. Together they meet every choice of two differing words in a window.
@@ -24,6 +23,8 @@ WINDOW, EQUAL = 13, 11
 #: Bytes of seeds that one pass over the documents may broadcast.
 BLOCK_BYTES = 32 << 20
 SEED_BYTES = 64
+#: Words of an item's stretch; longer items are cut into stretches that overlap by two windows.
+STRETCH = 10_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -72,20 +73,20 @@ def leaks(docs: DataFrame, items: DataFrame, row: str = "doc_id", text: str = "t
     ``items`` has (item_id, text); rows and items with null ids count like any
     other, equal ids are one. Null texts and texts shorter than ``least``
     words leak nothing. The documents are read once per block of items whose
-    seeds fit into BLOCK_BYTES, and are never shuffled: a hit carries counts
-    only, and pairs are reduced before they are.
+    seeds fit into BLOCK_BYTES (measured), and are never shuffled: a hit
+    carries counts only, and pairs are reduced before they are.
     """
+    overlap = 2 * WINDOW
+    low = F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - overlap - 1, F.lit(0)), F.lit(STRETCH - overlap)))
     held = cut_lineage(
         items.select("item_id", word_hashes(F.col("text")).alias("words")).distinct()
+        .select("item_id", "words", low.alias("low")).select("item_id", F.slice("words", F.col("low") + 1, STRETCH).alias("words"))
         .withColumn("item", F.monotonically_increasing_id()),
         "items",
     )
-    weight = held.agg(F.sum(F.size("words"))).first()[0] or 0
-    blocks = max(1, math.ceil(weight * len(MASKS) * SEED_BYTES / BLOCK_BYTES))
     sequences = docs.select(F.col(row).alias("id"), word_hashes(F.col(text)).alias("words"))
     found = None
-    for block in range(blocks):
-        part = held.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
+    for part in bounded_blocks(held, "item", F.size("words") * (len(MASKS) * SEED_BYTES), BLOCK_BYTES):
         seeds = with_seeds(part, "item").select("item", F.col("at").alias("there"), "seed")
         hits = (
             with_seeds(sequences, "id", "words")
@@ -99,8 +100,20 @@ def leaks(docs: DataFrame, items: DataFrame, row: str = "doc_id", text: str = "t
     return found.groupBy("id", "item_id").agg(F.max("equal_words").cast("long").alias("equal_words")).withColumnRenamed("id", row)
 
 
+def text_key(text: Column) -> Column:
+    """Identity of a text."""
+    return F.struct(F.xxhash64(F.lit(1), text).alias("k1"), F.xxhash64(F.lit(2), text).alias("k2"))
+
+
 def drop_leaking(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs``, all columns, without the documents that leak an item."""
-    name = spare(docs, "leaking_id")
-    bad = leaks(docs, items).select(F.col("doc_id").alias(name)).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad[name]), "left_anti")
+    """``docs``, all columns, without the rows whose text leaks an item.
+
+    A row is judged by its own text only: rows with the same id, or without
+    one, stay unless they leak themselves, and equal texts share their fate.
+    Null texts stay. The leaking texts' keys are counted and broadcast, so
+    documents are not shuffled; beyond the byte bound they are joined by key.
+    """
+    key = spare(docs, "leaking_text")
+    keyed = docs.withColumn(key, text_key(F.col("text")))
+    bad = cut_lineage(leaks(keyed, items, row=key).select(key).distinct(), "leaking")
+    return keyed.join(small(bad, bad.count()), key, "left_anti").select(*docs.columns)

@@ -11,10 +11,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larderspark.llm.common import bounded_sample, fold
+from larderspark.llm.common import drawn, fold
 
-#: Documents that the model is learned from, at most (chosen by hash).
-TRAINING_ROWS = 5_000
+#: Documents of a language that the model is learned from, at most (chosen by hash of id and text).
+LANGUAGE_ROWS = 1_250
 #: A word, or an n-gram, is known if the sample has it so often.
 LEAST_WORDS, LEAST_GRAMS = 2, 3
 LONGEST_GRAM = 5
@@ -88,8 +88,21 @@ def predict(model: Model, texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["lang_pred", "score"])
 
 
-def fit_model(docs: DataFrame, rows: int = TRAINING_ROWS) -> Model:
-    """Log frequencies per language from at most about ``rows`` documents outside the held-out fold.
+def language_sample(usable: DataFrame, rows: int) -> DataFrame:
+    """About ``rows`` rows of every language, all of a rarer one; repeated rows count once in a sample.
+
+    The shares follow from the counts per language (a model has a column for
+    each, so they are few and may be broadcast).
+    """
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    known = usable.join(F.broadcast(counts), "lang")
+    few = known.filter(F.col("n") <= rows)
+    some = known.filter((F.col("n") > rows) & drawn(F.lit(float(rows)) / F.col("n"), "doc_id", "text"))
+    return few.unionByName(some.dropDuplicates(["lang", "doc_id", "text"])).drop("n")
+
+
+def fit_model(docs: DataFrame, rows: int = LANGUAGE_ROWS) -> Model:
+    """Log frequencies per language from at most about ``rows`` documents of each, outside the held-out fold.
 
     Documents with a null language or text teach nothing. Tasks count words
     and n-grams of their batches; sums of the known ones (bounded by the
@@ -114,7 +127,7 @@ def fit_model(docs: DataFrame, rows: int = TRAINING_ROWS) -> Model:
             yield pd.DataFrame([(*k, v) for k, v in sums.items()], columns=["lang", "n", "unit", "times"])
 
     counted = (
-        bounded_sample(usable, rows, "doc_id").select("text", "lang")
+        language_sample(usable, rows).select("text", "lang")
         .mapInPandas(count, "lang string, n int, unit string, times long")
         .groupBy("lang", "n", "unit").agg(F.sum("times").alias("times"))
     )

@@ -13,6 +13,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,13 +24,12 @@ SEQUENCE_TOKENS = 2048
 END_ID = 1
 #: Pieces per randomised group, about.
 GROUP_PIECES = 4_096
-#: Words that a Python worker remembers the ids of, at most.
-REMEMBERED = 600_000
-
+#: Bytes of words and ids that a task remembers in each of two generations, about, and of one entry beside its letters.
+REMEMBERED_BYTES, ENTRY_BYTES = 48 << 20, 200
 #: Marks that are a pre-token of their own after letters (an apostrophe may begin a contraction).
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Texts that are encoded together.
-TEXTS = 200
+#: Characters of texts that are encoded together (a longer text alone), and new words encoded in one go.
+TOGETHER, WORDS = 4_000_000, 20_000
 
 
 def public_vocabulary() -> str:
@@ -37,79 +38,142 @@ def public_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def tokenizer_of(path: str):
+    """One per Python worker and vocabulary. Only the vocabulary stays in memory after a task."""
+    held = sys.modules.setdefault("_larder_tokenizers", types.ModuleType("_larder_tokenizers"))
+    if path not in held.__dict__:
+        from tokenizers import Tokenizer
+
+        held.__dict__[path] = Tokenizer.from_file(path)
+    return held.__dict__[path]
+
+
+class Memory:
+    """Ids of words in a table of bounded size: when the newer half is full, the older one is dropped.
+
+    What is found in the older half moves to the newer one, so frequent words stay.
+    """
+
+    def __init__(self, most: int = REMEMBERED_BYTES):
+        self.most, self.size = most, 0
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, words: list[str]) -> list[str]:
+        if self.size > self.most:
+            self.new, self.old, self.size = {}, self.new, 0
+        new, old = self.new, self.old
+        out = [w for w in words if w not in new]
+        again = [w for w in out if w in old]
+        if again:
+            self.put(again, [old[w] for w in again])
+            out = [w for w in out if w not in old]
+        return out
+
+    def put(self, words: list[str], ids: list[bytes]) -> None:
+        self.new.update(zip(words, ids))
+        self.size += sum(map(len, words)) + sum(map(len, ids)) + ENTRY_BYTES * len(words)
+
+
 class Encoder:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts, as little-endian unsigned 32-bit numbers.
 
     Byte-level BPE never merges across pre-tokens, and a pre-token never
     reaches across a single blank or line feed between other characters, so
-    the ids of a text are those of its words (with the blank before them) one
-    after the other; each distinct word is encoded once. A text with any other
-    white space is encoded whole.
+    the ids of a text are those of its words, with the blank or line feed
+    before each, one after the other. Each distinct word of many texts is
+    encoded once, and the texts' ids are gathered by number. A text with any
+    other white space, or with one of the vocabulary's special tokens, is
+    encoded whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.tokenizer = tokenizer_of(path)
+        self.special = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
+        self.memory = Memory()
         self.marks: dict[str, bytes] = {}
         self.feed = self.plain("\n")
 
     def plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, table: dict[str, bytes], words: list[str], blank: str) -> None:
-        """Ids of new words after ``blank``; words with white space in them are left out.
-
-        Letters and the marks after them are separate pre-tokens, so stems of
-        letters are encoded in one go, whatever follows them.
-        """
-        if " ".join(words).split() != words:
-            words = [w for w in words if w.split() == [w]]
-        stems = [w.rstrip(TAIL) for w in words]
-        fresh = list({s for s in stems if s not in table and s.isalpha()})
-        if fresh:
+    def stems(self, fresh: list[str], blank: str) -> list[bytes]:
+        """Ids of words of letters, after a blank or at a line's beginning; many are encoded in one go."""
+        out: list[bytes] = []
+        for low in range(0, len(fresh), WORDS):
+            part = fresh[low : low + WORDS]
             # with a blank between them pre-token i is word i, with a line feed word i is pre-token 2i
-            joined, step = (" " + " ".join(fresh), 1) if blank else ("\n".join(fresh), 2)
+            joined, step = (" " + " ".join(part), 1) if blank else ("\n".join(part), 2)
             found = self.tokenizer.encode(joined, add_special_tokens=False)
             ids, at = np.array(found.ids, "<u4").tobytes(), np.array(found.word_ids)
-            starts = (4 * np.searchsorted(at, np.arange(0, step * len(fresh), step))).tolist()
-            ends = (4 * np.searchsorted(at, np.arange(1, step * len(fresh) + 1, step))).tolist()
-            table.update(zip(fresh, [ids[a:b] for a, b in zip(starts, ends)]))
-        odd = []
-        for w, stem in zip(words, stems):
-            if w is not stem and stem.isalpha():
-                mark = w[len(stem) :]
-                table[w] = table[stem] + (self.marks.get(mark) or self.marks.setdefault(mark, self.plain(mark)))
-            elif w not in table:
-                odd.append(w)
-        table.update((w, self.plain(blank + w)) for w in odd)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        for table in (self.first, self.later, self.marks):
-            if len(table) > REMEMBERED:
-                table.clear()
-        split = [[line.split(" ") for line in text.split("\n")] for text in texts]
-        first, later = self.first, self.later
-        self.learn(first, list({line[0] for lines in split for line in lines if line[0] not in first}), "")
-        self.learn(later, list({w for lines in split for line in lines for w in line[1:] if w not in later}), " ")
-        out, get = [], later.__getitem__
-        for text, lines in zip(texts, split):
-            try:
-                out.append(self.feed.join([first[line[0]] + b"".join(map(get, line[1:])) for line in lines]))
-            except KeyError:  # uneven white space
-                out.append(self.plain(text) if text else b"")
+            starts = (4 * np.searchsorted(at, np.arange(0, step * len(part), step))).tolist()
+            ends = (4 * np.searchsorted(at, np.arange(1, step * len(part) + 1, step))).tolist()
+            out += [ids[a:b] for a, b in zip(starts, ends)]
         return out
 
+    def learn(self, words: list[str], blank: str) -> list[bytes]:
+        """Ids of words without white space after ``blank`` (empty: at the beginning of a line).
 
-def encoder_of(path: str) -> Encoder:
-    """One per Python worker and vocabulary: its memory outlives the task."""
-    held = sys.modules.setdefault("_larder_encoders", types.ModuleType("_larder_encoders"))
-    if path not in held.__dict__:
-        held.__dict__[path] = Encoder(path)
-    return held.__dict__[path]
+        Letters and the marks after them are separate pre-tokens, so stems of
+        letters are encoded together, whatever follows them.
+        """
+        marked = {w: w.rstrip(TAIL) for w in words if not w.isalpha()}
+        letters = list({*(w for w in words if w not in marked), *(stem for stem in marked.values() if stem.isalpha())})
+        known = dict(zip(letters, self.stems(letters, blank)))
+        for w, stem in marked.items():
+            if stem in known:
+                mark = w[len(stem) :]
+                known[w] = known[stem] + (self.marks.get(mark) or self.marks.setdefault(mark, self.plain(mark)))
+            else:
+                known[w] = self.plain(blank + w)
+        if len(self.marks) > 10_000:
+            self.marks = {}
+        return [known[w] for w in words]
+
+    def words(self, distinct: list[str]) -> list[bytes]:
+        """Ids of every word: one after a line feed begins with it, all others follow a blank. Empty: white space is uneven."""
+        memory = self.memory
+        missing = memory.missing(distinct)
+        if "\n".join(missing).split() != [w.removeprefix("\n") for w in missing]:
+            uneven = [w for w in missing if w.split() != [w.removeprefix("\n")]]
+            memory.put(uneven, [b""] * len(uneven))
+            odd = set(uneven)
+            missing = [w for w in missing if w not in odd]
+        first, later = [w for w in missing if w[0] == "\n"], [w for w in missing if w[0] != "\n"]
+        memory.put(later, self.learn(later, " "))
+        memory.put(first, [self.feed + ids for ids in self.learn([w[1:] for w in first], "")])
+        return list(map(memory.new.__getitem__, distinct))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, how many each has)."""
+        given = pa.array(texts, pa.string())
+        lined = pc.binary_join_element_wise("\n", pc.replace_substring(given, "\n", " \n"), "")
+        lists = pc.split_pattern(lined, " ")
+        held = lists.values.dictionary_encode()
+        known = self.words(held.dictionary.to_pylist())
+        at, offsets = held.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        whole = np.minimum.reduceat(sizes[at], offsets[:-1]) == 0
+        for mark in self.special:
+            whole |= pc.match_substring(given, mark).to_numpy(zero_copy_only=False)
+        table = np.frombuffer(b"".join(known), "<u4")
+        begins = np.cumsum(sizes) - sizes
+        # every word's ids, but for the line feed before the text
+        begins, sizes = begins[at], sizes[at]
+        lead = len(self.feed) // 4
+        begins[offsets[:-1]] += lead
+        sizes[offsets[:-1]] = np.maximum(sizes[offsets[:-1]] - lead, 0)
+        sizes[np.repeat(whole, np.diff(offsets))] = 0
+        ends = np.cumsum(sizes)
+        ids = table[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1])]
+        bounds = np.concatenate([[0], ends])[offsets]
+        if not whole.any():
+            return ids, np.diff(bounds)
+        parts = [
+            np.frombuffer(self.plain(t), "<u4") if w and t else ids[a:b]
+            for t, w, a, b in zip(texts, whole.tolist(), bounds[:-1].tolist(), bounds[1:].tolist())
+        ]
+        return np.concatenate(parts), np.array([len(p) for p in parts])
 
 
 def pieces(
@@ -118,30 +182,41 @@ def pieces(
     """(doc_id, start, length, ids_crc32, doc_tokens, ids) per piece of every row of ``docs``.
 
     ``ids`` is the piece's ids as little-endian unsigned 32-bit bytes, null
-    unless asked for. Null
+    unless asked for. Ids are those of the untouched tokenizer without added
+    special tokens; a special token written in a text is that token. Null
     text is empty; every document ends with ``end_id``, so none is without a
-    piece. Pieces are ``tokens`` long but the last of a document.
+    piece. Pieces are ``tokens`` long but the last of a document. Rows are
+    independent: null and repeated ids and repeated rows have their own pieces.
     """
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        encoder = encoder_of(vocabulary)
+        encoder = Encoder(vocabulary)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"]
+        types_ = [pa.int64()] * 4 + [pa.binary()]
         for batch in batches:
-            rows, texts = batch["doc_id"].tolist(), batch["text"].fillna("").tolist()
-            for low in range(0, len(rows), TEXTS):
-                out = []
-                some = texts[low : low + TEXTS]
-                for doc_id, ids in zip(rows[low : low + TEXTS], encoder.encode(some)):
-                    ids += end
-                    total = len(ids) // 4
-                    for start in range(0, total, tokens):
-                        part = ids[4 * start : 4 * (start + tokens)]
-                        out.append((doc_id, start, len(part) // 4, zlib.crc32(part), total, part if with_ids else None))
-                yield pd.DataFrame(out, columns=names)
+            texts = pc.fill_null(batch.column(1).cast(pa.string()), "")
+            sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+            low = 0
+            while low < batch.num_rows:
+                high = max(int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + TOGETHER, side="right")), low + 1)
+                ids, counts = encoder.encode(texts.slice(low, high - low).to_pylist())
+                raw, at = ids.astype("<u4").tobytes(), 0
+                rows: list[int] = []
+                out: list[tuple] = []
+                for row, n in enumerate(counts.tolist(), low):
+                    mine = raw[at : at + 4 * n] + end
+                    at += 4 * n
+                    for start in range(0, n + 1, tokens):
+                        part = mine[4 * start : 4 * (start + tokens)]
+                        rows.append(row)
+                        out.append((start, len(part) // 4, zlib.crc32(part), n + 1, part if with_ids else None))
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), types_)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *columns], names)
+                low = high
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         cut, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, ids binary"
     )
 
@@ -180,7 +255,8 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
 def place(cut: DataFrame, tokens: int = SEQUENCE_TOKENS, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """``cut`` with ``sequence_id`` and ``offset``; needs a stored frame, since it is read twice.
 
-    Pieces are dealt at random into groups of about ``group_pieces``. Whole
+    Rows are pieces of their own, whatever their ids, so repeats are placed
+    like any other. Pieces are dealt at random into groups of about ``group_pieces``. Whole
     sequences need no partner and are numbered like the rest.
     """
     total = cut.count()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from larderspark.llm import gbt
-from larderspark.llm.common import bounded_sample, fold, spare, training_labels
+from larderspark.llm.common import bounded_sample, fold, one_text, spare, training_labels
 
 #: Labelled documents that a model is fitted on, at most (chosen by hash).
 TRAINING_ROWS = 20_000
@@ -58,12 +58,14 @@ def statistics_column(texts: pd.Series) -> pd.Series:
 def fit_model(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> gbt.Trees:
     """Trees from at most about ``rows`` labelled documents outside the held-out fold.
 
-    The sample of labels is bounded, so it may be broadcast; only statistics of
-    its documents come to the driver. Without usable labels the score is 0.5.
+    The sample of labels is bounded, so it may be broadcast. Of documents with
+    equal ids the one of the least text digest is taken, so at most a row per
+    label, with statistics only, comes to the driver. Without usable labels
+    the score is 0.5.
     """
     chosen = bounded_sample(training_labels(labels, "quality", FOLDS, HELD_OUT), rows, "doc_id")
     sample = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        one_text(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "label")
         .select(statistics_column("text").alias("x"), "label").toPandas()
     )
     x = np.array(sample["x"].tolist()).reshape(-1, FEATURES)
@@ -97,6 +99,10 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents scored at the threshold or above, with all their columns."""
+    """The documents scored at the threshold or above, with all their columns.
+
+    Rows are judged one by one, by their text only: null ids and repeated rows
+    change nothing, and a null or empty text is scored as an empty one.
+    """
     into = spare(docs, "quality_score")
     return with_score(docs, fit_model(docs, labels), into=into).filter(F.col(into) >= THRESHOLD).drop(into)

@@ -25,7 +25,7 @@ IDENTIFIER = r"[A-Za-z][A-Za-z_-]{3,}"
 LEAST_VALUE = 6
 #: Characters that the models know; all candidates consist of them.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-#: Documents that random strings, and identifiers, are learned from, at most (chosen by hash).
+#: Documents with a secret that random strings, and documents that identifiers are learned from, at most (by hash).
 RANDOM_ROWS, IDENTIFIER_ROWS = 20_000, 2_000
 #: Pairs that a character's share counts like, in the probability of what follows another.
 BACK_OFF = 5
@@ -82,12 +82,13 @@ def pair_counts(strings: DataFrame) -> DataFrame:
 def fit_model(docs: DataFrame, text: str = "text") -> list[float] | None:
     """Log-likelihood ratios random : identifier of all character pairs, row by row; None without samples.
 
-    Random strings are the values that the fixed patterns find, identifiers
-    the plain words of other documents. At most alphabet-squared counts of
+    Random strings are the values that the fixed patterns find: the sample is
+    drawn from the documents that have some, so however rare they are, they
+    are learned from. Identifiers are the plain words of other documents. At most alphabet-squared counts of
     each reach the driver.
     """
     texts = docs.select(clean(F.col(text)).alias("t"))
-    hit = bounded_sample(texts, RANDOM_ROWS, "t").filter(F.col("t").rlike(f"{ASSIGN}|{ACCESS}|{HEX}"))
+    hit = bounded_sample(texts.filter(F.col("t").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")), RANDOM_ROWS, "t")
     found = lambda pattern, group: F.regexp_extract_all("t", F.lit(f"({pattern})"), F.lit(group))
     random = hit.select(F.explode(F.concat(found(ASSIGN, 2), found(ACCESS, 1), found(HEX, 1))).alias("s"))
     random = random.filter(F.length("s") >= LEAST_VALUE)
@@ -146,7 +147,11 @@ def listed(spans: Column) -> Column:
 
 
 def scan_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for every row of ``docs``."""
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for every row of ``docs``.
+
+    A null text is empty and has no span. Rows are scanned one by one: null
+    and repeated ids and repeated rows each give their own result.
+    """
     found = with_spans(docs.select("doc_id", "text"), fit_model(docs)).select("doc_id", "secrets")
     number = lambda k: F.size(F.filter("secrets", lambda s: s["kind"] == k)).cast("long")
     base = F.filter("secrets", lambda s: s["kind"] < 3)

@@ -26,6 +26,8 @@ from larderspark.session import cut_lineage
 
 #: Words of a window, and of the grams that anchor it.
 WINDOW, GRAM = 13, 5
+#: Bytes of a word's hash in a piece.
+WORD_BYTES = 6
 #: Different pieces that a shard may hold; around a gram with more, pieces are cut into single windows.
 SHARD_PIECES = 4_000
 #: Characters that are hashed together (a longer document alone).
@@ -105,8 +107,9 @@ def gram_table(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def pieces(wanted: DataFrame, window: int = WINDOW) -> DataFrame:
     """(gram, doc, c1, c2, start, windows, words): runs of windows with one anchor, of rows (doc, c1, c2, text, grams).
 
-    Only anchors whose gram is among the row's ``grams``. ``words`` are
-    the hashes of the windows' words.
+    Only anchors whose gram is among the row's ``grams``. ``words`` are the
+    windows' words as WORD_BYTES bytes of hash each: pieces that are compared
+    have a gram in common, by 64 bits a word.
     """
     names = ["gram", "doc", "c1", "c2", "start", "windows", "words"]
 
@@ -128,8 +131,8 @@ def pieces(wanted: DataFrame, window: int = WINDOW) -> DataFrame:
             place, text = at[first], doc[at[first]]
             ok = np.isin(salt(grams[place], text.astype(np.uint64)), salt(known, own))
             low, sizes, text, gram = starts[first][ok], sizes[ok], text[ok], grams[place[ok]]
-            raw = hashes.tobytes()
-            words = [raw[8 * a : 8 * (a + n + window - 1)] for a, n in zip(low.tolist(), sizes.tolist())]
+            raw = hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WORD_BYTES].tobytes()
+            words = [raw[WORD_BYTES * a : WORD_BYTES * (a + n + window - 1)] for a, n in zip(low.tolist(), sizes.tolist())]
             rows = pa.array(text)
             yield pa.RecordBatch.from_arrays([
                 pa.array(gram.view(np.int64)), *(batch.column(c).take(rows) for c in ("doc", "c1", "c2")),
@@ -230,7 +233,7 @@ def judged(reference: DataFrame, window: int = WINDOW) -> DataFrame:
 
         def judge(out):
             if len(held) > 1:  # one piece alone has nothing to match
-                group = [(r[3], np.frombuffer(r[4], np.uint64).tolist()) for r in held]
+                group = [(r[3], [r[4][i : i + WORD_BYTES] for i in range(0, len(r[4]), WORD_BYTES)]) for r in held]
                 out += [(*r[:3], stale) for r, stale in zip(held, stale_windows(group, window)) if stale]
 
         def batch_of(out):
@@ -272,7 +275,7 @@ def bounded_shards(rows: DataFrame, most: int, window: int = WINDOW) -> DataFram
     if hot.isEmpty():
         return rows
     single = rows.join(hot, "gram", "left_semi").withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("windows") - 1)))
-    words = F.substring("words", (8 * F.col("j") + 1).cast("int"), F.lit(8 * window))
+    words = F.substring("words", (WORD_BYTES * F.col("j") + 1).cast("int"), F.lit(WORD_BYTES * window))
     single = with_digest(single.withColumns({"words": words, "start": F.col("start") + F.col("j"), "windows": F.lit(1).cast("long")}))
     single = single.withColumn("gram", F.col("d1")).select(*rows.columns)
     return cut_lineage(rows.join(hot, "gram", "left_anti").select(*rows.columns).unionByName(single), "bounded")
@@ -288,11 +291,11 @@ def repeated_ranges(named: DataFrame, least_ids: DataFrame, window: int = WINDOW
     of_text = grams.join(shared, "gram", "left_semi").groupBy("c1").agg(F.collect_set("gram").alias("grams"))
     wanted = cut_lineage(least_ids.join(of_text, "c1").withColumnRenamed("least", "doc"), "wanted")
     texts = named.withColumnRenamed("doc_id", "doc").join(wanted, ["doc", "c1", "c2"])
-    found = cut_lineage(with_digest(pieces(texts, window)), "pieces")
+    found = with_digest(cut_lineage(pieces(texts, window), "pieces"))
     found = bounded_shards(found, shard_pieces, window)
     key = ["gram", "d1", "d2"]
     reference = cut_lineage(found.groupBy(*key).agg(F.min("doc").alias("least"), F.any_value("words").alias("words")), "reference")
-    verdicts = reference.select(*key, "least").join(judged(reference, window), key, "left")
+    verdicts = cut_lineage(reference.select(*key, "least").join(judged(reference, window), key, "left"), "verdicts")
     placed = found.select(*key, "doc", "c1", "c2", "start", "windows").join(verdicts, key)
     span = lambda low, n: F.struct(low.alias("low"), (low + n + (window - 1)).alias("high"))
     whole = F.array(span(F.col("start"), F.col("windows")))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from larderspark.llm.common import bounded_sample, fold, training_labels
+from larderspark.llm.common import bounded_sample, fold, one_text, training_labels
 from larderspark.session import cut_lineage
 
 #: Confirmed toxic and unlabelled documents to learn from, at most (chosen by hash).
@@ -91,8 +91,8 @@ def fit_model(
 
     ``prior`` is the share of toxic documents; unset, that of the labelled
     rows of the learning folds. Without a toxic example all scores are near 0.
-    Only word counts of the sample (the best WORDS of them) and lists of word
-    numbers reach the driver.
+    Of documents with equal ids the one of the least text digest is learned from. Only word counts of the sample (the
+    best WORDS of them) and lists of word numbers, at most a row per sampled id, reach the driver.
     """
     usable = training_labels(labels, "toxic", FOLDS, HELD_OUT)
     if prior is None:
@@ -101,8 +101,8 @@ def fit_model(
     texts = docs.select("doc_id", "text")
     learning = texts.filter(fold("doc_id", FOLDS) != HELD_OUT)
     sample = cut_lineage(
-        texts.join(F.broadcast(toxic), "doc_id").withColumn("p", F.lit(1))
-        .unionByName(bounded_sample(learning, unlabelled, "doc_id").withColumn("p", F.lit(0)))
+        one_text(texts.join(F.broadcast(toxic), "doc_id"), "doc_id").withColumn("p", F.lit(1))
+        .unionByName(one_text(bounded_sample(learning, unlabelled, "doc_id", "text"), "doc_id").withColumn("p", F.lit(0)))
         .select("p", words_column("text").alias("words")),
         "toxic-sample",
     )

@@ -57,3 +57,27 @@ def test_clean_documents_stay_with_all_columns(spark):
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
     assert decontam.leaks(docs, items.limit(0)).count() == 0
     assert decontam.drop_leaking(docs.limit(0), items).count() == 0
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    leak = " ".join(f"word{i}" for i in range(20))
+    rows = [(1, "ok"), (None, leak), (None, "clean"), (None, "clean"), (4, leak), (4, "clean"), (5, None), (6, ""), (6, leak)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "doc_id AS id", "'x' AS words", "1 AS leaking_text")
+    items = spark.createDataFrame([(7, leak), (None, leak)], "item_id long, text string")
+    kept = decontam.drop_leaking(docs, items)
+    assert kept.columns == docs.columns
+    left = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    assert left == sorted([r for r in rows if r[1] != leak], key=repr)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan  # documents are not shuffled
+
+
+def test_long_items_are_cut_into_stretches(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "STRETCH", 60)
+    draw = random.Random(1)
+    item = [f"w{draw.randrange(3000)}" for _ in range(500)]
+    docs = [(at, " ".join(["x"] * 5 + item[at : at + 14] + ["y"] * 5)) for at in range(0, 500, 7)]
+    found = decontam.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string"))
+    want = {d: brute.most_equal(brute.words(t), item) for d, t in docs}
+    assert {r.doc_id: r.equal_words for r in found.collect()} == {d: n for d, n in want.items() if n >= decontam.EQUAL}

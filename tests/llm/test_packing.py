@@ -1,7 +1,9 @@
+import random
 import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from larderspark.llm import packing
 
@@ -28,10 +30,30 @@ def test_first_fit_decreasing_matches_the_plain_form():
     "word|word | word", "\n", "e\u0301 combining", "A!! B!!",
 ])
 def test_words_give_the_ids_of_the_whole_text(text):
+    texts = [text, "", text, f"{text} more {text}", "plain words here", f"<|endoftext|>{text}", "a\u2581b <|endoftext", text * 40]
+    check(packing.Encoder(packing.public_vocabulary()), texts)
+
+
+def check(encoder, texts):
+    """Against a fresh tokenizer that nobody has touched."""
+    fresh = Tokenizer.from_file(packing.public_vocabulary())
+    ids, counts = encoder.encode(texts)
+    ends = np.cumsum(counts)
+    for t, a, b in zip(texts, ends - counts, ends):
+        assert ids[a:b].tolist() == fresh.encode(t, add_special_tokens=False).ids, t
+
+
+def test_random_texts_and_a_small_memory(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS", 3)
+    draw = random.Random(7)
     encoder = packing.Encoder(packing.public_vocabulary())
-    texts = [text, "", text, f"{text} more {text}"]
-    for t, ids in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids
+    encoder.memory = packing.Memory(2_000)
+    parts = ["the", "Thing", "x1", "don't", "it's", "été", "a,b", "end.", "...", "12,5", "日本", "ß", "\u00a0", "\t", "\n", "\n", " ", "  ",
+             "<|endoftext|>", "<|end", "\u200b", "\r\n", "e\u0301", "😀", "'ll", "A!!"]
+    for _ in range(150):
+        check(encoder, [draw.choice([" ", "", " "]).join(draw.choice(parts) for _ in range(draw.randrange(12))) for _ in range(6)])
+    assert len(encoder.memory.new) + len(encoder.memory.old) < 400
+    check(encoder, ["word " * 60_000, ""])
 
 
 def test_pieces_make_whole_documents_and_gapless_sequences(spark):
@@ -65,3 +87,12 @@ def test_sequences_hold_the_ids(spark):
     assert row.ids[: row.used] in (one + two, two + one)
     assert len(row.ids) == (64 if row.used & (row.used - 1) else row.used)
     assert packing.pack_documents(docs.limit(0)).count() == 0
+
+
+def test_null_ids_repeats_and_clashing_columns(spark):
+    rows = [(None, "a b"), (None, "a b"), (3, "a b"), (3, "c"), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS start", "2 AS length", "3 AS sequence_id", "4 AS ids", "5 AS _group")
+    found = packing.pack_documents(docs, tokens=16).collect()
+    assert len(found) == len(rows) and sorted(r.doc_tokens for r in found) == [1, 1, 2, 3, 3, 3]
+    spots = {(r.sequence_id, r.offset) for r in found}
+    assert len(spots) == len(rows)
