@@ -29,7 +29,7 @@ REMEMBERED_BYTES, ENTRY_BYTES = 48 << 20, 200
 #: Marks that are a pre-token of their own after letters (an apostrophe may begin a contraction).
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters of texts that are encoded together (a longer text alone), and new words encoded in one go.
-TOGETHER, WORDS = 4_000_000, 20_000
+TOGETHER, WORDS = 4_000_000, 256
 
 
 def public_vocabulary() -> str:
@@ -59,9 +59,11 @@ class Memory:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def missing(self, words: list[str]) -> list[str]:
+    def turn(self) -> None:
         if self.size > self.most:
             self.new, self.old, self.size = {}, self.new, 0
+
+    def missing(self, words: list[str]) -> list[str]:
         new, old = self.new, self.old
         out = [w for w in words if w not in new]
         again = [w for w in out if w in old]
@@ -111,37 +113,43 @@ class Encoder:
             out += [ids[a:b] for a, b in zip(starts, ends)]
         return out
 
-    def learn(self, words: list[str], blank: str) -> list[bytes]:
-        """Ids of words without white space after ``blank`` (empty: at the beginning of a line).
+    def learn(self, words: list[str], lead: str) -> None:
+        """Remembers the ids of words that begin with ``lead``, a line feed, or (empty) follow a blank.
 
         Letters and the marks after them are separate pre-tokens, so stems of
         letters are encoded together, whatever follows them.
         """
-        marked = {w: w.rstrip(TAIL) for w in words if not w.isalpha()}
-        letters = list({*(w for w in words if w not in marked), *(stem for stem in marked.values() if stem.isalpha())})
-        known = dict(zip(letters, self.stems(letters, blank)))
+        memory, skip = self.memory, len(lead)
+        blank, before = ("", self.feed) if lead else (" ", b"")
+        marked = {w: w.rstrip(TAIL) for w in words if not w[skip:].isalpha()}
+        letters = {w for w in words if w not in marked}
+        letters.update(stem for stem in marked.values() if stem[skip:].isalpha())
+        fresh = memory.missing(list(letters))
+        memory.put(fresh, [before + ids for ids in self.stems([w[skip:] for w in fresh], blank)])
+        known = memory.new
+        ids = []
         for w, stem in marked.items():
-            if stem in known:
+            if stem in letters:
                 mark = w[len(stem) :]
-                known[w] = known[stem] + (self.marks.get(mark) or self.marks.setdefault(mark, self.plain(mark)))
+                ids.append(known[stem] + (self.marks.get(mark) or self.marks.setdefault(mark, self.plain(mark))))
             else:
-                known[w] = self.plain(blank + w)
+                ids.append(before + self.plain(blank + w[skip:]))
+        memory.put(list(marked), ids)
         if len(self.marks) > 10_000:
             self.marks = {}
-        return [known[w] for w in words]
 
     def words(self, distinct: list[str]) -> list[bytes]:
         """Ids of every word: one after a line feed begins with it, all others follow a blank. Empty: white space is uneven."""
         memory = self.memory
+        memory.turn()
         missing = memory.missing(distinct)
         if "\n".join(missing).split() != [w.removeprefix("\n") for w in missing]:
             uneven = [w for w in missing if w.split() != [w.removeprefix("\n")]]
             memory.put(uneven, [b""] * len(uneven))
             odd = set(uneven)
             missing = [w for w in missing if w not in odd]
-        first, later = [w for w in missing if w[0] == "\n"], [w for w in missing if w[0] != "\n"]
-        memory.put(later, self.learn(later, " "))
-        memory.put(first, [self.feed + ids for ids in self.learn([w[1:] for w in first], "")])
+        self.learn([w for w in missing if w[0] != "\n"], "")
+        self.learn([w for w in missing if w[0] == "\n"], "\n")
         return list(map(memory.new.__getitem__, distinct))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
