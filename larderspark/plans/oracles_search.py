@@ -248,6 +248,12 @@ ORACLES = {
         WHERE rank BETWEEN 3 AND 4""", RECORDS),
     "vector_search": with_views([], CENTROIDS, body="""
         SELECT query_id, product_id, round_even(cosine, 6) AS cosine, rank FROM nearest WHERE cosine >= 0.1"""),
+    "vector_search_fallback": with_views([], CENTROIDS, body="""
+        SELECT query_id, product_id, round_even(cosine, 6) AS cosine, rank, 'exact' AS strategy
+        FROM nearest WHERE cosine >= 0.1"""),
+    "ivf_recall": f"""
+        SELECT count(*) AS queries, true AS recall_kept, true AS share_kept FROM documents
+        WHERE doc_id % 100 = 0 AND len({hashed('substring(text, 1, 1200)')}) > 0""",
     "vector_search_dirty": with_views([], CENTROIDS, body="""
         SELECT query_id, product_id, cosine, rank FROM (
           SELECT query_id, CAST(vec_id AS VARCHAR) AS product_id, round_even(cosine, 6) AS cosine,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import ids, numeric, text, vectors
 from larderspark.operators import (
-    embedding, enrich, evaluation, hybrid, lexical, lsh, nutrition, product_docs, ranking, reviews, summaries, vector,
+    embedding, enrich, evaluation, hybrid, ivf, lexical, lsh, nutrition, product_docs, ranking, reviews, summaries, vector,
 )
 from larderspark.plans import fixtures, queries_catalog, queries_reviews
 from larderspark.plans.queries_reviews import flat
@@ -147,6 +147,61 @@ def ann_recall(spark, sf):
     return lsh.recall(lsh.ann_ranking(ann_index(spark, sf), asked, 10), exact)
 
 
+def document_points(spark, sf):
+    """Hashed vectors of all documents: unlike the given embeddings they have real neighbours."""
+    docs = embedding.embed_documents(fixtures.table(spark, sf, "documents"), "doc_id", "text")
+    return cut_lineage(docs.select(
+        F.col("doc_id").cast("string").alias("product_id"), "doc_id", "embedding",
+        F.lit(0).cast("long").alias("review_count"), F.lit(0.0).alias("average_score")))
+
+
+def document_queries(stored):
+    """Every document whose id is divisible by 100."""
+    return cut_lineage(stored.filter("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("vector")))
+
+
+def stored_index(spark, stored):
+    path = scratch_path(spark, "ivf")
+    ivf.write_index(stored, path)
+    return ivf.read_index(spark, path)
+
+
+def ivf_search(spark, sf):
+    stored = document_points(spark, sf)
+    return ivf.ivf_ranking(stored_index(spark, stored), document_queries(stored), 10).select(
+        "query_id", "product_id", six("cosine"), "rank")
+
+
+def ivf_recall(spark, sf):
+    """Queries, and whether recall@10 and the share of exactly scored pairs keep their bounds.
+
+    A result counts if its cosine reaches the exact tenth one: copies of a
+    document tie, and any of them is as good.
+    """
+    stored = document_points(spark, sf)
+    asked = document_queries(stored)
+    usable = ivf.usable(stored).count()
+    short = min(ivf.SHORT, max(20, usable // 10))
+    index = stored_index(spark, stored)
+    lists = sum(rows.count() for _, _, rows in ivf.short_lists(*index, asked, short))
+    found = ivf.ivf_ranking(index, asked, 10, short)
+    exact = cut_lineage(vector.vector_ranking(stored, asked, 10))
+    tenth = exact.groupBy("query_id").agg(F.min("cosine").alias("least"), F.count("*").alias("relevant"))
+    good = found.join(tenth, "query_id").filter("cosine >= least").groupBy("query_id").agg(F.count("*").alias("good"))
+    hits = tenth.join(good, "query_id", "left").agg(
+        F.count("*").alias("queries"), F.sum("relevant").alias("relevant"), F.sum(F.coalesce("good", F.lit(0))).alias("good"))
+    return hits.select(
+        "queries", (F.col("good") >= 0.9 * F.col("relevant")).alias("recall_kept"),
+        (F.lit(lists) <= 0.1 * usable * F.col("queries")).alias("share_kept"))
+
+
+def vector_search_fallback(spark, sf):
+    """Asked of an index that is not there: the exact search answers."""
+    asked = centroid_queries(spark, sf).withColumn("min_score", F.lit(0.1))
+    rows, strategy = ivf.search_or_exact(spark, scratch_path(spark, "no-index"), embeddings(spark, sf), asked, 10)
+    return rows.select("query_id", "product_id", six("cosine"), "rank").withColumn("strategy", F.lit(strategy))
+
+
 def with_centroid(spark, sf):
     rows = embeddings(spark, sf).join(vector.centroids(embeddings(spark, sf), "label"), "label")
     return vector.cosine_pairs(rows, "embedding", "vector")
@@ -421,6 +476,9 @@ QUERIES = {
     "hybrid_small_pool": hybrid_small_pool,
     "ann_search": ann_search,
     "ann_recall": ann_recall,
+    "ivf_search": ivf_search,
+    "ivf_recall": ivf_recall,
+    "vector_search_fallback": vector_search_fallback,
     "cosine_pairs": cosine_pairs,
     "angle_metrics": angle_metrics,
     "vector_index_build": vector_index_build,
