@@ -230,6 +230,32 @@ ORACLES = {
         SELECT product_id, {PROMPT_SQL} AS prompt FROM described"""),
     "lexical_score": search("""
         SELECT query_id, product_id, CAST(lexical_score AS DOUBLE) AS lexical_score, rank FROM lex""", k=10),
+    "lexical_indexed": search("""
+        SELECT query_id, product_id, CAST(lexical_score AS DOUBLE) AS lexical_score, rank FROM lex""", k=10),
+    "lexical_rare": with_views(
+        [], f"""
+        asked AS (SELECT doc_id AS query_id, regexp_extract(lower(text), '[a-z]{{12,}}', 0) AS phrase FROM documents
+                  WHERE doc_id % 100 = 0),
+        scores AS (SELECT query_id, CAST(doc_id AS VARCHAR) AS product_id,
+                          4 * {occurrences('lower(text)', 'phrase')} AS lexical_score
+                   FROM asked JOIN documents ON phrase <> '' AND contains(lower(text), phrase))""", body=f"""
+        SELECT query_id, product_id, CAST(lexical_score AS DOUBLE) AS lexical_score, rank FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY lexical_score DESC, product_id) AS INT) AS rank
+          FROM scores) WHERE rank <= 5"""),
+    "lexical_regex": with_views(
+        ["fx_reviews", "fx_queries"], PRODUCTS, """
+        asked AS (SELECT query_id, list_transform(list_filter(string_split(query, ' '),
+                         lambda w: regexp_full_match(w, '[a-z]{4,}'))[1:2], lambda w: concat(w[1:4], '[a-z]*')) AS terms
+                  FROM fx_queries),
+        patterns AS (SELECT query_id, unnest(terms) AS p, 1 AS in_text, 2 AS in_label FROM asked
+                     UNION ALL SELECT query_id, array_to_string(terms, ' '), 3, 5 FROM asked WHERE len(terms) > 0),
+        scores AS (SELECT query_id, product_id, any_value(review_count) AS review_count, any_value(average_score) AS average_score,
+                          sum(in_text * len(regexp_extract_all(text_lower, p)) + in_label * len(regexp_extract_all(label_lower, p)))
+                          AS lexical_score
+                   FROM patterns, products GROUP BY query_id, product_id)""", body="""
+        SELECT query_id, product_id, CAST(lexical_score AS DOUBLE) AS lexical_score, rank FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY lexical_score DESC, review_count DESC,
+                    average_score DESC, product_id) AS INT) AS rank FROM scores WHERE lexical_score > 0) WHERE rank <= 10"""),
     "catalog_keyword_search": with_views(
         _MASTER_VIEWS, *_MASTER_CTES,
         """asked AS (SELECT query_id, phrase, string_split(phrase, ' ') AS terms FROM (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import ids, numeric, text, vectors
 from larderspark.operators import (
-    embedding, enrich, evaluation, hybrid, ivf, lexical, lsh, nutrition, product_docs, ranking, reviews, summaries, vector,
+    embedding, enrich, evaluation, hybrid, ivf, lexical, lexical_index, lsh, nutrition, product_docs, ranking, reviews, summaries, vector,
 )
 from larderspark.plans import fixtures, queries_catalog, queries_reviews
 from larderspark.plans.queries_reviews import flat
@@ -77,6 +77,42 @@ def lexical_score(spark, sf):
         "query_id", "product_id", "lexical_score", "rank")
 
 
+def stored_lists(spark, products):
+    path = scratch_path(spark, "lexical-index")
+    lexical_index.write_index(products, path)
+    return lexical_index.read_index(spark, path)
+
+
+def lexical_indexed(spark, sf):
+    """The ranking of ``lexical_score`` from an inverted index."""
+    products = lexical.search_ready(queries_reviews.documents(spark, sf))
+    return lexical_index.indexed_ranking(stored_lists(spark, products), queries(spark, sf), 10).select(
+        "query_id", "product_id", "lexical_score", "rank")
+
+
+def lexical_rare(spark, sf):
+    """Whole documents, asked for the first long word of every document whose id is divisible by 100.
+
+    Most documents have none of these words and are not read.
+    """
+    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text")
+    products = lexical.search_ready(docs, lexical.Columns("doc_id", None, "text", None, None, None, None))
+    word = F.regexp_extract(F.lower("text"), "[a-z]{12,}", 0)
+    asked = docs.filter("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), word.alias("query"))
+    return lexical_index.indexed_ranking(stored_lists(spark, products), cut_lineage(asked), K).select(
+        "query_id", "product_id", "lexical_score", "rank")
+
+
+def lexical_regex(spark, sf):
+    """Patterns in place of literals: the queries' words as stems with any ending."""
+    products = lexical.search_ready(queries_reviews.documents(spark, sf))
+    words = F.slice(F.filter(F.split("query", " "), lambda w: w.rlike("^[a-z]{4,}$")), 1, 2)
+    asked = queries(spark, sf).select("query_id", F.array_join(
+        F.transform(words, lambda w: F.concat(F.substring(w, 1, 4), F.lit("[a-z]*"))), " ").alias("query"))
+    return lexical.lexical_ranking(products, asked, 10, regex=True).select(
+        "query_id", "product_id", "lexical_score", "rank")
+
+
 def catalog_keyword_search(spark, sf):
     """The same ranking on the search documents of the master catalogue."""
     docs = queries_catalog.search_documents(spark, sf)
@@ -468,6 +504,9 @@ def eval_graded(spark, sf):
 QUERIES = {
     "eval_graded": eval_graded,
     "lexical_score": lexical_score,
+    "lexical_indexed": lexical_indexed,
+    "lexical_rare": lexical_rare,
+    "lexical_regex": lexical_regex,
     "catalog_keyword_search": catalog_keyword_search,
     "keyword_search": keyword_search,
     "sorted_page": sorted_page,
