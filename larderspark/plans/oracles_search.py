@@ -274,6 +274,16 @@ ORACLES = {
         WHERE rank BETWEEN 3 AND 4""", RECORDS),
     "vector_search": with_views([], CENTROIDS, body="""
         SELECT query_id, product_id, round_even(cosine, 6) AS cosine, rank FROM nearest WHERE cosine >= 0.1"""),
+    "vector_search_pruned": with_views([], CENTROIDS, body="""
+        SELECT query_id, product_id, round_even(cosine, 6) AS cosine, rank FROM nearest WHERE cosine >= 0.1"""),
+    "document_search_pruned": with_views(
+        [], unit("(SELECT doc_id, substring(text, 1, 1200) AS t FROM documents)", "doc_id", "t", "vec"), """
+        known AS (SELECT doc_id, CAST(e AS DOUBLE[]) AS e FROM vec WHERE len(list_filter(e, lambda x: x > 0)) > 0),
+        pairs AS (SELECT a.doc_id AS query_id, round_even(list_cosine_similarity(a.e, b.e), 12) AS cosine, b.doc_id
+                  FROM known a, known b WHERE a.doc_id % 100 = 0)""", body="""
+        SELECT query_id, rank, round_even(cosine, 6) AS cosine FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC) AS INT) AS rank FROM pairs)
+        WHERE rank <= 10"""),
     "vector_search_fallback": with_views([], CENTROIDS, body="""
         SELECT query_id, product_id, round_even(cosine, 6) AS cosine, rank, 'exact' AS strategy
         FROM nearest WHERE cosine >= 0.1"""),

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import ids, numeric, text, vectors
 from larderspark.operators import (
-    embedding, enrich, evaluation, hybrid, ivf, lexical, lexical_index, lsh, nutrition, product_docs, ranking, reviews, summaries, vector,
+    embedding, enrich, evaluation, hybrid, ivf, lexical, lexical_index, lsh, nutrition, product_docs, pruned, ranking, reviews,
+    summaries, vector,
 )
 from larderspark.plans import fixtures, queries_catalog, queries_reviews
 from larderspark.plans.queries_reviews import flat
@@ -231,6 +232,26 @@ def ivf_recall(spark, sf):
         (F.lit(lists) <= 0.1 * usable * F.col("queries")).alias("share_kept"))
 
 
+def stored_cells(spark, stored):
+    path = scratch_path(spark, "cells")
+    pruned.write_cells(stored, path)
+    return pruned.read_cells(spark, path)
+
+
+def vector_search_pruned(spark, sf):
+    """The rows of ``vector_search``, by cells with pivots and radii."""
+    asked = centroid_queries(spark, sf).withColumn("min_score", F.lit(0.1))
+    rows, _ = pruned.pruned_ranking(stored_cells(spark, embeddings(spark, sf)), cut_lineage(asked), 10)
+    return rows.select("query_id", "product_id", six("cosine"), "rank")
+
+
+def document_search_pruned(spark, sf):
+    """Best cosines of documents whose id is divisible by 100, among all documents, by cells."""
+    stored = document_points(spark, sf)
+    rows, _ = pruned.pruned_ranking(stored_cells(spark, stored), document_queries(stored), 10)
+    return rows.select("query_id", "rank", six("cosine"))
+
+
 def vector_search_fallback(spark, sf):
     """Asked of an index that is not there: the exact search answers."""
     asked = centroid_queries(spark, sf).withColumn("min_score", F.lit(0.1))
@@ -517,6 +538,8 @@ QUERIES = {
     "ann_recall": ann_recall,
     "ivf_search": ivf_search,
     "ivf_recall": ivf_recall,
+    "vector_search_pruned": vector_search_pruned,
+    "document_search_pruned": document_search_pruned,
     "vector_search_fallback": vector_search_fallback,
     "cosine_pairs": cosine_pairs,
     "angle_metrics": angle_metrics,
