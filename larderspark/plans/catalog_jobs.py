@@ -7,22 +7,19 @@ from pyspark.sql import functions as F
 
 from larderspark import schemas
 from larderspark.operators import catalog, ledger, master, nutrition, quality
-from larderspark.operators.upsert import last_wins, upsert
+from larderspark.operators.upsert import last_wins, upsert_partial
 from larderspark.session import cut_lineage
-from larderspark.sources import readers, writers
+from larderspark.sources import readers, tables, writers
 
 
 def load(df: DataFrame, path: str, keys: list[str]) -> int:
-    """Upsert into a versioned table; the row count of the source is returned.
+    """Upsert into a keyed table; the row count of the source is returned.
 
-    The source is stored first: it is computed once and its size is known, so
-    a small one is broadcast and the table is not shuffled.
+    The source is stored first: it is computed once and its size is known.
+    Only the buckets of its keys are rewritten.
     """
     source = cut_lineage(df)
-    base = writers.read_versioned(df.sparkSession, path)
-    if base is not None:  # columns that the table did not have yet
-        base = base.withColumns({f.name: F.lit(None).cast(f.dataType) for f in source.schema if f.name not in base.columns})
-    writers.write_versioned(source if base is None else upsert(base, source, keys), path)
+    tables.apply(source, path, keys)
     return source.count()
 
 
@@ -69,20 +66,54 @@ def import_examples(spark: SparkSession, path: str, warehouse: str) -> int:
 
 
 def rebuild_master(spark: SparkSession, warehouse: str) -> None:
-    """Both sources into ``master``, then the search documents of all of it."""
-    sources = [writers.read_versioned(spark, f"{warehouse}/{t}") for t in ("catalog", "foods", "food_nutrients")]
-    now = F.current_timestamp()
-    base = writers.read_versioned(spark, f"{warehouse}/master")
-    if base is None:
-        merged = master.products_master(*sources).withColumn("updated_at", now)
-    else:
-        merged = master.merge_master(base, *sources, now)
-    writers.write_versioned(merged, f"{warehouse}/master")
-    table = writers.read_versioned(spark, f"{warehouse}/master")
-    documents = master.search_documents(table).withColumn("updated_at", now)
+    """Both sources into ``master``, then the search documents of all of it.
+
+    Rows of an existing master keep their other columns and get a new time.
+    """
+    sources = [tables.read(spark, f"{warehouse}/{t}") for t in ("catalog", "foods", "food_nutrients")]
+    now, path = F.current_timestamp(), f"{warehouse}/master"
+    catalog_rows, foods, facts = sources
+    updates = ((master.from_catalog(catalog_rows), master.CATALOG_UPDATES),
+               (master.from_nutrition(foods, facts), master.NUTRITION_UPDATES))
+    for rows, update in updates:  # the id prefixes keep the sources apart, so each rule meets only its rows
+        tables.apply(rows.withColumn("updated_at", now), path, ["product_id"], lambda old, new: upsert_partial(
+            old, new, ["product_id"], update, {"updated_at": F.current_timestamp()}))
+    documents = master.search_documents(tables.read(spark, path)).withColumn("updated_at", now)
     load(documents, f"{warehouse}/search_documents", ["source_product_id"])
 
 
+def refresh_master(spark: SparkSession, warehouse: str, codes: DataFrame | None = None,
+                   fdc_ids: DataFrame | None = None, nutrients: DataFrame | None = None) -> int:
+    """Bring ``master`` and its search documents up to date with changed source rows only.
+
+    ``codes`` (code): catalogue rows that were inserted, updated or deleted;
+    ``fdc_ids`` (fdc_id): foods; ``nutrients`` (fdc_id): foods with a changed
+    nutrient row. Their products are computed again from the sources; those
+    that no longer exist or qualify are retracted. Returns the products looked
+    at. The result is that of ``master.products_master`` on the whole sources.
+    """
+    def keys(df: DataFrame | None, name: str, kind: str) -> DataFrame:
+        return spark.createDataFrame([], f"{name} {kind}") if df is None else df.select(F.col(name).cast(kind).alias(name))
+
+    code = cut_lineage(keys(codes, "code", "string").distinct(), "codes")
+    fdc = cut_lineage(keys(fdc_ids, "fdc_id", "long").unionByName(keys(nutrients, "fdc_id", "long")).distinct(), "foods")
+    catalog_rows, foods, facts = (tables.read(spark, f"{warehouse}/{t}") for t in ("catalog", "foods", "food_nutrients"))
+    fresh = cut_lineage(master.products_master(
+        catalog_rows.join(code, "code", "left_semi"), foods.join(fdc, "fdc_id", "left_semi"),
+        facts.join(fdc, "fdc_id", "left_semi")), "fresh")
+    touched = cut_lineage(
+        code.select(F.concat(F.lit("off:"), "code").alias("product_id"))
+        .unionByName(fdc.select(F.concat(F.lit("usda:"), F.col("fdc_id").cast("string")).alias("product_id"))), "touched")
+    path, documents = f"{warehouse}/master", f"{warehouse}/search_documents"
+    tables.apply(fresh.withColumn("updated_at", F.current_timestamp()), path, ["product_id"])
+    tables.delete(spark, path, touched.join(fresh.select("product_id"), "product_id", "left_anti"))
+    shown = cut_lineage(master.search_documents(fresh).withColumn("updated_at", F.current_timestamp()), "documents")
+    tables.apply(shown, documents, ["source_product_id"])
+    tables.delete(spark, documents, touched.select(F.col("product_id").alias("source_product_id")).join(
+        shown.select("source_product_id"), "source_product_id", "left_anti"))
+    return touched.count()
+
+
 def export_frames(products: DataFrame, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The export shape: payload as JSON text, times as text, ids as product_id."""
     def shape(df: DataFrame, rename: dict[str, str]) -> DataFrame:

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larderspark.operators import embedding, enrich, evaluation, hybrid, vector
-from larderspark.operators.upsert import upsert
 from larderspark.session import cut_lineage
-from larderspark.sources import readers, writers
+from larderspark.sources import readers, tables
 
 
 def embed_table(documents: DataFrame, out: str, key: str, text_column: str, model: str,
@@ -35,10 +34,13 @@ def embed_table(documents: DataFrame, out: str, key: str, text_column: str, mode
 
 
 def index_vectors(embedded: DataFrame, path: str, id_column: str, recreate: bool = False) -> int:
-    """Points into a versioned vector table: new from scratch, or upserted by id."""
+    """Points into a keyed vector table: new from scratch, or upserted by id. Returns the points written."""
     points = cut_lineage(vector.vector_table(embedded, id_column))
-    base = None if recreate else writers.read_versioned(embedded.sparkSession, path)
-    return writers.write_versioned(points if base is None else upsert(base, points, ["point_id"]), path)
+    if recreate:
+        tables.create(points, path, ["point_id"])
+    else:
+        tables.apply(points, path, ["point_id"])
+    return points.count()
 
 
 def evaluate(products: DataFrame, benchmark: DataFrame, points: DataFrame | None = None,

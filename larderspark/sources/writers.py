@@ -1,12 +1,10 @@
-"""Writers: CSV, keyed exports and versioned tables."""
+"""Writers: CSV and keyed exports."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -31,35 +29,3 @@ def write_sorted(df: DataFrame, path: str, key: Sequence[str], mode: str = "over
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
 
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    try:
-        rows = spark.read.schema("version bigint").json(f"{path}/_log").collect()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return []
-    return sorted(r.version for r in rows)
-
-
-def read_versioned(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
-    """The newest (or a given) committed version of a table, None before the first."""
-    versions = _versions(spark, path)
-    if not versions:
-        return None
-    chosen = versions[-1] if version is None else version
-    return spark.read.parquet(f"{path}/version={chosen:012d}")
-
-
-def write_versioned(df: DataFrame, path: str) -> int:
-    """Write a complete new version, then commit it by one log row.
-
-    Readers see the old version until the log row is there, and a job that
-    dies before it leaves only an uncommitted folder. One writer at a time.
-    """
-    spark = df.sparkSession
-    version = (_versions(spark, path) or [0])[-1] + 1
-    df.write.mode("overwrite").parquet(f"{path}/version={version:012d}")
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode(
-        "append").json(f"{path}/_log")
-    return version

@@ -15,8 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from larderspark.operators import embedding
 from larderspark.operators.dedup import keep_first
-from larderspark.operators.upsert import last_wins, upsert
-from larderspark.sources import writers
+from larderspark.operators.upsert import last_wins
+from larderspark.sources import tables
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -28,15 +28,13 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 def upsert_stream(changes: DataFrame, table: str, keys: Sequence[str], order: Sequence[Column | str],
                   checkpoint: str) -> StreamingQuery:
-    """Upsert every micro-batch into a versioned table until the input is read.
+    """Upsert every micro-batch into a keyed table until the input is read.
 
-    ``order`` puts the winner of equal keys in a batch first. Processing a
-    batch twice writes the same table again.
+    ``order`` puts the winner of equal keys in a batch first. A batch rewrites
+    the buckets of its keys only; processing it twice writes the same rows again.
     """
     def apply(batch: DataFrame, _: int) -> None:
-        base = writers.read_versioned(batch.sparkSession, table)
-        rows = last_wins(batch, keys, order)
-        writers.write_versioned(rows if base is None else upsert(base, rows, keys), table)
+        tables.apply(last_wins(batch, keys, order), table, keys)
 
     return (
         changes.writeStream.foreachBatch(apply)

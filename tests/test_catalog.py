@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from larderspark.operators import catalog, ledger, master, nutrition, quality
 from larderspark.operators.upsert import last_wins, upsert, upsert_partial
 from larderspark.plans import catalog_jobs
-from larderspark.sources import readers, writers
+from larderspark.sources import readers, tables
 
 
 def dump(spark, *rows, columns="code string, product_name string, categories string"):
@@ -73,11 +73,11 @@ def test_payloads_keep_the_whole_nutriments_object(spark):
 def test_payloads_go_into_an_older_catalogue_table(spark, tmp_path):
     """A table written before the column was there keeps its rows and gets the column."""
     old = catalog.clean_catalog(dump(spark, ("12345678", "tea", "x"))).drop("nutriments_json")
-    writers.write_versioned(old, f"{tmp_path}/catalog")
+    tables.create(old, f"{tmp_path}/catalog", ["code"])
     payload = {"code": "87654321", "product": {"product_name": "tea", "nutriments": {"fat_unit": "g"}}}
     catalog_jobs.load(catalog.normalize_payloads(
         spark.createDataFrame([(json.dumps(payload),)], "payload string")), f"{tmp_path}/catalog", ["code"])
-    rows = writers.read_versioned(spark, f"{tmp_path}/catalog").collect()
+    rows = tables.read(spark, f"{tmp_path}/catalog").collect()
     assert {r.code: r.nutriments_json for r in rows} == {"12345678": None, "87654321": '{"fat_unit":"g"}'}
 
 
@@ -165,14 +165,65 @@ def test_ledger(spark, tmp_path):
     assert runs["bad"].status == "failed" and "lost" in runs["bad"].notes
 
 
-def test_versioned_table(spark, tmp_path, collect):
+def test_keyed_table(spark, tmp_path, collect):
     path = str(tmp_path / "t")
-    assert writers.read_versioned(spark, path) is None
+    assert tables.read(spark, path) is None
     base, delta = base_and_delta(spark)
-    assert writers.write_versioned(base, path) == 1
-    assert writers.write_versioned(upsert(writers.read_versioned(spark, path), delta, ["k"]), path) == 2
-    assert collect(writers.read_versioned(spark, path)) == [(1, "a", 1), (2, "B", 20), (3, "C", 30)]
-    assert collect(writers.read_versioned(spark, path, 1)) == [(1, "a", 1), (2, "b", 2)]
+    tables.apply(base, path, ["k"], buckets=8)
+    tables.apply(delta, path, ["k"])
+    tables.apply(delta, path, ["k"])  # again: the same table
+    assert collect(tables.read(spark, path)) == [(1, "a", 1), (2, "B", 20), (3, "C", 30)]
+    tables.delete(spark, path, spark.createDataFrame([(1,), (7,)], "k int"))
+    assert collect(tables.read(spark, path)) == [(2, "B", 20), (3, "C", 30)]
+    tables.apply(delta.limit(1).selectExpr("k", "'new' AS more"), path, ["k"])
+    assert {r.more for r in tables.read(spark, path).collect()} == {"new", None}
+    tables.create(tables.read(spark, path).filter("k = 3"), path, ["k"])
+    assert [r.k for r in tables.read(spark, path).collect()] == [3]
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    files = lambda: {f.relative_to(path): f.name for f in (tmp_path / "t").rglob("key_bucket=*/*.parquet")}
+    tables.create(spark.range(1000).withColumn("v", F.lit(1)), path, ["id"], buckets=16)
+    before = files()
+    delta = spark.range(5, 8).withColumn("v", F.lit(2))
+    touched = tables.changed_buckets(delta, ["id"], 16)
+    tables.apply(delta, path, ["id"])
+    same = {f for f in before if f in files()}
+    assert {int(str(f).split("=")[1].split("/")[0]) for f in same} == set(range(16)) - set(touched) and len(touched) <= 3
+    assert tables.read(spark, path).groupBy("v").count().orderBy("v").collect() == [(1, 997), (2, 3)]
+
+
+def test_a_refreshed_master_equals_a_rebuilt_one(spark, tmp_path, collect):
+    house = str(tmp_path)
+    rows = [(f"{n:08d}", f"tea {n}", "x") for n in range(40)]
+    new = catalog.clean_catalog(dump(spark, *rows))
+    old = new.filter("code > '00000004'").withColumn(
+        "product_name", F.when(F.col("code") < "00000010", F.lit("old name")).otherwise(F.col("product_name")))
+    extra = catalog.clean_catalog(dump(spark, ("99999999", "gone", "x")))
+    foods = spark.createDataFrame([(n, f"FOOD {n}", "c") for n in range(20)], "fdc_id bigint, description string, food_category string")
+    facts = spark.createDataFrame([(n, n % 20, 1008, float(n)) for n in range(20, 60)],
+                                  "id bigint, fdc_id bigint, nutrient_id bigint, amount double")
+    tables.create(old.unionByName(extra), f"{house}/catalog", ["code"])
+    tables.create(foods.withColumn("description", F.when(F.col("fdc_id") == 3, F.lit("x")).otherwise(F.col("description"))),
+                  f"{house}/foods", ["fdc_id"])
+    tables.create(facts.filter("id > 25"), f"{house}/food_nutrients", ["id"])
+    catalog_jobs.rebuild_master(spark, house)
+    # inserts, updates, deletes; a name that becomes too short; nutrient rows that come and go
+    tables.apply(new, f"{house}/catalog", ["code"])
+    tables.delete(spark, f"{house}/catalog", extra.select("code"))
+    last = foods.withColumn("description", F.when(F.col("fdc_id") == 7, F.lit("y")).otherwise(F.col("description")))
+    tables.apply(last, f"{house}/foods", ["fdc_id"])
+    tables.apply(facts.filter("id <= 25"), f"{house}/food_nutrients", ["id"])
+    tables.delete(spark, f"{house}/food_nutrients", facts.filter("id = 59").select("id"))
+    looked = catalog_jobs.refresh_master(
+        spark, house, codes=new.filter("code <= '00000010'").select("code").unionByName(extra.select("code")),
+        fdc_ids=spark.createDataFrame([(3,), (7,)], "fdc_id long"),
+        nutrients=facts.filter("id <= 25 or id = 59").select("fdc_id"))
+    assert 15 < looked < 25
+    want = master.products_master(new, last, facts.filter("id < 59"))
+    assert collect(tables.read(spark, f"{house}/master").drop("updated_at")) == collect(want)
+    assert collect(tables.read(spark, f"{house}/search_documents").drop("updated_at")) == collect(master.search_documents(want))
 
 
 def test_jobs_end_to_end(spark, tmp_path):
@@ -197,12 +248,12 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert catalog_jobs.import_catalog(spark, str(raw / "dump.tsv"), house) == 1
     catalog_jobs.rebuild_master(spark, house)
     catalog_jobs.rebuild_master(spark, house)  # a second run changes nothing
-    table = writers.read_versioned(spark, f"{house}/master")
+    table = tables.read(spark, f"{house}/master")
     got = {r.product_id: r for r in table.collect()}
     assert set(got) == {"off:12345678", "usda:10"}
     assert got["usda:10"].product_name == 'Milk, "Whole"' and got["usda:10"].categories == "Dairy and Egg"
     assert got["usda:10"].nutrition_summary == "Energy: 61.5 kcal"
-    documents = writers.read_versioned(spark, f"{house}/search_documents")
+    documents = tables.read(spark, f"{house}/search_documents")
     report = catalog_jobs.export_catalog(table, documents, out)
     assert report["products_rows"] == report["documents_rows"] == 2
     shown = spark.read.parquet(f"{out}/product_search_documents.parquet").orderBy("product_id").collect()
@@ -211,7 +262,7 @@ def test_jobs_end_to_end(spark, tmp_path):
         {"code": "12345678", "product": {"product_name": "Green tea, new"}}) + "\n{}\n")
     assert catalog_jobs.import_payloads(spark, str(raw / "payloads.json"), house) == 1
     catalog_jobs.rebuild_master(spark, house)
-    table = writers.read_versioned(spark, f"{house}/master")
+    table = tables.read(spark, f"{house}/master")
     assert {r.product_id: r.product_name for r in table.collect()}["off:12345678"] == "Green tea, new"
     spark.createDataFrame(
         [(1, " tea ", 2, "p", "us", "E", "train", 1, 1), (2, "tea", 2, "p", "us", "Z", "train", 1, 1)],

@@ -12,7 +12,7 @@ import __spark_entry__ as entrypoint
 from larderspark.plans import fixtures, queries_catalog, queries_search, registry
 from larderspark.streaming import jobs
 from larderspark.operators.upsert import upsert
-from larderspark.sources import writers
+from larderspark.sources import tables
 from tests import compare
 
 # Approximate results have no SQL form; tests compare them with exact search.
@@ -69,14 +69,14 @@ def test_upsert_stream_equals_batch(spark, sf_dir, tmp_path, collect):
     base, delta = part.limit(50), part.selectExpr(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice + 1 AS p_retailprice")
     source, table = str(tmp_path / "in"), str(tmp_path / "table")
-    writers.write_versioned(base, table)
+    tables.create(base, table, ["p_partkey"])
     delta.repartition(3).write.parquet(source)
     changes = jobs.read_stream(spark, source, delta.schema, 1)
     jobs.upsert_stream(changes, table, ["p_partkey"], ["p_name"], str(tmp_path / "ck")).awaitTermination()
     want = collect(upsert(base, delta, ["p_partkey"]))
-    assert collect(writers.read_versioned(spark, table)) == want
+    assert collect(tables.read(spark, table)) == want
     jobs.upsert_stream(changes, table, ["p_partkey"], ["p_name"], str(tmp_path / "ck2")).awaitTermination()
-    assert collect(writers.read_versioned(spark, table)) == want
+    assert collect(tables.read(spark, table)) == want
 
 
 def test_embed_stream_equals_batch(spark, sf_dir, tmp_path, collect):

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from larderspark.plans import queries_search, search_jobs
-from larderspark.sources import writers
+from larderspark.sources import tables
 from larderspark.operators import blocks, embedding, enrich, evaluation, hybrid, lexical, lsh, ranking, summaries, vector
 
 WORDS = ["tea", "the", "other", "green", "c++", "a.b", "aa", "aaa", "bar", "é"]
@@ -383,11 +383,11 @@ def test_embed_index_evaluate_jobs(spark, tmp_path, collect):
     assert again["products_total"] == 30 and again["vector_size"] == 64
     table = df.join(spark.read.parquet(out), "ProductId")
     stored = table.select("ProductId", "embedding", "review_count")
-    assert search_jobs.index_vectors(stored.limit(5), index, "ProductId") == 1
-    assert search_jobs.index_vectors(stored, index, "ProductId") == 2
-    assert writers.read_versioned(spark, index).count() == 30
+    assert search_jobs.index_vectors(stored.limit(5), index, "ProductId") == 5
+    assert search_jobs.index_vectors(stored, index, "ProductId") == 30
+    assert tables.read(spark, index).count() == 30
     search_jobs.index_vectors(stored.limit(7), index, "ProductId", recreate=True)
-    assert writers.read_versioned(spark, index).count() == 7
+    assert tables.read(spark, index).count() == 7
 
     asked = spark.createDataFrame(
         [(1, "green tea", 3, [["tea"], ["green"]]), (2, "zzz", 3, [["zzz"]])],
