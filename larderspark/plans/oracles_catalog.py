@@ -128,6 +128,16 @@ def whole(body: str) -> str:
     return with_views(_MASTER_VIEWS, *_MASTER_CTES, body=body)
 
 
+UPSERTED = """
+        SELECT * FROM part WHERE p_partkey NOT IN (SELECT p_partkey * 2 FROM part) UNION ALL
+        SELECT p_partkey * 2, p_name, p_brand, p_type, p_size, p_retailprice + 1 FROM part"""
+UPSERTED_PARTS = """
+        SELECT coalesce(b.c_custkey, s.k) AS c_custkey, coalesce(b.c_name, concat(s.c_name, ' new')) AS c_name,
+               coalesce(b.c_nationkey, s.c_nationkey) AS c_nationkey,
+               CASE WHEN s.k IS NULL THEN b.c_acctbal ELSE s.c_acctbal + 1 END AS c_acctbal,
+               CASE WHEN s.k IS NULL THEN b.c_mktsegment ELSE 'TOUCHED' END AS c_mktsegment
+        FROM customer b FULL JOIN (SELECT *, c_custkey * 2 AS k FROM customer) s ON b.c_custkey = s.k"""
+
 ORACLES = {
     "scan_tsv_dump": with_views(["fx_catalog"], body="""
         SELECT code, product_name, brands, categories, ingredients_text, allergens, nutriscore_grade,
@@ -191,15 +201,17 @@ ORACLES = {
                                  body="SELECT fdc_id, food_category, summary FROM food_texts"),
     "products_master": whole("SELECT * EXCLUDE (payload_category) FROM master"),
     "catalog_search_text": whole("SELECT * FROM search_docs"),
-    "upsert_merge": """
-        SELECT * FROM part WHERE p_partkey NOT IN (SELECT p_partkey * 2 FROM part) UNION ALL
-        SELECT p_partkey * 2, p_name, p_brand, p_type, p_size, p_retailprice + 1 FROM part""",
-    "upsert_partial": """
-        SELECT coalesce(b.c_custkey, s.k) AS c_custkey, coalesce(b.c_name, concat(s.c_name, ' new')) AS c_name,
-               coalesce(b.c_nationkey, s.c_nationkey) AS c_nationkey,
-               CASE WHEN s.k IS NULL THEN b.c_acctbal ELSE s.c_acctbal + 1 END AS c_acctbal,
-               CASE WHEN s.k IS NULL THEN b.c_mktsegment ELSE 'TOUCHED' END AS c_mktsegment
-        FROM customer b FULL JOIN (SELECT *, c_custkey * 2 AS k FROM customer) s ON b.c_custkey = s.k""",
+    "upsert_merge": UPSERTED,
+    "upsert_table": UPSERTED,
+    "upsert_stream": UPSERTED,
+    "upsert_partial": UPSERTED_PARTS,
+    "upsert_partial_table": UPSERTED_PARTS,
+    "master_incremental": whole("SELECT * EXCLUDE (payload_category) FROM master"),
+    "scan_benchmark": with_views(["fx_queries"], body="""
+        SELECT query, top_k,
+               array_to_string(list_filter(terms, lambda t, i: i % 2 = 1 AND t <> ''), ' ') AS group_0,
+               array_to_string(list_filter(terms, lambda t, i: i % 2 = 0 AND t <> ''), ' ') AS group_1
+        FROM (SELECT *, string_split(query, ' ') AS terms FROM fx_queries)"""),
     "export_catalog": whole("""
         SELECT product_id, barcode, product_name, m.source_dataset, search_text, payload_category
         FROM master m JOIN search_docs s ON s.source_product_id = m.product_id"""),

@@ -216,6 +216,11 @@ _PROMPT_PARTS = ("title", "product_id", "format('{:.2f}', round_even(average_sco
 PROMPT_SQL = "concat(" + ", ".join(
     f"{sql_text(words)}, {part}" for words, part in zip(_P, _PROMPT_PARTS)) + f", {sql_text(_P[-1])})"
 
+EMBEDDED = with_views(
+    [], unit("(SELECT doc_id, substring(text, 1, 1200) AS t FROM documents)", "doc_id", "t", "vec"), body="""
+        SELECT doc_id, CAST(pos - 1 AS INT) AS pos, round_even(CAST(x AS DOUBLE), 5) AS x
+        FROM (SELECT doc_id, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM vec) WHERE x > 0""")
+
 ORACLES = {
     "search_results": with_views(
         ["fx_reviews", "fx_queries"], PRODUCTS, ASKED, ranking(20), HYBRID,
@@ -315,10 +320,8 @@ ORACLES = {
     "stable_point_id": POINT_ID.format(
         key="p_partkey", name="concat(p_name, '-', p_partkey)", source="part"),
     "embed_input": "SELECT doc_id, substring(text, 1, 1200) AS input FROM documents",
-    "embed_documents": with_views(
-        [], unit("(SELECT doc_id, substring(text, 1, 1200) AS t FROM documents)", "doc_id", "t", "vec"), body="""
-        SELECT doc_id, CAST(pos - 1 AS INT) AS pos, round_even(CAST(x AS DOUBLE), 5) AS x
-        FROM (SELECT doc_id, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM vec) WHERE x > 0"""),
+    "embed_documents": EMBEDDED,
+    "embed_stream": EMBEDDED,
     "embed_queries": with_views(
         [], unit(f"(SELECT item_id, substring(trim(text, {SPACES}), 1, 512) AS t FROM benchmark)",
                  "item_id", "t", "vec"), body="""

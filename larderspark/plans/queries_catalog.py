@@ -10,7 +10,8 @@ from larderspark.operators import catalog, ledger, master, nutrition, quality, r
 from larderspark.operators.upsert import upsert, upsert_partial
 from larderspark.plans import catalog_jobs, fixtures
 from larderspark.session import cut_lineage, scratch_path
-from larderspark.sources import readers, writers
+from larderspark.sources import readers, tables, writers
+from larderspark.streaming import jobs
 
 AMOUNT_MAX = 90_000
 REPORT_COLUMNS = ("product_name", "brand", "categories", "ingredients_text", "allergens", "nutriscore")
@@ -150,21 +151,98 @@ def catalog_search_text(spark, sf):
     return search_documents(spark, sf).drop("payload")
 
 
-def upsert_merge(spark, sf):
-    base = fixtures.table(spark, sf, "part")
-    delta = base.select(
+def part_delta(base):
+    return base.select(
         (F.col("p_partkey") * 2).alias("p_partkey"), "p_name", "p_brand", "p_type", "p_size",
         (F.col("p_retailprice") + 1).alias("p_retailprice"))
-    return upsert(base, delta, ["p_partkey"])
 
 
-def upsert_part(spark, sf):
-    base = fixtures.table(spark, sf, "customer")
-    delta = base.select(
+def upsert_merge(spark, sf):
+    base = fixtures.table(spark, sf, "part")
+    return upsert(base, part_delta(base), ["p_partkey"])
+
+
+def upsert_table(spark, sf):
+    """The same into a stored table of hash buckets."""
+    base, path = fixtures.table(spark, sf, "part"), scratch_path(spark, "parts")
+    tables.create(base, path, ["p_partkey"])
+    tables.apply(part_delta(base), path, ["p_partkey"])
+    return tables.read(spark, path)
+
+
+def upsert_stream(spark, sf):
+    """The same, the changes arriving as files of a stream."""
+    base, path = fixtures.table(spark, sf, "part"), scratch_path(spark, "parts")
+    tables.create(base, path, ["p_partkey"])
+    delta = part_delta(base)
+    delta.repartition(3).write.parquet(f"{path}-changes")
+    changes = jobs.read_stream(spark, f"{path}-changes", delta.schema, 2)
+    jobs.upsert_stream(changes, path, ["p_partkey"], ["p_name"], f"{path}-progress").awaitTermination()
+    return tables.read(spark, path)
+
+
+def customer_delta(base):
+    return base.select(
         (F.col("c_custkey") * 2).alias("c_custkey"), F.concat("c_name", F.lit(" new")).alias("c_name"),
         F.col("c_nationkey"), (F.col("c_acctbal") + 1).alias("c_acctbal"), "c_mktsegment")
-    return upsert_partial(base, delta, ["c_custkey"], ["c_acctbal"],
-                          {"c_mktsegment": F.lit("TOUCHED")})
+
+
+def partial(base, delta):
+    return upsert_partial(base, delta, ["c_custkey"], ["c_acctbal"], {"c_mktsegment": F.lit("TOUCHED")})
+
+
+def upsert_part(spark, sf):
+    base = fixtures.table(spark, sf, "customer")
+    return partial(base, customer_delta(base))
+
+
+def upsert_partial_table(spark, sf):
+    base, path = fixtures.table(spark, sf, "customer"), scratch_path(spark, "customers")
+    tables.create(base, path, ["c_custkey"])
+    tables.apply(customer_delta(base), path, ["c_custkey"], partial)
+    return tables.read(spark, path)
+
+
+def master_incremental(spark, sf):
+    """The master after changes of both sources, brought up to date by their keys.
+
+    The tables start with some rows missing, some different, and some too
+    many; the changes lead to the rows that ``products_master`` is made of.
+    """
+    house = scratch_path(spark, "house")
+    last = {"catalog": (cut_lineage(cleaned(spark, sf)), "code"), "foods": (cut_lineage(foods(spark, sf)), "fdc_id"),
+            "food_nutrients": (cut_lineage(facts(spark, sf)), "id")}
+    changed = {}
+    for name, (rows, key) in last.items():
+        turn = F.pmod(F.xxhash64(F.lit(name), F.col(key).cast("string")), F.lit(20))
+        column = {"catalog": "product_name", "foods": "description", "food_nutrients": "amount"}[name]
+        other = F.lit(7.0) if column == "amount" else F.concat(F.lit("was "), column)
+        extra = rows.filter(turn == 2).withColumn(
+            key, F.concat(F.lit("9"), key) if name == "catalog" else F.col(key) + 10_000_000_000)
+        first = rows.filter(turn != 0).withColumn(column, F.when(turn == 1, other).otherwise(F.col(column)))
+        tables.create(first.unionByName(extra), f"{house}/{name}", [key])
+        changed[name] = (cut_lineage(rows.filter(turn < 2)), cut_lineage(extra))
+    catalog_jobs.rebuild_master(spark, house)
+    for name, (rows, extra) in changed.items():
+        tables.apply(rows, f"{house}/{name}", [last[name][1]])
+        tables.delete(spark, f"{house}/{name}", extra.select(last[name][1]))
+    keys = {name: rows.unionByName(extra) for name, (rows, extra) in changed.items()}
+    catalog_jobs.refresh_master(spark, house, keys["catalog"], keys["foods"], keys["food_nutrients"])
+    return tables.read(spark, f"{house}/master").drop("payload", "updated_at")
+
+
+def scan_benchmark(spark, sf):
+    """Query sets as JSON files, each an array of queries."""
+    words = F.split("query", " ")
+    at = lambda odd: F.filter(words, lambda w, i: (i % 2 == odd) & (w != ""))
+    asked = fixtures.view(spark, sf, "fx_queries").select(
+        F.pmod(F.xxhash64("query_id"), F.lit(1 << 20)).alias("part"),
+        F.struct("query", "top_k", F.array(at(0), at(1)).alias("positive_groups")).alias("q"))
+    path = scratch_path(spark, "query-sets")
+    asked.groupBy("part").agg(F.to_json(F.collect_list("q")).alias("value")).write.partitionBy("part").text(path)
+    found = readers.read_benchmark(spark, f"{path}/part=*")
+    return found.select("query", "top_k", *[
+        F.array_join(F.get("positive_groups", F.lit(n)), " ").alias(f"group_{n}") for n in (0, 1)])
 
 
 def export_catalog(spark, sf):
@@ -248,6 +326,11 @@ QUERIES = {
     "catalog_search_text": catalog_search_text,
     "upsert_merge": upsert_merge,
     "upsert_partial": upsert_part,
+    "upsert_table": upsert_table,
+    "upsert_stream": upsert_stream,
+    "upsert_partial_table": upsert_partial_table,
+    "master_incremental": master_incremental,
+    "scan_benchmark": scan_benchmark,
     "export_catalog": export_catalog,
     "quality_gate": quality_gate,
     "run_ledger": run_ledger,

@@ -12,7 +12,9 @@ from larderspark.operators import (
 )
 from larderspark.plans import fixtures, queries_catalog, queries_reviews
 from larderspark.plans.queries_reviews import flat
+from larderspark.schemas import VECTOR, L, struct
 from larderspark.session import cut_lineage, scratch_path
+from larderspark.streaming import jobs
 
 K = 5
 
@@ -320,6 +322,17 @@ def embed_documents(spark, sf):
         fixtures.table(spark, sf, "documents"), "doc_id", "text"), "doc_id")
 
 
+def embed_stream(spark, sf):
+    """Documents arriving as files, some of them twice: every one is embedded once."""
+    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "arriving")
+    docs.repartition(3).write.parquet(path)
+    docs.filter("doc_id % 10 = 3").coalesce(1).write.mode("append").parquet(path)
+    stream = jobs.read_stream(spark, path, docs.schema, 2)
+    jobs.embed_stream(stream, "doc_id", "text", f"{path}-vectors", f"{path}-progress").awaitTermination()
+    return nonzero(jobs.read_embedded(spark, f"{path}-vectors", struct(doc_id=L, embedding=VECTOR)), "doc_id")
+
+
 def embed_queries(spark, sf):
     asked = fixtures.table(spark, sf, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query"))
@@ -549,6 +562,7 @@ QUERIES = {
     "embed_input": embed_input,
     "embed_documents": embed_documents,
     "embed_queries": embed_queries,
+    "embed_stream": embed_stream,
     "join_embeddings": join_embeddings,
     "embed_resume": embed_resume,
     "embed_manifest": embed_manifest,
