@@ -67,6 +67,8 @@ def fit_centres(classes: DataFrame, cell_rows: int = CELL_ROWS, rows: int = TRAI
 def cells(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float) -> DataFrame:
     """``classes`` once per cell: column ``cell``, and ``home`` for its own one (first in the list)."""
     border = np.sqrt(1 - threshold**2) + SLACK
+    # distances of centres from their products, rounded up; made once, here
+    between = {width: np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0) + 1e-12) for width, c in centres.items()}
 
     @F.pandas_udf(ArrayType(IntegerType()))
     def of(vectors: pd.Series) -> pd.Series:
@@ -79,7 +81,7 @@ def cells(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float)
                 for i in at:
                     out[i] = [0]
                 continue
-            apart = np.linalg.norm(c[:, None, :] - c[None, :, :], axis=2)
+            apart = between[int(width)]
             for low in range(0, len(at), BLOCK_ROWS):
                 rows = at[low : low + BLOCK_ROWS]
                 near = unit(vectors.iloc[rows]) @ c.T
