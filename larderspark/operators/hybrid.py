@@ -55,10 +55,11 @@ def keyword_rows(ranked: DataFrame, products: DataFrame, rows: int) -> DataFrame
         "fallback_relevance")
 
 
-def keyword_search(products: DataFrame, queries: DataFrame, k: int, rows: int | None = None) -> DataFrame:
+def keyword_search(products: DataFrame, queries: DataFrame, k: int, rows: int | None = None,
+                   word_ranker: Ranker = lexical.lexical_ranking) -> DataFrame:
     """Keyword result records of every query."""
     rows = queries.count() * k if rows is None else rows
-    ranked = cut_lineage(lexical.lexical_ranking(products, queries, k))
+    ranked = cut_lineage(word_ranker(products, queries, k))
     return enrich.result_columns(keyword_rows(ranked, products, rows))
 
 
@@ -150,16 +151,17 @@ def with_strategy(queries: DataFrame, default_k: int = MAX_TOP_K) -> DataFrame:
 
 
 def ranked_rows(products: DataFrame, queries: DataFrame, points: DataFrame | None = None,
-                weights: Weights = Weights(), ranker: Ranker = vector_ranking) -> tuple[DataFrame, DataFrame]:
+                weights: Weights = Weights(), ranker: Ranker = vector_ranking,
+                word_ranker: Ranker = lexical.lexical_ranking) -> tuple[DataFrame, DataFrame]:
     """(strategies, ranked rows) of a query table under one row contract.
 
     ``ranker`` finds the vector candidates: exact, or ``lsh.ann_ranking`` when
-    ``points`` carry signatures.
+    ``points`` carry signatures. ``word_ranker`` finds the keyword candidates.
     """
     plan = cut_lineage(with_strategy(queries))
     n, most = plan.agg(F.count(F.lit(1)), F.max("top_k")).first()
     weights = replace(weights, pool=max(weights.pool, most or 0))  # a pool below top_k would lose results
-    lexical_hits = cut_lineage(lexical.lexical_ranking(products, plan, weights.pool))
+    lexical_hits = cut_lineage(word_ranker(products, plan, weights.pool))
     keyword_only = plan.filter(F.col("strategy") != HYBRID).select("query_id", "top_k")
     by_words = lexical_hits.join(small(keyword_only, n), "query_id").filter(
         F.col("rank") <= F.col("top_k")).drop("top_k")
@@ -175,7 +177,7 @@ def ranked_rows(products: DataFrame, queries: DataFrame, points: DataFrame | Non
 
 def search(products: DataFrame, queries: DataFrame, points: DataFrame | None = None,
            weights: Weights = Weights(), all_indexed: bool = False,
-           ranker: Ranker = vector_ranking) -> DataFrame:
+           ranker: Ranker = vector_ranking, word_ranker: Ranker = lexical.lexical_ranking) -> DataFrame:
     """Result records of every query, with the strategy that was used.
 
     ``products`` from ``search_ready``; ``queries``: query_id, query and
@@ -188,7 +190,7 @@ def search(products: DataFrame, queries: DataFrame, points: DataFrame | None = N
         queries = queries.drop("vector")
     elif not all_indexed:
         products = lexical.indexed_products(products, points)
-    plan, rows = ranked_rows(products, queries, points, weights, ranker)
+    plan, rows = ranked_rows(products, queries, points, weights, ranker, word_ranker)
     return enrich.result_columns(rows).join(
         plan.select("query_id", "strategy", "warning"), "query_id")
 

@@ -216,6 +216,11 @@ _PROMPT_PARTS = ("title", "product_id", "format('{:.2f}', round_even(average_sco
 PROMPT_SQL = "concat(" + ", ".join(
     f"{sql_text(words)}, {part}" for words, part in zip(_P, _PROMPT_PARTS)) + f", {sql_text(_P[-1])})"
 
+HYBRID_ROWS = search(f"""
+        SELECT query_id, rank, product_id, title, score, average_score AS avg_rating,
+               review_count AS nb_reviews, round_even(cosine, 6) AS semantic_similarity,
+               {angle('cosine')} AS vector_angle_degrees, {angle_percent('cosine')} AS relevance_percent,
+               'semantic_hybrid' AS strategy FROM best""", HYBRID, k=20)
 EMBEDDED = with_views(
     [], unit("(SELECT doc_id, substring(text, 1, 1200) AS t FROM documents)", "doc_id", "t", "vec"), body="""
         SELECT doc_id, CAST(pos - 1 AS INT) AS pos, round_even(CAST(x AS DOUBLE), 5) AS x
@@ -342,11 +347,8 @@ ORACLES = {
         FROM documents""",
     "indexed_products": """SELECT CAST(doc_id AS VARCHAR) AS product_id, lang FROM documents
                            WHERE doc_id IN (SELECT vec_id FROM embeddings)""",
-    "hybrid_search": search(f"""
-        SELECT query_id, rank, product_id, title, score, average_score AS avg_rating,
-               review_count AS nb_reviews, round_even(cosine, 6) AS semantic_similarity,
-               {angle('cosine')} AS vector_angle_degrees, {angle_percent('cosine')} AS relevance_percent,
-               'semantic_hybrid' AS strategy FROM best""", HYBRID, k=20),
+    "hybrid_search": HYBRID_ROWS,
+    "hybrid_pruned": HYBRID_ROWS,
     "hybrid_small_pool": search(
         "SELECT query_id, rank, product_id, score FROM best", HYBRID.replace("rn <= 20", "rn <= 5"), k=5),
     "search_strategy": search(f"""

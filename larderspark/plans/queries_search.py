@@ -472,10 +472,10 @@ def summary_prompt(spark, sf):
 
 # --- evaluation -----------------------------------------------------------
 
-def judged_keyword(spark, sf, docs=None):
+def judged_keyword(spark, sf, docs=None, word_ranker=lexical.lexical_ranking):
     products = lexical.search_ready(documents(spark, sf) if docs is None else docs)
     asked = benchmark(spark, sf)
-    rows = hybrid.keyword_search(products, asked, K)
+    rows = hybrid.keyword_search(products, asked, K, word_ranker=word_ranker)
     n = asked.count() * K
     return evaluation.judge(rows.select("query_id", "rank", "product_id", "title"), asked, products, n), asked
 
@@ -485,17 +485,17 @@ def eval_relevance(spark, sf):
     return judged.select("query_id", "rank", "product_id", F.col("relevant").cast("int").alias("relevant"))
 
 
-def keyword_metrics(spark, sf, docs=None):
-    return evaluation.metrics(*judged_keyword(spark, sf, docs))
+def keyword_metrics(spark, sf, docs=None, word_ranker=lexical.lexical_ranking):
+    return evaluation.metrics(*judged_keyword(spark, sf, docs, word_ranker))
 
 
 def eval_summary(spark, sf):
     return evaluation.summarize(keyword_metrics(spark, sf)).drop("avg_search_time_ms")
 
 
-def hybrid_metrics(spark, sf, docs=None):
+def hybrid_metrics(spark, sf, docs=None, word_ranker=lexical.lexical_ranking):
     products, asked, stored = search_inputs(spark, sf, False, docs)
-    plan, rows = hybrid.ranked_rows(products, asked, stored)
+    plan, rows = hybrid.ranked_rows(products, asked, stored, word_ranker=word_ranker)
     groups = benchmark(spark, sf)
     titled = rows.withColumn("title", enrich.title(F.col("label_hint"), F.col("product_id")))
     judged = evaluation.judge(titled.select("query_id", "rank", "product_id", "title"), groups, products,
@@ -504,12 +504,34 @@ def hybrid_metrics(spark, sf, docs=None):
 
 
 def eval_compare(spark, sf):
+    """Both systems over the same documents; their words are ranked once, to the larger of both depths."""
     docs = documents(spark, sf)
+    pool = hybrid.Weights().pool
+    ranked = cut_lineage(lexical.lexical_ranking(lexical.search_ready(docs), queries(spark, sf), pool))
+
+    def cut(_products, _queries, k):
+        if k > pool:
+            raise ValueError("the stored ranking is not deep enough")
+        return ranked.filter(F.col("rank") <= k)
+
     return evaluation.compare({
-        "keyword": keyword_metrics(spark, sf, docs), "semantic": hybrid_metrics(spark, sf, docs),
+        "keyword": keyword_metrics(spark, sf, docs, cut), "semantic": hybrid_metrics(spark, sf, docs, cut),
     }).drop("avg_search_time_ms")
 
 
+def hybrid_pruned(spark, sf):
+    """The rows of ``hybrid_search``: words from the inverted index, vectors from cells with bounds."""
+    products, asked, stored = search_inputs(spark, sf, False)
+    lists, cells = stored_lists(spark, products), stored_cells(spark, stored)
+    rows = hybrid.search(
+        products, asked, stored, all_indexed=True,
+        ranker=lambda _, q, k: pruned.pruned_ranking(cells, q, k)[0],
+        word_ranker=lambda _, q, k: lexical_index.indexed_ranking(lists, q, k))
+    return rows.select(
+        "query_id", "rank", "product_id", "title", "score", "avg_rating", "nb_reviews",
+        six("semantic_similarity"), "vector_angle_degrees", "relevance_percent", "strategy")
+
+
 def eval_strategies(spark, sf):
     asked = embedding.embed_queries(queries(spark, sf)).withColumn(
         "mode", F.when(F.col("query_id") % 3 == 0, F.lit("keyword")).otherwise(F.lit("semantic"))
@@ -568,6 +590,7 @@ QUERIES = {
     "embed_manifest": embed_manifest,
     "indexed_products": indexed_products,
     "hybrid_search": hybrid_search,
+    "hybrid_pruned": hybrid_pruned,
     "search_results": search_results,
     "search_strategy": search_strategy,
     "derive_category": derive_category,
