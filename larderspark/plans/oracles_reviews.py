@@ -178,6 +178,11 @@ ORACLES = {
     "year_distribution": reviews(
         "SELECT CAST(year(review_timestamp) AS INT) AS year, count(*) AS n FROM cleaned GROUP BY ALL"),
     "reviews_per_product": reviews(PER_PRODUCT, SIZES),
+    "sketch_ranges": reviews(" UNION ALL ".join(f"""
+        SELECT '{name}' AS days, ProfileName, count(*) AS rows, true AS quantiles_kept, true AS sets_kept, true AS shared_kept
+        FROM cleaned WHERE {days} GROUP BY ProfileName""" for name, days in (
+            ("all", "true"), ("early", "CAST(review_timestamp AS DATE) <= DATE '2011-04-30'"),
+            ("late", "CAST(review_timestamp AS DATE) >= DATE '2011-05-01'")))),
     "text_length_quantiles": reviews(
         "SELECT CAST(p50 AS INT) AS p50, CAST(p90 AS INT) AS p90, CAST(p99 AS INT) AS p99 "
         f"FROM ({TEXT_QUANTILES})"),

@@ -334,6 +334,10 @@ ORACLES = {
         FROM (SELECT item_id, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM vec) WHERE x > 0"""),
     "join_embeddings": """SELECT doc_id, lang, CAST(len(embedding) AS INT) AS dimension
                           FROM documents JOIN embeddings ON doc_id = vec_id""",
+    "join_colocated": """SELECT doc_id, lang, CAST(len(embedding) AS INT) AS dimension
+                         FROM documents JOIN embeddings ON doc_id = vec_id""",
+    "point_lookup": """SELECT doc_id, lang, n_chars FROM documents WHERE doc_id IN (
+                       SELECT doc_id FROM documents WHERE doc_id % 100 = 0 ORDER BY doc_id LIMIT 200)""",
     "embed_resume": with_views(
         [], unit("(SELECT doc_id, substring(text, 1, 1200) AS t FROM documents)", "doc_id", "t", "vec"), body="""
         SELECT vec_id AS doc_id, round_even(CAST(embedding[1] AS DOUBLE), 5) AS x FROM embeddings UNION ALL
@@ -365,6 +369,12 @@ ORACLES = {
     "clip_text": f"SELECT doc_id, {clip('text', 180)} AS clip_180, {clip('text', 140)} AS clip_140 FROM documents",
     "facet_filter": shown("""SELECT product_id, category FROM haystacks
                              WHERE category IN ('Farines', 'The et infusions')"""),
+    "facet_pairs": shown("""
+        SELECT category, CAST(CAST(floor(average_score) AS INT) AS VARCHAR) AS stars, count(*) AS n
+        FROM haystacks JOIN products USING (product_id) GROUP BY ALL"""),
+    "facet_within": shown("""
+        SELECT category, count(*) AS n FROM haystacks JOIN products USING (product_id)
+        WHERE floor(average_score) IN (3, 4) GROUP BY category"""),
     "facet_counts": shown("SELECT category, count(*) AS n FROM haystacks GROUP BY category"),
     "extractive_summary": with_views(["fx_reviews", "fx_examples"], PRODUCTS, SHOWN, f"""
         parts AS (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larderspark.functions import numeric, text
-from larderspark.operators import product_docs, ranking, reports, reviews
+from larderspark.operators import product_docs, ranking, reports, reviews, sketches
 from larderspark.operators.dedup import keep_first
 from larderspark.operators.histogram import bins
 from larderspark.plans import fixtures, pipelines
@@ -121,6 +121,47 @@ def product_documents_basic(spark, sf):
     return flat(product_docs.product_documents_basic(kept))
 
 
+SKETCHED = {"products": "ProductId", "users": "UserId"}
+
+
+def sketch_table(spark, sf):
+    """Per source and day: rows, sketch of text lengths, sets of products and users. Stored."""
+    rows = cleaned(spark, sf)
+    return cut_lineage(sketches.daily(
+        rows, ["ProfileName"], F.to_date("review_timestamp"), F.col("text_length"), {n: F.col(c) for n, c in SKETCHED.items()}))
+
+
+def sketch_ranges(spark, sf):
+    """Per source and range of days: rows, and whether the merged sketches keep their bounds against exact figures.
+
+    ``shared_kept``: products that the range has in common with all days.
+    """
+    table, rows = sketch_table(spark, sf), cut_lineage(cleaned(spark, sf).select(
+        "ProfileName", F.to_date("review_timestamp").alias("day"), "text_length", *SKETCHED.values()))
+    whole = sketches.merged(table, ["ProfileName"], list(SKETCHED)).select("ProfileName", F.col("products").alias("all_products"))
+    out = None
+    for name, low, high in (("all", None, None), ("early", None, "2011-04-30"), ("late", "2011-05-01", None)):
+        part = sketches.merged(table, ["ProfileName"], list(SKETCHED), low, high).join(whole, "ProfileName")
+        asked = part.select("ProfileName", "rows", *[sketches.quantile(q).alias(f"q{i}") for i, q in enumerate((0.1, 0.5, 0.9))],
+                            *[sketches.distinct(n).alias(n) for n in SKETCHED], sketches.common("products", "all_products").alias("shared"))
+        chosen = rows.filter(F.col("day") >= F.lit(low).cast("date")) if low else rows
+        chosen = chosen.filter(F.col("day") <= F.lit(high).cast("date")) if high else chosen
+        ranked = chosen.join(asked, "ProfileName").groupBy("ProfileName").agg(
+            *[F.any_value(c).alias(c) for c in asked.columns[1:]],
+            *[F.avg((F.col("text_length") <= F.col(f"q{i}")).cast("double")).alias(f"upto{i}") for i in range(3)],
+            *[F.avg((F.col("text_length") < F.col(f"q{i}")).cast("double")).alias(f"below{i}") for i in range(3)],
+            *[F.count_distinct(c).alias(f"exact_{n}") for n, c in SKETCHED.items()])
+        error = sketches.RANK_ERROR
+        quantiles = [(F.col(f"upto{i}") >= q - error) & (F.col(f"below{i}") <= q + error) for i, q in enumerate((0.1, 0.5, 0.9))]
+        near = lambda n, exact: F.abs(F.col(n) - F.col(exact)) <= sketches.SET_ERROR * F.col(exact)
+        checked = ranked.select(
+            F.lit(name).alias("days"), "ProfileName", "rows", (quantiles[0] & quantiles[1] & quantiles[2]).alias("quantiles_kept"),
+            (near("products", "exact_products") & near("users", "exact_users")).alias("sets_kept"),
+            near("shared", "exact_products").alias("shared_kept"))
+        out = checked if out is None else out.unionByName(checked)
+    return out
+
+
 def quality_report(spark, sf):
     narrow = cut_lineage(
         cleaned(spark, sf).select(
@@ -195,6 +236,7 @@ QUERIES = {
     "score_distribution": lambda s, d: reports.score_distribution(cleaned(s, d)),
     "year_distribution": lambda s, d: reports.year_distribution(cleaned(s, d)),
     "reviews_per_product": lambda s, d: reports.reviews_per_product(cleaned(s, d)),
+    "sketch_ranges": sketch_ranges,
     "text_length_quantiles": lambda s, d: reports.text_length_quantiles(cleaned(s, d)),
     "overview_metrics": lambda s, d: reports.overview_metrics(raw(s, d), cleaned(s, d)),
     "quality_report": quality_report,

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import ids, numeric, text, vectors
 from larderspark.operators import (
-    embedding, enrich, evaluation, hybrid, ivf, lexical, lexical_index, lsh, nutrition, product_docs, pruned, ranking, reviews,
+    embedding, enrich, evaluation, facets, hybrid, ivf, lexical, lexical_index, lsh, nutrition, product_docs, pruned, ranking, reviews,
     summaries, vector,
 )
 from larderspark.plans import fixtures, queries_catalog, queries_reviews
 from larderspark.plans.queries_reviews import flat
 from larderspark.schemas import VECTOR, L, struct
 from larderspark.session import cut_lineage, scratch_path
+from larderspark.sources import layouts
 from larderspark.streaming import jobs
 
 K = 5
@@ -349,6 +350,28 @@ def join_embeddings(spark, sf):
         "doc_id", "lang", F.size("embedding").alias("dimension"))
 
 
+#: Buckets of the stored tables that are joined in place.
+JOIN_BUCKETS = 16
+
+
+def join_colocated(spark, sf):
+    """``join_embeddings`` of tables that lie in the same buckets: no row moves."""
+    docs = layouts.write_bucketed(fixtures.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id", JOIN_BUCKETS)
+    vectors_ = layouts.write_bucketed(done_vectors(spark, sf), "doc_id", JOIN_BUCKETS)
+    return embedding.join_embeddings(docs.hint("merge"), vectors_, "doc_id").select(
+        "doc_id", "lang", F.size("embedding").alias("dimension"))
+
+
+def point_lookup(spark, sf):
+    """Documents by id: every hundredth, and as many ids that are not there."""
+    docs = fixtures.table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    path = scratch_path(spark, "by-id")
+    layouts.write_lookup(docs, path, ["doc_id"])
+    asked = docs.filter("doc_id % 100 = 0").select("doc_id")
+    ids_ = [r.doc_id for r in asked.orderBy("doc_id").limit(200).collect()]
+    return layouts.lookup(spark, path, "doc_id", ids_ + [-1 - i for i in ids_])
+
+
 def embed_resume(spark, sf):
     docs = fixtures.table(spark, sf, "documents")
     rows = embedding.resume(docs, done_vectors(spark, sf), "doc_id", "text")
@@ -461,6 +484,23 @@ def facet_counts(spark, sf):
     return enrich.facet_counts(derive_category(spark, sf))
 
 
+def facet_bitmaps(spark, sf):
+    """Bitmaps of category and whole stars of every product."""
+    rows = display(spark, sf).select(
+        enrich.category(F.col("title"), *samples(), F.col("label_hint")).alias("category"),
+        F.floor("average_score").cast("int").alias("stars"))
+    return cut_lineage(facets.bitmaps(rows, {"category": "category", "stars": "stars"}))
+
+
+def facet_pairs(spark, sf):
+    return facets.pair_counts(facet_bitmaps(spark, sf), "category", "stars")
+
+
+def facet_within(spark, sf):
+    """Categories among the products of three or four stars."""
+    return facets.filtered_counts(facet_bitmaps(spark, sf), {"stars": ["3", "4"]}, "category").withColumnRenamed("value", "category")
+
+
 def extractive_summary(spark, sf):
     asked = fixtures.view(spark, sf, "fx_examples").select("product_id")
     return flat(summaries.summarize_requested(queries_reviews.documents(spark, sf), asked))
@@ -586,6 +626,8 @@ QUERIES = {
     "embed_queries": embed_queries,
     "embed_stream": embed_stream,
     "join_embeddings": join_embeddings,
+    "join_colocated": join_colocated,
+    "point_lookup": point_lookup,
     "embed_resume": embed_resume,
     "embed_manifest": embed_manifest,
     "indexed_products": indexed_products,
@@ -599,6 +641,8 @@ QUERIES = {
     "clip_text": clip_text,
     "facet_filter": facet_filter,
     "facet_counts": facet_counts,
+    "facet_pairs": facet_pairs,
+    "facet_within": facet_within,
     "extractive_summary": extractive_summary,
     "summary_prompt": summary_prompt,
     "eval_relevance": eval_relevance,
