@@ -5,38 +5,46 @@ its text and label. A literal of a query can only occur in documents that are
 listed under all of its longest stretches, so a search reads the lists of the
 asked stretches, intersects them, and counts exactly in the few documents
 that are left. The ranking is that of a full scan, row by row.
+
+A list also knows how often one document of its segment has the stretch, at
+most. That bounds the score any document of a segment can reach, so a bounded
+search starts with each query's best segments and reads others only while
+they could still change its result.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larderspark.operators import lexical
 from larderspark.operators.blocks import bounded_blocks, small
+from larderspark.operators.ranking import merge_top_k
 from larderspark.session import cut_lineage
 
 #: Characters of the longest stretches, and partitions of the lists.
 GRAM, BUCKETS = 3, 64
 #: Documents of one list: it is bounded, however common a stretch is.
 SEGMENT = 4_096
-#: What stands between text and label.
-GAP = "\n\0\n"
+#: Fields of a list beside its bucket.
+LIST = "gram string, segment bigint, packed binary, most_text int, most_label int"
 
 
 def bucket_of(gram: str) -> int:
     return zlib.crc32(gram.encode()) % BUCKETS
 
 
-def grams(value: str) -> set[str]:
-    return {value[i : i + n] for n in range(1, GRAM + 1) for i in range(len(value) - n + 1)}
+def gram_counts(value: str) -> Counter:
+    """How often each stretch begins in ``value``."""
+    return Counter(value[i : i + n] for n in range(1, GRAM + 1) for i in range(len(value) - n + 1))
 
 
 def longest_grams(pattern: str) -> list[str]:
@@ -58,15 +66,18 @@ def unpack(packed: bytes) -> np.ndarray:
 
 def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """mapInArrow function: the lists of a partition's documents, segment by segment."""
-    schema = pa.schema([("bucket", pa.int32()), ("gram", pa.string()), ("segment", pa.int64()), ("packed", pa.binary())])
+    schema = pa.schema([("bucket", pa.int32()), ("gram", pa.string()), ("segment", pa.int64()), ("packed", pa.binary()),
+                        ("most_text", pa.int32()), ("most_label", pa.int32())])
     held: dict[str, list[int]] = {}
+    most: dict[str, list[int]] = {}
     now = None
 
     def batch_of() -> pa.RecordBatch:
         names = sorted(held)
         return pa.RecordBatch.from_arrays([
             pa.array([bucket_of(g) for g in names], pa.int32()), pa.array(names), pa.array([now] * len(names), pa.int64()),
-            pa.array([pack(held[g]) for g in names], pa.binary())], schema=schema)
+            pa.array([pack(held[g]) for g in names], pa.binary()),
+            *[pa.array([most[g][side] for g in names], pa.int32()) for side in (0, 1)]], schema=schema)
 
     for batch in batches:
         for row, body, label in zip(*(batch.column(c).to_pylist() for c in ("row", "text_lower", "label_lower"))):
@@ -74,8 +85,13 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if segment != now:
                 if held:
                     yield batch_of()
-                now, held = segment, {}
-            for gram in grams(f"{body}{GAP}{label}"):
+                now, held, most = segment, {}, {}
+            sides = gram_counts(body), gram_counts(label)
+            for side, counts in enumerate(sides):
+                for gram, n in counts.items():
+                    known = most.setdefault(gram, [0, 0])
+                    known[side] = max(known[side], n)
+            for gram in sides[0].keys() | sides[1].keys():
                 held.setdefault(gram, []).append(offset)
     if held:
         yield batch_of()
@@ -90,14 +106,14 @@ def write_index(products: DataFrame, path: str) -> None:
     products.withColumn("row", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{path}/documents")
     stored = products.sparkSession.read.parquet(f"{path}/documents").select("row", "text_lower", "label_lower")
     lists = cut_lineage(  # the ranges are sampled: list once
-        stored.mapInArrow(_lists, "bucket int, gram string, segment bigint, packed binary"), "lists")
+        stored.mapInArrow(_lists, f"bucket int, {LIST}"), "lists")
     lists.repartitionByRange("bucket", "gram", "segment").sortWithinPartitions("bucket", "gram").write.mode(
         "overwrite").partitionBy("bucket").parquet(f"{path}/lists")
 
 
 def read_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(documents, lists)."""
-    lists = spark.read.schema("gram string, segment bigint, packed binary, bucket int")  # no file tells it if all are empty
+    lists = spark.read.schema(f"{LIST}, bucket int")  # no file tells it if all are empty
     return spark.read.parquet(f"{path}/documents"), lists.parquet(f"{path}/lists")
 
 
@@ -151,3 +167,79 @@ def indexed_ranking(index: tuple[DataFrame, DataFrame], queries: DataFrame, k: i
     if len(results) > 1:
         results = [cut_lineage(r) for r in results]
     return reduce(DataFrame.unionByName, results)
+
+
+def score_bounds(lists: DataFrame, plan: list[tuple]) -> DataFrame:
+    """(query, segment, bound): the most that a document of the segment can score, of all segments that may match.
+
+    A literal occurs in a document no more often than each of its stretches.
+    """
+    weighed = [
+        (q, [(longest_grams(p), w_text, w_label) for p, w_text, w_label in (
+            (phrase, lexical.PHRASE_TEXT, lexical.PHRASE_LABEL), *((t, lexical.WORD_TEXT, lexical.WORD_LABEL) for t in terms))])
+        for q, (_, phrase, terms) in enumerate(plan)]
+
+    def bound(part: pd.DataFrame) -> pd.DataFrame:
+        sides: dict[str, tuple[int, int]] = {}
+        for gram, text_, label in zip(part["gram"], part["most_text"], part["most_label"]):
+            known = sides.get(gram, (0, 0))
+            sides[gram] = max(known[0], int(text_)), max(known[1], int(label))
+        none = (0, 0)
+        rows = []
+        for q, uses in weighed:
+            total = 0.0
+            for grams_, w_text, w_label in uses:
+                total += w_text * min(sides.get(g, none)[0] for g in grams_) + w_label * min(sides.get(g, none)[1] for g in grams_)
+            if total > 0:
+                rows.append((q, int(part["segment"].iloc[0]), total))
+        return pd.DataFrame(rows, columns=["query", "segment", "bound"])
+
+    patterns = [p for _, phrase, terms in plan for p in (phrase, *terms)]
+    return asked_lists(lists, patterns).groupBy("segment").applyInPandas(bound, "query int, segment long, bound double")
+
+
+def bounded_ranking(index: tuple[DataFrame, DataFrame], queries: DataFrame, k: int, first: int = 1,
+                    block_bytes: int = lexical.LEXICAL_BLOCK_BYTES) -> tuple[DataFrame, int, int]:
+    """(the rows of ``lexical.lexical_ranking``, segments read, segments that may match), over all blocks of queries.
+
+    Each query starts with its ``first`` segments of the highest bound. A
+    segment that is left is read only if its bound reaches the k-th score
+    that some query has by then; ties are read. Nothing is lost.
+    """
+    documents, lists = index
+    terms = lexical.query_terms(queries)
+    size = F.octet_length("phrase") * 2 + 64 + (2 * k + lexical.SPARE_ROWS) * lexical.ROW_BYTES
+    results, read, possible = [], 0, 0
+    for block in bounded_blocks(terms, "query_id", size, block_bytes):
+        plan = lexical._plan(block.collect())  # size checked
+        if not plan:
+            continue
+        names = block.sparkSession.createDataFrame(
+            [(q, i) for q, (ids, _, _) in enumerate(plan) for i in ids],
+            f"query int, query_id {queries.schema['query_id'].dataType.simpleString()}")
+        patterns = sorted({t for _, _, words in plan for t in words})
+        asked = queries.join(F.broadcast(block.select("query_id")), "query_id", "left_semi")
+        bounds = cut_lineage(score_bounds(lists, plan), "bounds")
+
+        def ranked(segments: DataFrame) -> DataFrame:
+            few = small(segments, segments.count(), 16)
+            rows = cut_lineage(candidates(lists.join(few, "segment", "left_semi"), patterns), "candidates")
+            found = documents.join(small(rows, rows.count(), 16), "row", "left_semi").drop("row")
+            return cut_lineage(lexical.lexical_ranking(found, asked, k), "ranked")
+
+        order = Window.partitionBy("query").orderBy(F.desc("bound"), "segment")
+        start = cut_lineage(
+            bounds.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= first).select("segment").distinct(), "start")
+        best = ranked(start)
+        kth = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("lexical_score").alias("least")).filter(F.col("n") == k)
+        bars = names.join(kth, "query_id", "left").groupBy("query").agg(F.max("least").alias("bar"))
+        left = cut_lineage(
+            bounds.join(bars, "query").filter("bar is null or bound >= bar").select("segment").distinct()
+            .join(start, "segment", "left_anti"), "left")
+        more = left.count()
+        read, possible = read + start.count() + more, possible + bounds.select("segment").distinct().count()
+        results.append(merge_top_k(
+            best.unionByName(ranked(left)).drop("rank"), ["query_id"], lexical.ranking_order(), k) if more else best)
+    if not results:
+        return lexical.lexical_ranking(documents.limit(0), queries, k), 0, 0
+    return reduce(DataFrame.unionByName, results), read, possible

@@ -560,13 +560,13 @@ def eval_compare(spark, sf):
 
 
 def hybrid_pruned(spark, sf):
-    """The rows of ``hybrid_search``: words from the inverted index, vectors from cells with bounds."""
+    """The rows of ``hybrid_search``: words and vectors only from blocks whose bounds can still reach the result."""
     products, asked, stored = search_inputs(spark, sf, False)
     lists, cells = stored_lists(spark, products), stored_cells(spark, stored)
     rows = hybrid.search(
         products, asked, stored, all_indexed=True,
         ranker=lambda _, q, k: pruned.pruned_ranking(cells, q, k)[0],
-        word_ranker=lambda _, q, k: lexical_index.indexed_ranking(lists, q, k))
+        word_ranker=lambda _, q, k: lexical_index.bounded_ranking(lists, q, k)[0])
     return rows.select(
         "query_id", "rank", "product_id", "title", "score", "avg_rating", "nb_reviews",
         six("semantic_similarity"), "vector_angle_degrees", "relevance_percent", "strategy")

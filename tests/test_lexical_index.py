@@ -38,6 +38,23 @@ def test_same_ranking_as_a_scan(spark, products, asked, monkeypatch, segment, bl
     assert found == want and len(want) > 40
 
 
+@pytest.mark.parametrize("first", [1, 3])
+def test_bounds_lose_nothing(spark, products, asked, monkeypatch, first):
+    monkeypatch.setattr(lexical_index, "SEGMENT", 20)
+    path = scratch_path(spark, "lexical-test")
+    lexical_index.write_index(products, path)
+    index = lexical_index.read_index(spark, path)
+    chosen = asked.filter("query_id not in (4, 5)")
+    want = sorted(map(tuple, lexical.lexical_ranking(products, chosen, 4).collect()))
+    found, read, possible = lexical_index.bounded_ranking(index, chosen, 4, first)
+    assert sorted(map(tuple, found.collect())) == want and 0 < read <= possible
+    # one very good segment for the only query: the others are skipped
+    one = spark.createDataFrame([(1, "ababab")], "query_id int, query string")
+    best, read, possible = lexical_index.bounded_ranking(index, one, 1)
+    assert [r.product_id for r in best.collect()] == ["e3"] and read == 1 <= possible
+    assert lexical_index.bounded_ranking(index, asked.limit(0), 5)[0].count() == 0
+
+
 def test_only_asked_partitions_and_candidates_are_read(spark, products):
     path = scratch_path(spark, "lexical-test")
     lexical_index.write_index(products, path)
