@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from larderspark.functions import numeric, text
 from larderspark.operators import nutrition
 from larderspark.operators.catalog import GRADES
-from larderspark.operators.upsert import upsert_partial
 
 COLUMNS = (
     "product_id", "barcode", "product_name", "brand", "categories", "ingredients_text",
@@ -75,17 +74,6 @@ def products_master(catalog: DataFrame, foods: DataFrame, facts: DataFrame) -> D
     return from_catalog(catalog).unionByName(from_nutrition(foods, facts))
 
 
-def merge_master(base: DataFrame, catalog: DataFrame, foods: DataFrame, facts: DataFrame,
-                 now: Column) -> DataFrame:
-    """Both sources into an existing master that also has ``updated_at``.
-
-    The id prefixes keep the sources apart, so each rule meets only its rows.
-    """
-    refresh = {"updated_at": now}
-    merged = upsert_partial(base, from_catalog(catalog), ["product_id"], CATALOG_UPDATES, refresh)
-    return upsert_partial(merged, from_nutrition(foods, facts), ["product_id"], NUTRITION_UPDATES, refresh)
-
-
 def search_text() -> Column:
     """Words only: name, brand, categories, ingredients, allergens, grade."""
     def words(c: Column) -> Column:

@@ -21,24 +21,10 @@ REVIEWS = struct(
     HelpfulnessDenominator=I, Score=F, Time=I, Summary=S, Text=S,
 )
 
-PRODUCT_DOCUMENTS = struct(
-    ProductId=S, label_hint=S, review_count=I, average_score=F,
-    average_helpfulness_ratio=F, first_review_at=T.TimestampNTZType(),
-    last_review_at=T.TimestampNTZType(), summary_samples=TEXTS, text_samples=TEXTS,
-    search_text=S,
-)
-
 SEARCH_DOCUMENTS = struct(
     ProductId=S, label_hint=S, review_count=L, average_score=D, search_text=S
 )
 
-SUMMARY_DOCUMENTS = struct(ProductId=S, label_hint=S, summary_samples=TEXTS, text_samples=TEXTS)
-
-LEXICAL_RANKING = struct(
-    ProductId=S, label_hint=S, review_count=L, average_score=D, search_text_lower=S,
-    label_hint_lower=S, lexical_score=D,
-)
-
 BENCHMARK_QUERIES = struct(
     query=S, top_k=I, positive_groups=T.ArrayType(TEXTS)
 )

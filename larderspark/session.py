@@ -50,10 +50,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's part of the shared checkpoint folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/larder-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in this application's part of the shared checkpoint folder."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/larder-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in this application's scratch folder."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all stored stages of this application: call it when its results are written.
+
+    Frames that come from them can no longer be computed.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

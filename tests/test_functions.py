@@ -140,3 +140,13 @@ def test_payload_json(spark):
     df = df.withColumn("t", F.lit("2024-01-02 03:04:05").cast("timestamp_ntz"))
     got = df.select(payload.payload_json(df, ["v"], id=F.lit("x")).alias("p")).first().p
     assert got == '{"n":1,"s":null,"l":["a"],"t":"2024-01-02 03:04:05","id":"x"}'
+
+
+def test_scratch_folder_goes(spark, tmp_path, monkeypatch):
+    from larderspark import session
+
+    assert session.scratch_path(spark, "x").startswith(f"{session.scratch_root(spark)}/x-")
+    monkeypatch.setattr(session, "scratch_root", lambda _: str(tmp_path / "stages"))
+    assert session.cut_lineage(spark.range(3)).count() == 3 and any((tmp_path / "stages").iterdir())
+    session.clear_scratch(spark)
+    assert not (tmp_path / "stages").exists()
