@@ -74,3 +74,21 @@ def test_queries_without_sql_run_on_whole_tables(spark, key):
     table = "pages" if key.startswith("op8") else "documents"
     first = df.columns[0]
     assert df.select(first).distinct().count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark):
+    words = lambda a, n: " ".join(f"{a}{i}" for i in range(n))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    rows = [(None, None), (None, ""), (None, words("g", 80)), (None, words("g", 80)), (None, words("h", 80)), (9001, words("i", 80)),
+            (9001, words("j", 80)), (9001, words("j", 80)), (9002, None), (9003, "word " * 60_000)]
+    odd = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "CAST(NULL AS STRING) AS lang", "CAST(NULL AS STRING) AS source", "CAST(length(text) AS LONG) AS n_chars")
+    names = ["id", "doc", "i", "fp", "digest", "root", "least", "leaking_text", "start", "length", "sequence_id", "label", "score", "words"]
+    whole = docs.unionByName(odd).selectExpr("*", *[f"'{n}' AS `{n}`" for n in names])
+    for table in (whole, whole.limit(0)):
+        kept = table
+        for name, stage in corpus_pipeline.STAGES:
+            kept = corpus_pipeline.cut_lineage(stage(spark, kept, SF), name)
+            assert name == "pack" or sorted(kept.columns) == sorted(whole.columns), name
+        assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(kept.columns)
+        assert (kept.count() > 0) == (table is whole)
