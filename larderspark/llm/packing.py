@@ -59,20 +59,18 @@ class Memory:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def turn(self) -> None:
-        if self.size > self.most:
-            self.new, self.old, self.size = {}, self.new, 0
-
-    def missing(self, words: list[str]) -> list[str]:
-        new, old = self.new, self.old
-        out = [w for w in words if w not in new]
-        again = [w for w in out if w in old]
-        if again:
-            self.put(again, [old[w] for w in again])
-            out = [w for w in out if w not in old]
+    def known(self, words: list[str]) -> list[bytes | None]:
+        out = list(map(self.new.get, words))
+        if self.old:
+            again = [(i, self.old[words[i]]) for i, ids in enumerate(out) if ids is None and words[i] in self.old]
+            for i, ids in again:
+                out[i] = ids
+            self.put([words[i] for i, _ in again], [ids for _, ids in again])
         return out
 
     def put(self, words: list[str], ids: list[bytes]) -> None:
+        if self.size > self.most:
+            self.new, self.old, self.size = {}, self.new, 0
         self.new.update(zip(words, ids))
         self.size += sum(map(len, words)) + sum(map(len, ids)) + ENTRY_BYTES * len(words)
 
@@ -113,53 +111,58 @@ class Encoder:
             out += [ids[a:b] for a, b in zip(starts, ends)]
         return out
 
-    def learn(self, words: list[str], lead: str) -> None:
-        """Remembers the ids of words that begin with ``lead``, a line feed, or (empty) follow a blank.
+    def learn(self, words: list[str], lead: str) -> list[bytes]:
+        """Ids of words that begin with ``lead``, a line feed, or (empty) follow a blank.
 
         Letters and the marks after them are separate pre-tokens, so stems of
         letters are encoded together, whatever follows them.
         """
-        memory, skip = self.memory, len(lead)
+        skip = len(lead)
         blank, before = ("", self.feed) if lead else (" ", b"")
         marked = {w: w.rstrip(TAIL) for w in words if not w[skip:].isalpha()}
-        letters = {w for w in words if w not in marked}
-        letters.update(stem for stem in marked.values() if stem[skip:].isalpha())
-        fresh = memory.missing(list(letters))
-        memory.put(fresh, [before + ids for ids in self.stems([w[skip:] for w in fresh], blank)])
-        known = memory.new
-        ids = []
-        for w, stem in marked.items():
-            if stem in letters:
+        letters = {stem for stem in marked.values() if stem[skip:].isalpha()}
+        stems = list(letters)
+        found = dict(zip(stems, self.memory.known(stems)))
+        fresh = [*(w for w in words if w not in marked and w not in letters), *(w for w in stems if found[w] is None)]
+        found.update(zip(fresh, [before + ids for ids in self.stems([w[skip:] for w in fresh], blank)]))
+        out = []
+        for w in words:
+            stem = marked.get(w)
+            if stem is None:
+                out.append(found[w])
+            elif stem in letters:
                 mark = w[len(stem) :]
-                ids.append(known[stem] + (self.marks.get(mark) or self.marks.setdefault(mark, self.plain(mark))))
+                out.append(found[stem] + (self.marks.get(mark) or self.marks.setdefault(mark, self.plain(mark))))
             else:
-                ids.append(before + self.plain(blank + w[skip:]))
-        memory.put(list(marked), ids)
+                out.append(before + self.plain(blank + w[skip:]))
         if len(self.marks) > 10_000:
             self.marks = {}
+        return out
 
     def words(self, distinct: list[str]) -> list[bytes]:
         """Ids of every word: one after a line feed begins with it, all others follow a blank. Empty: white space is uneven."""
-        memory = self.memory
-        memory.turn()
-        missing = memory.missing(distinct)
-        if "\n".join(missing).split() != [w.removeprefix("\n") for w in missing]:
-            uneven = [w for w in missing if w.split() != [w.removeprefix("\n")]]
-            memory.put(uneven, [b""] * len(uneven))
-            odd = set(uneven)
-            missing = [w for w in missing if w not in odd]
-        self.learn([w for w in missing if w[0] != "\n"], "")
-        self.learn([w for w in missing if w[0] == "\n"], "\n")
-        return list(map(memory.new.__getitem__, distinct))
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        known = self.memory.known(distinct)
+        missing = [i for i, ids in enumerate(known) if ids is None]
+        words = [distinct[i] for i in missing]
+        if "\n".join(words).split() != [w.removeprefix("\n") for w in words]:
+            for i in missing:
+                if distinct[i].split() != [distinct[i].removeprefix("\n")]:
+                    known[i] = b""
+            missing = [i for i in missing if known[i] is None]
+        for lead in ("", "\n"):
+            mine = [i for i in missing if (distinct[i][0] == "\n") == bool(lead)]
+            for i, ids in zip(mine, self.learn([distinct[i] for i in mine], lead)):
+                known[i] = ids
+        self.memory.put([distinct[i] for i in missing], [known[i] for i in missing])
+        return known
+
+    def encode(self, given: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, how many each has)."""
-        given = pa.array(texts, pa.string())
         lined = pc.binary_join_element_wise("\n", pc.replace_substring(given, "\n", " \n"), "")
         lists = pc.split_pattern(lined, " ")
         held = lists.values.dictionary_encode()
-        known = self.words(held.dictionary.to_pylist())
         at, offsets = held.indices.to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+        known = self.words(held.dictionary.to_pylist())
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
         whole = np.minimum.reduceat(sizes[at], offsets[:-1]) == 0
         for mark in self.special:
@@ -179,7 +182,7 @@ class Encoder:
             return ids, np.diff(bounds)
         parts = [
             np.frombuffer(self.plain(t), "<u4") if w and t else ids[a:b]
-            for t, w, a, b in zip(texts, whole.tolist(), bounds[:-1].tolist(), bounds[1:].tolist())
+            for t, w, a, b in zip(given.to_pylist(), whole.tolist(), bounds[:-1].tolist(), bounds[1:].tolist())
         ]
         return np.concatenate(parts), np.array([len(p) for p in parts])
 
@@ -208,7 +211,7 @@ def pieces(
             low = 0
             while low < batch.num_rows:
                 high = max(int(np.searchsorted(sizes, (sizes[low - 1] if low else 0) + TOGETHER, side="right")), low + 1)
-                ids, counts = encoder.encode(texts.slice(low, high - low).to_pylist())
+                ids, counts = encoder.encode(texts.slice(low, high - low))
                 raw, at = ids.astype("<u4").tobytes(), 0
                 rows: list[int] = []
                 out: list[tuple] = []

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -37,7 +38,7 @@ def test_words_give_the_ids_of_the_whole_text(text):
 def check(encoder, texts):
     """Against a fresh tokenizer that nobody has touched."""
     fresh = Tokenizer.from_file(packing.public_vocabulary())
-    ids, counts = encoder.encode(texts)
+    ids, counts = encoder.encode(pa.array(texts, pa.string()))
     ends = np.cumsum(counts)
     for t, a, b in zip(texts, ends - counts, ends):
         assert ids[a:b].tolist() == fresh.encode(t, add_special_tokens=False).ids, t
