@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderspark.llm.common import bounded_sample, spare
+from larderspark.session import cut_lineage
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -88,7 +89,8 @@ def fit_model(docs: DataFrame, text: str = "text") -> list[float] | None:
     each reach the driver.
     """
     texts = docs.select(clean(F.col(text)).alias("t"))
-    hit = bounded_sample(texts.filter(F.col("t").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")), RANDOM_ROWS, "t")
+    hits = cut_lineage(texts.filter(F.col("t").rlike(f"{ASSIGN}|{ACCESS}|{HEX}")), "hits")  # texts are searched once for them
+    hit = bounded_sample(hits, RANDOM_ROWS, "t")
     found = lambda pattern, group: F.regexp_extract_all("t", F.lit(f"({pattern})"), F.lit(group))
     random = hit.select(F.explode(F.concat(found(ASSIGN, 2), found(ACCESS, 1), found(HEX, 1))).alias("s"))
     random = random.filter(F.length("s") >= LEAST_VALUE)
