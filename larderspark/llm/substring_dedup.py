@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from larderspark.llm.common import TASK_ROWS
 from larderspark.llm.periodic_runs import words_of
+from larderspark.operators.blocks import bounded_blocks
 from larderspark.session import cut_lineage
 
 #: Words of a window, and of the grams that anchor it.
@@ -30,6 +31,8 @@ WINDOW, GRAM = 13, 5
 WORD_BYTES = 6
 #: Different pieces that a shard may hold; around a gram with more, pieces are cut into single windows.
 SHARD_PIECES = 4_000
+#: Bytes of automata that one pass over the documents may broadcast the words of, and of an automaton per word, about.
+REFERENCE_BYTES, STATE_BYTES = 64 << 20, 800
 #: Characters that are hashed together (a longer document alone).
 TOGETHER = 2_000_000
 #: Odd multipliers of the words of a gram, and of the mix after them.
@@ -261,6 +264,62 @@ def judged(reference: DataFrame, window: int = WINDOW) -> DataFrame:
         work, "gram long, d1 long, d2 long, stale array<int>")
 
 
+def reference_spans(docs: DataFrame, reference: DataFrame, window: int = WINDOW, block_bytes: int = REFERENCE_BYTES) -> DataFrame:
+    """(doc_id, spans) per row of ``docs``: maximal word ranges (low, high: exclusive) whose windows all occur in ``reference``.
+
+    For a reference of modest size, (text), such as licence texts: shards of
+    it, of a measured size, are broadcast, and every document is streamed past
+    each shard's automaton. A text longer than a shard is cut into stretches
+    that overlap by a window. Null texts have no word; rows are independent,
+    so repeated rows and ids are repeated in the result.
+    """
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    stretch = max(block_bytes // STATE_BYTES // 2, 4 * window)
+    low = F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)), F.lit(stretch - window + 1)))
+    held = cut_lineage(
+        reference.select(words.alias("words")).distinct().select("words", low.alias("low"))
+        .select(F.slice("words", F.col("low") + 1, stretch).alias("words")).filter(F.size("words") >= window)
+        .withColumn("part", F.monotonically_increasing_id()), "reference")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    base = cut_lineage(docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "streamed")
+
+    def stream(sent):
+        def work(batches):
+            automaton = Automaton()
+            for part in sent.value:
+                automaton.add(part, 0)
+            for batch in batches:
+                rows, lows = [], []
+                for row, ws in zip(batch.column("row").to_pylist(), words_of(batch.column("text")).to_pylist()):
+                    ends = [i for i, (known, _) in enumerate(automaton.statistics(ws, window)) if known >= window]
+                    rows += [row] * len(ends)
+                    lows += [i - window + 1 for i in ends]
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(lows, pa.int64())], ["row", "low"])
+
+        return work
+
+    found = None
+    for block in bounded_blocks(held, "part", F.size("words") * STATE_BYTES, block_bytes):
+        sent = docs.sparkSession.sparkContext.broadcast([r.words for r in block.select("words").collect()])  # size checked
+        hits = base.select("row", "text").mapInArrow(stream(sent), "row long, low long")
+        found = hits if found is None else found.unionByName(hits)
+
+    def joined(lows):
+        """Windows that touch or overlap are one span."""
+        step = lambda spans, low: F.when(
+            (F.size(spans) > 0) & (F.element_at(spans, -1)["high"] >= low),
+            F.concat(F.slice(spans, 1, F.size(spans) - 1), F.array(F.struct(
+                F.element_at(spans, -1)["low"].alias("low"), (low + window).alias("high"))))
+        ).otherwise(F.concat(spans, F.array(F.struct(low.alias("low"), (low + window).alias("high")))))
+        none = F.expr("cast(array() as array<struct<low: bigint, high: bigint>>)")
+        return F.aggregate(lows, none, step)
+
+    per_row = found.groupBy("row").agg(joined(F.array_sort(F.collect_set("low"))).alias("spans"))
+    empty = F.expr("cast(array() as array<struct<low: bigint, high: bigint>>)")
+    return base.select("row", F.col("doc_id").cast(kind)).join(per_row, "row", "left").select(
+        "doc_id", F.coalesce("spans", empty).alias("spans"))
+
+
 def with_digest(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"d1": F.xxhash64(F.lit(1), "words"), "d2": F.xxhash64(F.lit(2), "words")})
 

@@ -78,3 +78,36 @@ def test_equal_windows_have_equal_anchors():
     seen = {}
     for s, a in zip(starts, at):
         assert seen.setdefault(hashes[s : s + 13].tobytes(), grams[a]) == grams[a]
+
+
+@pytest.mark.parametrize("block_bytes", [64 << 20, 60_000])
+def test_spans_of_a_given_reference(spark, block_bytes):
+    draw = random.Random(9)
+    word = lambda: f"w{draw.randrange(300)}"
+    texts = [[word() for _ in range(n)] for n in (12, 13, 14, 40, 200)]
+    docs = []
+    for d in range(60):
+        words = [word() for _ in range(draw.randrange(30))]
+        for _ in range(draw.randrange(3)):
+            part = list(draw.choice(texts))[draw.randrange(6):]
+            if draw.random() < 0.4:
+                part[draw.randrange(len(part))] = word()
+            at = draw.randint(0, len(words))
+            words[at:at] = part
+        docs.append((d % 50, " ".join(words)))
+    docs += [(None, None), (None, ""), (7, " ".join(texts[4]))]
+    reference = spark.createDataFrame([(" ".join(t),) for t in texts] + [(None,), (" ".join(texts[3]),)], "text string")
+    found = substring_dedup.reference_spans(spark.createDataFrame(docs, SCHEMA), reference, block_bytes=block_bytes)
+    windows = {tuple(t[i : i + 13]) for t in texts for i in range(len(t) - 12)}
+    want = []
+    for d, text in docs:
+        ws, spans = (text or "").split(), []
+        for i in range(len(ws) - 12):
+            if tuple(ws[i : i + 13]) in windows:
+                if spans and spans[-1][1] >= i:
+                    spans[-1][1] = i + 13
+                else:
+                    spans.append([i, i + 13])
+        want.append((d, tuple(map(tuple, spans))))
+    got = [(r.doc_id, tuple((s.low, s.high) for s in r.spans)) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and sum(len(s) for _, s in want) > 20
