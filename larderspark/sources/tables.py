@@ -110,7 +110,8 @@ def delete(spark: SparkSession, path: str, gone: DataFrame) -> None:
     if known is None:
         return
     keys, buckets = known["keys"], known["buckets"]
-    held = cut_lineage(gone.select(*keys).distinct(), "gone")
+    schema = T.StructType.fromJson(json.loads(known["schema"]))
+    held = cut_lineage(gone.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in keys]).distinct(), "gone")
     touched = changed_buckets(held, keys, buckets)
     left = cut_lineage(
         _stored(spark, path, known).filter(F.col(BUCKET).isin(touched)).join(held, keys, "left_anti"), "left")

@@ -173,7 +173,7 @@ def test_keyed_table(spark, tmp_path, collect):
     tables.apply(delta, path, ["k"])
     tables.apply(delta, path, ["k"])  # again: the same table
     assert collect(tables.read(spark, path)) == [(1, "a", 1), (2, "B", 20), (3, "C", 30)]
-    tables.delete(spark, path, spark.createDataFrame([(1,), (7,)], "k int"))
+    tables.delete(spark, path, spark.createDataFrame([("1",), ("7",)], "k string"))  # cast to the table's type
     assert collect(tables.read(spark, path)) == [(2, "B", 20), (3, "C", 30)]
     tables.apply(delta.limit(1).selectExpr("k", "'new' AS more"), path, ["k"])
     assert {r.more for r in tables.read(spark, path).collect()} == {"new", None}
