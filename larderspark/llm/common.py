@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from larderspark.session import cut_lineage
 
-#: Rows of one in-memory comparison block.
-BLOCK_ROWS = 1024
+#: Rows of one in-memory comparison, and comparisons along a side of a block: rows are copied per block.
+BLOCK_ROWS, BLOCK_TILES = 1024, 16
 #: Rows that one task of a blocked comparison reads, about.
 TASK_ROWS = 50_000
 
@@ -158,6 +158,13 @@ def runs_of(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.append(np.flatnonzero(new), len(order))
 
 
+def tiles(rows: int, columns: int, size: int = BLOCK_ROWS):
+    """Pairs of slices that cover a matrix in pieces of at most ``size`` by ``size``."""
+    for a in range(0, rows, size):
+        for b in range(0, columns, size):
+            yield slice(a, a + size), slice(b, b + size)
+
+
 def spanning_edges(links: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A star per component of the bipartite link matrix: at most one edge per row and column.
 

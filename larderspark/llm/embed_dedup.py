@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from larderspark.llm.common import BLOCK_ROWS, bounded_sample, components, in_partitions, runs_of, spanning_edges
+from larderspark.llm.common import BLOCK_ROWS, BLOCK_TILES, bounded_sample, components, in_partitions, runs_of, spanning_edges, tiles
 from larderspark.session import cut_lineage
 
 THRESHOLD = 0.98
@@ -24,6 +24,8 @@ THRESHOLD = 0.98
 TRAINING_ROWS = 20_000
 #: Classes per home cell that the number of centres aims at, and its bounds.
 CELL_ROWS, MOST_CENTRES = 2_000, 1_024
+#: Bytes of the vectors of one block, about.
+BLOCK_BYTES = 16 << 20
 #: Slack of the border test for rounding.
 SLACK = 1e-9
 
@@ -96,13 +98,17 @@ def cells(classes: DataFrame, centres: dict[int, np.ndarray], threshold: float)
     return classes.select("*", F.posexplode(of("embedding")).alias("turn", "cell")).withColumn("home", F.col("turn") == 0).drop("turn")
 
 
-def links(classes: DataFrame, threshold: float, cell_rows: int = CELL_ROWS, block: int = BLOCK_ROWS) -> DataFrame:
+def links(classes: DataFrame, threshold: float, cell_rows: int = CELL_ROWS, block: int | None = None) -> DataFrame:
     """(node, other, n): per class and block, the rows linked with it, and the edges of a spanning forest.
 
     Rows with ``n`` count links of ``node`` (with multiplicity, itself left
     out); rows with ``other`` are edges. A cell is cut into home and guest
-    blocks of ``block`` rows; only block pairs, never whole cells, are in memory.
+    blocks of ``block`` rows (unset: as many as BLOCK_BYTES hold); only block
+    pairs, never whole cells, are in memory, and they are multiplied tile by tile.
     """
+    if block is None:
+        widest = classes.agg(F.max("width")).first()[0] or 1
+        block = min(max(BLOCK_BYTES // (8 * widest), BLOCK_ROWS), BLOCK_ROWS * BLOCK_TILES)
     placed = cells(classes, fit_centres(classes, cell_rows), threshold)
     sizes = placed.groupBy("label", "width", "cell").agg(
         F.greatest(F.lit(1), F.ceil(F.count_if("home") / block)).alias("homes"),
@@ -127,12 +133,16 @@ def links(classes: DataFrame, threshold: float, cell_rows: int = CELL_ROWS, bloc
             l, r = low + np.flatnonzero(side[low:high]), low + np.flatnonzero(~side[low:high])
             if not len(l) or not len(r):
                 continue
-            close = unit(vectors[l]) @ unit(vectors[r]).T >= threshold
-            close &= node[l][:, None] != node[r][None, :]
-            n = close @ times[r]
+            left, right, n, edges = unit(vectors[l]), unit(vectors[r]), np.zeros(len(l), np.int64), []
+            for i, j in tiles(len(l), len(r)):
+                close = left[i] @ right[j].T >= threshold
+                close &= node[l[i]][:, None] != node[r[j]][None, :]
+                if close.any():
+                    n[i] += close @ times[r[j]]
+                    edges.append(spanning_edges(close, node[l[i]], node[r[j]]))
             some = n > 0
             if some.any():
-                a, b = spanning_edges(close, node[l], node[r])
+                a, b = (np.concatenate(side) for side in zip(*edges))
                 yield pd.DataFrame({
                     "node": np.concatenate([node[l][some], a]), "other": np.concatenate([np.full(some.sum(), -1), b]),
                     "n": np.concatenate([n[some], np.zeros(len(a), np.int64)]),

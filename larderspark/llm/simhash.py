@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from larderspark.llm.common import BLOCK_ROWS, components, in_partitions, runs_of, spanning_edges, spare
+from larderspark.llm.common import BLOCK_ROWS, BLOCK_TILES, components, in_partitions, runs_of, spanning_edges, spare, tiles
 from larderspark.session import cut_lineage
 
 SHINGLE_WORDS = 4
@@ -63,14 +63,15 @@ def masks(radius: int = RADIUS) -> list[int]:
     return out
 
 
-def linked(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) -> DataFrame:
+def linked(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS * BLOCK_TILES) -> DataFrame:
     """Edges (a, b) that connect the distinct fingerprints (column ``fp``) within the radius.
 
     Whatever is within the radius is connected by the edges, directly or over
     others that are; a bucket gives at most an edge per member and block, not
     all its pairs. Buckets of two are compared as they are counted. Larger
     ones are cut into blocks of ``block`` rows, and pairs of blocks are spread
-    over the tasks, so no bucket has to fit into one.
+    over the tasks, so no bucket has to fit into one; a pair is compared tile
+    by tile.
     """
     near = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
     keyed = prints.select(
@@ -101,9 +102,9 @@ def linked(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK_ROWS) ->
         found = []
         for low, high in zip(bounds[:-1], bounds[1:]):
             x, y = fp[low:high][left[low:high]], fp[low:high][right[low:high]]
-            if len(x) and len(y):
-                close = np.bitwise_count((x[:, None] ^ y[None, :]).view(np.uint64)) <= radius
-                found.append(spanning_edges(close, x, y))
+            for i, j in tiles(len(x), len(y)):
+                close = np.bitwise_count((x[i, None] ^ y[None, j]).view(np.uint64)) <= radius
+                found.append(spanning_edges(close, x[i], y[j]))
         if found:
             a, b = (np.concatenate(side) for side in zip(*found))
             yield pd.DataFrame({"a": a, "b": b}).drop_duplicates()
