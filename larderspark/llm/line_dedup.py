@@ -91,9 +91,10 @@ def later_copies(tables: list[DataFrame]) -> DataFrame:
             reach = cut_lineage(reach.join(ahead, ["doc", "at"], "left").drop("at"), "reach")
             ends = reach.filter("next is null").select("doc", "i", "length", "first")  # nothing repeated follows
             goes_on = reach.filter("next is not null")
-            parts = (
+            parts = cut_lineage(  # stored: its size is known, and a hot part's rows can be split over tasks
                 goes_on.groupBy("first", "length", "next")
-                .agg(F.count("*").alias("size"), F.min(place()).alias("own")).filter("size > 1").drop("size")
+                .agg(F.count("*").alias("size"), F.min(place()).alias("own")).filter("size > 1").drop("size"),
+                "parts",
             )
             split = goes_on.join(parts, ["first", "length", "next"], "left")
             stays = F.when(F.col("own").isNull() | (place() == F.col("own")), F.struct("length", "first"))
