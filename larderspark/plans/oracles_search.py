@@ -353,6 +353,17 @@ ORACLES = {
                            WHERE doc_id IN (SELECT vec_id FROM embeddings)""",
     "hybrid_search": HYBRID_ROWS,
     "hybrid_pruned": HYBRID_ROWS,
+    "catalog_hybrid_search": with_views(
+        _MASTER_VIEWS, *_MASTER_CTES,
+        """asked AS (SELECT query_id, phrase, string_split(phrase, ' ') AS terms FROM (
+             SELECT n_nationkey AS query_id, CASE WHEN n_nationkey % 2 = 0 THEN concat('usda:', n_nationkey)
+                    ELSE concat('brand#', n_nationkey % 5 + 1, ' powder') END AS phrase FROM nation)),
+           products AS (SELECT source_product_id AS product_id, search_text, lower(search_text) AS text_lower,
+                               '' AS label_lower, 0::BIGINT AS review_count, 0::DOUBLE AS average_score,
+                               source_product_id AS title FROM search_docs)""",
+        ranking(20),
+        HYBRID.replace("cosine / max(cosine) OVER q", "coalesce(cosine / nullif(max(cosine) OVER q, 0), 0)"), body="""
+        SELECT query_id, rank, product_id, title, score, round_even(cosine, 6) AS semantic_similarity FROM best"""),
     "hybrid_small_pool": search(
         "SELECT query_id, rank, product_id, score FROM best", HYBRID.replace("rn <= 20", "rn <= 5"), k=5),
     "search_strategy": search(f"""

@@ -422,6 +422,26 @@ def hybrid_search(spark, sf):
         six("semantic_similarity"), "vector_angle_degrees", "relevance_percent", "strategy")
 
 
+def catalog_hybrid_search(spark, sf):
+    """Hybrid search of the master catalogue, whose products have no label: their ids are their titles.
+
+    Every nation asks for an id, or for a brand and a word.
+    """
+    docs = queries_catalog.search_documents(spark, sf)
+    table = cut_lineage(embedding.embed_native(
+        docs, "source_product_id", embedding.document_input(F.col("search_text")), keep=["search_text"]))
+    key = F.col("n_nationkey")
+    asked = embedding.embed_queries(fixtures.table(spark, sf, "nation").select(
+        key.alias("query_id"), F.lit(5).alias("top_k"),
+        F.when(key % 2 == 0, F.concat(F.lit("usda:"), key.cast("string"))).otherwise(
+            F.concat(F.lit("brand#"), (key % 5 + 1).cast("string"), F.lit(" powder"))).alias("query")))
+    stored = table.select(
+        F.col("source_product_id").alias("product_id"), "embedding", F.lit(0).cast("long").alias("review_count"),
+        F.lit(0.0).alias("average_score"))
+    rows = hybrid.search(lexical.search_ready(table, lexical.CATALOG_COLUMNS), asked, stored, all_indexed=True)
+    return rows.select("query_id", "rank", "product_id", "title", "score", six("semantic_similarity"))
+
+
 def hybrid_small_pool(spark, sf):
     """A pool below the number of rows asked for is raised to it."""
     products, asked, stored = search_inputs(spark, sf, False)
@@ -633,6 +653,7 @@ QUERIES = {
     "indexed_products": indexed_products,
     "hybrid_search": hybrid_search,
     "hybrid_pruned": hybrid_pruned,
+    "catalog_hybrid_search": catalog_hybrid_search,
     "search_results": search_results,
     "search_strategy": search_strategy,
     "derive_category": derive_category,
