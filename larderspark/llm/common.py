@@ -97,14 +97,19 @@ def components(edges: DataFrame) -> DataFrame:
         edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
         "edges",
     )
-    labels, turn = None, 0
-    while not edges.isEmpty():
+
+    def few(df: DataFrame, rows: int) -> DataFrame:
+        """At most ``rows`` rows, from no more tasks (and files) than they need."""
+        return df.coalesce(max(1, -(-rows // TASK_ROWS)))
+
+    labels, turn, left, nodes = None, 0, edges.count(), 0
+    while left:
         turn += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         priority = lambda node: F.struct(F.xxhash64(F.lit(turn), node).alias("p"), F.col(node).alias("n"))
         moves = cut_lineage(
-            both.groupBy("a").agg(F.min(priority("b")).alias("least"))
-            .select(F.col("a").alias("node"), F.least("least", priority("a"))["n"].alias("target")),
+            few(both.groupBy("a").agg(F.min(priority("b")).alias("least"))
+                .select(F.col("a").alias("node"), F.least("least", priority("a"))["n"].alias("target")), 2 * left),
             "moves",
         )
         drawn = (
@@ -114,15 +119,14 @@ def components(edges: DataFrame) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
             .distinct()
         )
-        edges = cut_lineage(drawn, "edges")
+        edges = cut_lineage(few(drawn, left), "edges")
         if labels is None:
-            labels = moves.withColumnRenamed("target", "root")
+            labels, nodes = moves.withColumnRenamed("target", "root"), 2 * left
         else:
             step = moves.select(F.col("node").alias("root"), "target")
-            labels = cut_lineage(
-                labels.join(step, "root", "left").select("node", F.coalesce("target", "root").alias("root")),
-                "labels",
-            )
+            labels = cut_lineage(few(
+                labels.join(step, "root", "left").select("node", F.coalesce("target", "root").alias("root")), nodes), "labels")
+        left = edges.count()
     if labels is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return labels
