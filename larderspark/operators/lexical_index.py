@@ -15,7 +15,6 @@ they could still change its result.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -34,6 +33,8 @@ from larderspark.session import cut_lineage
 GRAM, BUCKETS = 3, 64
 #: Documents of one list: it is bounded, however common a stretch is.
 SEGMENT = 4_096
+#: Stretches of documents that a task sorts together.
+MOST_ENTRIES = 2_000_000
 #: Fields of a list beside its bucket.
 LIST = "gram string, segment bigint, packed binary, most_text int, most_label int"
 
@@ -42,9 +43,16 @@ def bucket_of(gram: str) -> int:
     return zlib.crc32(gram.encode()) % BUCKETS
 
 
-def gram_counts(value: str) -> Counter:
-    """How often each stretch begins in ``value``."""
-    return Counter(value[i : i + n] for n in range(1, GRAM + 1) for i in range(len(value) - n + 1))
+def gram_keys(value: str) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, counts): the stretches of ``value`` as numbers, 21 bits a character, and how often each begins there."""
+    c = np.frombuffer(value.encode("utf-32-le"), np.uint32).astype(np.int64) + 1  # zero: no character
+    one = c << 42
+    two = one[:-1] | c[1:] << 21
+    return np.unique(np.concatenate([one, two, two[:-1] | c[2:]]), return_counts=True)
+
+
+def gram_of(key: int) -> str:
+    return "".join(chr(c - 1) for c in (key >> 42, key >> 21 & 0x1FFFFF, key & 0x1FFFFF) if c)
 
 
 def longest_grams(pattern: str) -> list[str]:
@@ -54,7 +62,7 @@ def longest_grams(pattern: str) -> list[str]:
 
 
 def pack(offsets: list[int]) -> bytes:
-    """Rising numbers below SEGMENT as gaps, of one byte each if all of them fit."""
+    """Rising numbers below SEGMENT as gaps, of one byte each if all of them fit, else of two."""
     gaps = np.diff(np.array(offsets, np.int64), prepend=-1) - 1
     kind = "<u1" if gaps.max() < 256 else "<u2"
     return kind[-1:].encode() + gaps.astype(kind).tobytes()
@@ -68,32 +76,44 @@ def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """mapInArrow function: the lists of a partition's documents, segment by segment."""
     schema = pa.schema([("bucket", pa.int32()), ("gram", pa.string()), ("segment", pa.int64()), ("packed", pa.binary()),
                         ("most_text", pa.int32()), ("most_label", pa.int32())])
-    held: dict[str, list[int]] = {}
-    most: dict[str, list[int]] = {}
-    now = None
+    parts: list[tuple] = []  # (keys, counts, row, side) of the segment's texts and labels
+    size, now = 0, None
 
     def batch_of() -> pa.RecordBatch:
-        names = sorted(held)
+        keys = np.concatenate([p[0] for p in parts])
+        counts = np.concatenate([p[1] for p in parts])
+        row, side = (np.repeat([p[i] for p in parts], [len(p[0]) for p in parts]) for i in (2, 3))
+        order = np.lexsort((row, keys))
+        keys, counts, row, side = keys[order], counts[order], row[order], side[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        most = [np.maximum.reduceat(np.where(side == n, counts, 0), first) for n in (0, 1)]
+        again = np.append(False, (keys[1:] == keys[:-1]) & (row[1:] == row[:-1]))  # in text and label
+        keys, row = keys[~again], row[~again]
+        opens = np.append(True, keys[1:] != keys[:-1])
+        gaps = row - np.where(opens, -1, np.append(0, row[:-1])) - 1
+        starts = np.flatnonzero(opens)
+        narrow = (np.maximum.reduceat(gaps, starts) < 256).tolist()
+        ones, twos = gaps.astype("<u1").tobytes(), gaps.astype("<u2").tobytes()
+        ends = np.append(starts[1:], len(keys)).tolist()
+        packed = [b"1" + ones[a:b] if few else b"2" + twos[2 * a : 2 * b] for a, b, few in zip(starts.tolist(), ends, narrow)]
+        names = [gram_of(k) for k in keys[starts].tolist()]
         return pa.RecordBatch.from_arrays([
             pa.array([bucket_of(g) for g in names], pa.int32()), pa.array(names), pa.array([now] * len(names), pa.int64()),
-            pa.array([pack(held[g]) for g in names], pa.binary()),
-            *[pa.array([most[g][side] for g in names], pa.int32()) for side in (0, 1)]], schema=schema)
+            pa.array(packed, pa.binary()), *[pa.array(m, pa.int32()) for m in most]], schema=schema)
 
     for batch in batches:
-        for row, body, label in zip(*(batch.column(c).to_pylist() for c in ("row", "text_lower", "label_lower"))):
+        for row, *sides in zip(*(batch.column(c).to_pylist() for c in ("row", "text_lower", "label_lower"))):
             segment, offset = divmod(row, SEGMENT)
-            if segment != now:
-                if held:
-                    yield batch_of()
-                now, held, most = segment, {}, {}
-            sides = gram_counts(body), gram_counts(label)
-            for side, counts in enumerate(sides):
-                for gram, n in counts.items():
-                    known = most.setdefault(gram, [0, 0])
-                    known[side] = max(known[side], n)
-            for gram in sides[0].keys() | sides[1].keys():
-                held.setdefault(gram, []).append(offset)
-    if held:
+            if parts and (segment != now or size > MOST_ENTRIES):  # a segment may come in several lists
+                yield batch_of()
+                parts, size = [], 0
+            now = segment
+            for side, value in enumerate(sides):
+                if value:
+                    keys, counts = gram_keys(value)
+                    parts.append((keys, counts, offset, side))
+                    size += len(keys)
+    if parts:
         yield batch_of()
 
 

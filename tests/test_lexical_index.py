@@ -30,6 +30,7 @@ def asked(spark):
 @pytest.mark.parametrize("segment, block_bytes", [(4_096, 1 << 20), (50, 50_000)])
 def test_same_ranking_as_a_scan(spark, products, asked, monkeypatch, segment, block_bytes):
     monkeypatch.setattr(lexical_index, "SEGMENT", segment)
+    monkeypatch.setattr(lexical_index, "MOST_ENTRIES", 40 * segment)
     path = scratch_path(spark, "lexical-test")
     lexical_index.write_index(products, path)
     index = lexical_index.read_index(spark, path)
@@ -74,6 +75,16 @@ def test_packed_lists_come_back():
         assert lexical_index.unpack(lexical_index.pack(offsets)).tolist() == offsets
 
 
+def test_stretches_come_back_from_their_keys():
+    for value in ("", "a", "ab", "aaaa", "日本\0語😀x", "tea\ntea"):
+        keys, counts = lexical_index.gram_keys(value)
+        want = {}
+        for n in (1, 2, 3):
+            for i in range(len(value) - n + 1):
+                want[value[i : i + n]] = want.get(value[i : i + n], 0) + 1
+        assert {lexical_index.gram_of(k): c for k, c in zip(keys.tolist(), counts.tolist())} == want
+
+
 def test_empty_tables(spark, products, asked):
     path = scratch_path(spark, "lexical-test")
     lexical_index.write_index(products.limit(0), path)
