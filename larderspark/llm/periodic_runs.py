@@ -23,7 +23,7 @@ from larderspark.functions.binding import let
 #: A run has so many words, and so many periods, at least.
 LEAST_WORDS, LEAST_PERIODS = 6, 4
 #: Characters of the documents that are ordered together (a longer document alone), and suffixes looked at together.
-TOGETHER, CHUNK = 2_000_000, 500_000
+TOGETHER, CHUNK = 500_000, 125_000
 #: Steps along chains of pointers before the rest is searched by galloping.
 HOPS = 40
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -228,7 +228,8 @@ def find_runs(docs: DataFrame) -> DataFrame:
     only in the first period of those they are in. Null and empty texts have
     no word and an empty text. Rows are independent: repeated rows and ids are
     repeated in the result. No shuffle; a task holds documents of about
-    TOGETHER characters, or one longer document.
+    TOGETHER characters, or one longer document, beside the Arrow batch it got
+    (``common.stored_in_batches`` keeps that small).
     """
     run_type = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 

@@ -14,7 +14,7 @@ from larderspark.llm import (
     conversation_trie, decontam, embed_dedup, language, line_dedup, packing, periodic_runs, quality, secrets, simhash,
     substring_dedup, toxicity, url_filter,
 )
-from larderspark.llm.common import read
+from larderspark.llm.common import read, stored_in_batches
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_repeats(read(spark, sf_dir, "documents"))
-    return periodic_runs.digests(periodic_runs.find_runs(docs))
+    return stored_in_batches(periodic_runs.digests(periodic_runs.find_runs(docs)), "runs")
 
 
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

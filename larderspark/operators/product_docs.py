@@ -57,7 +57,7 @@ def product_documents(cleaned: DataFrame) -> DataFrame:
         F.count(F.lit(1)).cast("int").alias("review_count"),
         numeric.round_even(F.avg("Score"), 2).cast("float").alias("average_score"),
         numeric.round_even(
-            F.avg(numeric.ratio(F.col("HelpfulnessNumerator"), F.col("HelpfulnessDenominator"))), 3
+            F.avg(numeric.exact_ratio(F.col("HelpfulnessNumerator"), F.col("HelpfulnessDenominator"))).cast("double"), 3
         ).cast("float").alias("average_helpfulness_ratio"),
         F.min("review_timestamp").alias("first_review_at"),
         F.max("review_timestamp").alias("last_review_at"),

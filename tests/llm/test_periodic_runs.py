@@ -4,9 +4,10 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from larderspark.llm import periodic_runs
+from larderspark.llm import common, periodic_runs, queries
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string"
@@ -74,3 +75,17 @@ def test_long_texts_and_small_slices(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "ab cd " * (i % 9)) for i in range(50)], SCHEMA)
     found = {r.doc_id: [tuple(x) for x in r.runs] for r in periodic_runs.find_runs(docs).collect()}
     assert found == {i: [(0, 2 * (i % 9), 2)] if i % 9 >= 4 else [] for i in range(50)}
+
+
+def test_few_texts_go_to_python_together(spark, monkeypatch):
+    def sizes(docs):
+        return docs.mapInArrow(lambda batches: (pa.record_batch([pa.array([len(b)])], ["n"]) for b in batches), "n long")
+
+    docs = spark.range(1700).selectExpr("id AS doc_id", "'a b c' AS text").coalesce(1)
+    monkeypatch.setattr(queries, "read", lambda *_: docs)
+    monkeypatch.setattr(periodic_runs, "find_runs", sizes)
+    monkeypatch.setattr(periodic_runs, "digests", lambda found: found)
+    before = spark.conf.get(common.BATCH_ROWS)
+    found = [r.n for r in queries.op11_periodic_runs(spark, "").collect()]
+    assert sum(found) == 1700 and max(found) <= common.TEXT_ROWS
+    assert spark.conf.get(common.BATCH_ROWS) == before
