@@ -28,7 +28,7 @@ from larderspark.functions import numeric, vectors
 from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks, small
 from larderspark.operators.ranking import merge_top_k
 from larderspark.operators.vector import (
-    DIGITS, ROW_BYTES, BestRows, _query_matrix, ids_of, ranking_order, read_points, usable_queries, vector_ranking,
+    CELLS, DIGITS, ROW_BYTES, BestRows, _query_matrix, ranking_order, read_points, usable_queries, vector_ranking,
 )
 from larderspark.session import cut_lineage
 
@@ -50,7 +50,8 @@ class Model:
     books: np.ndarray
 
     def cells(self, unit: np.ndarray) -> np.ndarray:
-        return (unit @ self.centres.T).argmax(1)
+        steps = [(unit[at : at + STEP] @ self.centres.T).argmax(1) for at in range(0, len(unit), STEP)]
+        return np.concatenate(steps) if steps else np.zeros(0, np.int64)
 
     def codes(self, unit: np.ndarray, cells: np.ndarray) -> np.ndarray:
         offsets = padded(unit - self.centres[cells], self.books.shape[2])
@@ -123,7 +124,7 @@ def _encode(plan):
             points = read_points(batch, centres.shape[1])
             if points is None:
                 continue
-            block, norms, *_, kept = points
+            block, norms, kept = points
             unit = block / norms[:, None]
             cells = model.cells(unit)
             raw, size = model.codes(unit, cells).tobytes(), len(books)
@@ -185,17 +186,14 @@ def _short_lists(plan, short: int, schema: pa.Schema):
         for batch in batches:
             cells = batch.column("cell").to_numpy(zero_copy_only=False)
             codes = np.frombuffer(b"".join(batch.column("code").to_pylist()), np.uint8).reshape(len(cells), -1)
-            product, reviews, rating = (batch.column(c) for c in ("product_id", "review_count", "average_score"))
-            reviews, rating = reviews.to_numpy(zero_copy_only=False), rating.to_numpy(zero_copy_only=False)
+            best.take(batch)
             for cell in np.unique(cells):
                 asked = np.flatnonzero(mask[:, cell])
                 rows = np.flatnonzero(cells == cell) if len(asked) else asked
-                for low in range(0, len(rows), STEP):
-                    part = rows[low : low + STEP]
-                    scores = model.decoded(cells[part], codes[part]) @ unit[asked].T
-                    hit, query = np.nonzero(scores >= best.bar[asked])
-                    at = part[hit]
-                    best.add(asked[query], scores[hit, query], reviews[at], rating[at], ids_of(product, at))
+                step, near = min(STEP, max(1, CELLS // max(len(asked), 1))), unit[asked].T
+                for low in range(0, len(rows), step):
+                    part = rows[low : low + step]
+                    best.offer(model.decoded(cells[part], codes[part]) @ near, asked, part)
         yield from best.batches(schema)
 
     return run
@@ -239,8 +237,13 @@ def ivf_ranking(index: tuple[Model, DataFrame], queries: DataFrame, k: int, shor
     shuffled, the short lists go to the points of the cells that were read.
     """
     model, points = index
+    return rank_lists(model, short_lists(model, points, queries, max(short, k), probes, block_bytes), k)
+
+
+def rank_lists(model: Model, blocks: list[tuple[DataFrame, DataFrame, DataFrame]], k: int) -> DataFrame:
+    """The best ``k`` of every query of ``short_lists`` by exact cosine."""
     results = []
-    for block, read, lists in short_lists(model, points, queries, max(short, k), probes, block_bytes):
+    for block, read, lists in blocks:
         known = lists.join(F.broadcast(block), "query_id")  # a block is small enough to be collected
         scored = read.select("product_id", "embedding", "review_count", "average_score").join(
             small(known, lists.count(), 8 * model.centres.shape[1] + ROW_BYTES), "product_id")

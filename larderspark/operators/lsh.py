@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from larderspark.functions import vectors
 from larderspark.operators.blocks import BLOCK_BYTES
-from larderspark.operators.vector import CELLS, DIGITS, BestRows, ids_of, rank_points, read_points
+from larderspark.operators.vector import CELLS, DIGITS, BestRows, rank_points, read_points
 
 #: Measured on the given vectors: recall@10 of 0.96 or more (see README).
 TABLES, BITS, SEED = 24, 8, 17
@@ -56,8 +56,8 @@ def _lookup(unit: np.ndarray, tables: int, bits: int, seed: int) -> list[tuple]:
     return out
 
 
-def _candidates(codes: np.ndarray, lookup: list[tuple], queries: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, query) pairs that share a signature in some table, each once."""
+def _met(codes: np.ndarray, lookup: list[tuple], queries: int) -> np.ndarray:
+    """A mask of the (row, query) pairs that share a signature in some table."""
     met = np.zeros((len(codes), queries), dtype=bool)
     for t, (near, owner) in enumerate(lookup):
         low = np.searchsorted(near, codes[:, t], side="left")
@@ -65,13 +65,11 @@ def _candidates(codes: np.ndarray, lookup: list[tuple], queries: int) -> tuple[n
         row = np.repeat(np.arange(len(codes)), count)
         within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         met[row, owner[np.repeat(low, count) + within]] = True
-    return np.nonzero(met)
+    return met
 
 
-def _cosines(block: np.ndarray, unit: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Dot products of the pairs; one matrix product when the pairs are dense."""
-    if len(row) * 16 > len(block) * len(unit):
-        return (block @ unit.T)[row, query]
+def _products(block: np.ndarray, unit: np.ndarray, row: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Dot products of some pairs."""
     step = max(1, CELLS // block.shape[1])
     parts = [np.einsum("ij,ij->i", block[row[i:i + step]], unit[query[i:i + step]])
              for i in range(0, len(row), step)]
@@ -100,15 +98,21 @@ def ann_ranking(index: DataFrame, queries: DataFrame, k: int, tables: int = TABL
                 points = read_points(batch, matrix.shape[1])
                 if points is None:
                     continue
-                block, norms, reviews, rating, product, kept = points
+                block, norms, kept = points
+                best.take(kept)
                 codes = kept.column("codes").flatten().to_numpy(zero_copy_only=False).reshape(-1, tables)
                 for lo in range(0, len(block), step):
                     part = slice(lo, lo + step)
-                    row, query = _candidates(codes[part], lookup, len(names))
-                    cosine = np.round(_cosines(block[part], unit, row, query) / norms[part][row], DIGITS)
-                    good = cosine >= best.bar[query]
-                    at = lo + row[good]
-                    best.add(query[good], cosine[good], reviews[at], rating[at], ids_of(product, at))
+                    met = _met(codes[part], lookup, len(names))
+                    if 16 * np.count_nonzero(met) > met.size:  # dense: one matrix product
+                        scores = block[part] @ unit.T
+                        scores /= norms[part, None]
+                        best.offer(scores, np.arange(len(names)), np.arange(lo, lo + len(scores)), met)
+                    else:
+                        row, query = np.nonzero(met)
+                        cosine = np.round(_products(block[part], unit, row, query) / norms[part][row], DIGITS)
+                        good = cosine >= best.bar[query]
+                        best.add(query[good], cosine[good], lo + row[good])
             yield from best.batches(schema)
 
         return run

@@ -25,7 +25,7 @@ from larderspark.operators import ivf
 from larderspark.operators.blocks import BLOCK_BYTES, bounded_blocks
 from larderspark.operators.ranking import merge_top_k
 from larderspark.operators.vector import (
-    CELLS, DIGITS, ROW_BYTES, BestRows, _query_matrix, ids_of, ranking_order, read_points, usable_queries,
+    CELLS, ROW_BYTES, BestRows, _query_matrix, ranking_order, read_points, usable_queries,
 )
 from larderspark.session import cut_lineage
 
@@ -103,21 +103,18 @@ def _scan(plan, k: int, schema: pa.Schema):
             points = read_points(batch, unit.shape[1])
             if points is None:
                 continue
-            block, norms, reviews, rating, product, kept = points
+            block, norms, kept = points
+            best.take(kept)
             cells = kept.column("cell").to_numpy(zero_copy_only=False)
             for cell in np.unique(cells):
                 asked = np.flatnonzero(mask.get(int(cell), ()))
                 rows = np.flatnonzero(cells == cell)
-                step = max(1, CELLS // max(len(asked), 1))
+                step, near = max(1, CELLS // max(len(asked), 1)), unit[asked].T
                 for low in range(0, len(rows) if len(asked) else 0, step):
                     part = rows[low : low + step]
-                    scores = np.round((block[part] @ unit[asked].T) / norms[part, None], DIGITS)
-                    bar = best.bar[asked]
-                    if len(scores) > k:
-                        bar = np.maximum(bar, np.partition(scores, len(scores) - k, axis=0)[len(scores) - k])
-                    hit, query = np.nonzero(scores >= bar)
-                    at = part[hit]
-                    best.add(asked[query], scores[hit, query], reviews[at], rating[at], ids_of(product, at))
+                    scores = block[part] @ near
+                    scores /= norms[part, None]
+                    best.offer(scores, asked, part)
         yield from best.batches(schema)
 
     return run

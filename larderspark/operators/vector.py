@@ -23,7 +23,9 @@ from larderspark.session import checkpoint_root, cut_lineage
 # order of additions was.
 DIGITS = 12
 CELLS = 4_000_000  # scores of one step of a matrix product
+ROUNDING = 2 * 10.0**-DIGITS  # more than two scores draw near by rounding
 ROW_BYTES = 160  # one kept result row
+LEAST_WAITING, RESULT_ROWS = 1 << 16, 10_000  # rows that wait to be merged; rows of a result batch
 
 
 def dimension(df: DataFrame, vector: str = "embedding") -> int:
@@ -99,8 +101,8 @@ def _query_matrix(rows) -> tuple[list, np.ndarray, np.ndarray]:
 
 
 def _keep(best: tuple, k: int) -> tuple:
-    """The first ``k`` rows per query of (query, score, reviews, rating, id)."""
-    query, score, reviews, rating, product = best
+    """The first ``k`` rows per query of (query, score, reviews, rating, id, more columns)."""
+    query, score, reviews, rating, product = best[:5]
     order = np.lexsort((product, -rating, -reviews, -score, query))
     sorted_query = query[order]
     starts = np.searchsorted(sorted_query, sorted_query, side="left")
@@ -109,32 +111,83 @@ def _keep(best: tuple, k: int) -> tuple:
 
 
 class BestRows:
-    """The best ``k`` rows per query that a task has seen."""
+    """The best ``k`` rows per query that a task has seen.
+
+    What a call adds is cut to ``k`` rows per query while it is still numbers:
+    equal scores are told apart by the rank of their ids in the batch, and only
+    kept rows get their ids as text. They wait until as many have come as are
+    held, so a call costs what it adds, not what is held.
+    """
 
     def __init__(self, names: list, floors: np.ndarray, k: int):
-        self.names, self.floors, self.k = names, floors, k
+        self.names, self.k = names, k
         self.bar = floors.copy()  # a lower score cannot get in
-        self.rows = None
-
-    def add(self, query, score, reviews, rating, product) -> None:
-        found = (query, score, reviews, rating, product)
-        if self.rows is not None:
-            found = tuple(np.concatenate(pair) for pair in zip(self.rows, found))
-        self.rows = _keep(found, self.k)  # sorted by query, best first
-        counts = np.bincount(self.rows[0], minlength=len(self.names))
+        self.rows, self.waiting, self.waits = None, [], 0
+
+    def take(self, batch: pa.RecordBatch) -> None:
+        """The batch that the rows of the next calls of ``add`` are in."""
+        self.product = batch.column("product_id")
+        self.reviews = batch.column("review_count").to_numpy(zero_copy_only=False)
+        self.rating = batch.column("average_score").to_numpy(zero_copy_only=False)
+        self.order = pc.rank(self.product, sort_keys="ascending", tiebreaker="dense").to_numpy()
+
+    def add(self, query: np.ndarray, score: np.ndarray, at: np.ndarray) -> None:
+        if not len(query):
+            return
+        found = _keep((query, score, self.reviews[at], self.rating[at], self.order[at], at), self.k)
+        self._raise(found)
+        self.waiting.append((*found[:4], ids_of(self.product, found[5])))
+        self.waits += len(found[0])
+        if self.waits > max(LEAST_WAITING, 0 if self.rows is None else len(self.rows[0])):
+            self._merge()
+
+    def offer(self, scores: np.ndarray, queries: np.ndarray, at: np.ndarray, met: np.ndarray | None = None) -> None:
+        """A matrix of scores, a row for each of the rows ``at``, a column for each of ``queries``; only pairs ``met`` count."""
+        row, column = contenders(scores, self.bar[queries], self.k, met)
+        score = np.round(scores[row, column], DIGITS)
+        good = score >= self.bar[queries[column]]
+        self.add(queries[column[good]], score[good], at[row[good]])
+
+    def _raise(self, rows: tuple) -> None:
+        """Queries with ``k`` rows (sorted by query, best first) let no lower score in."""
+        counts = np.bincount(rows[0], minlength=len(self.names))
         full = counts == self.k
-        self.bar[full] = self.rows[1][np.cumsum(counts)[full] - 1]
+        self.bar[full] = np.maximum(self.bar[full], rows[1][np.cumsum(counts)[full] - 1])
+
+    def _merge(self) -> None:
+        if self.waiting:
+            parts = self.waiting if self.rows is None else [self.rows, *self.waiting]
+            self.rows, self.waiting, self.waits = _keep(tuple(map(np.concatenate, zip(*parts))), self.k), [], 0
+            self._raise(self.rows)
 
     def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        if self.rows is not None and len(self.rows[0]):
-            query, score, reviews, rating, product = self.rows
+        self._merge()
+        for low in range(0, 0 if self.rows is None else len(self.rows[0]), RESULT_ROWS):
+            query, score, reviews, rating, product = (column[low : low + RESULT_ROWS] for column in self.rows)
             arrays = [[self.names[q] for q in query], product.tolist(), score, reviews, rating]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(a, type=f.type) for a, f in zip(arrays, schema)], schema=schema)
 
 
+def contenders(scores: np.ndarray, bar: np.ndarray, k: int, met: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the scores, of those ``met``, that can be among the ``k`` best of their column.
+
+    A score is in the running if it reaches the column's bar, and, where very
+    many do, the k-th of the column; both but for what rounding may lift.
+    """
+    def reach(least: np.ndarray) -> np.ndarray:
+        good = scores >= least - ROUNDING
+        return good if met is None else good & met
+
+    good = reach(bar)
+    if len(scores) > k and np.count_nonzero(good) > 2 * k * scores.shape[1]:
+        high = scores if met is None else np.where(met, scores, -np.inf)
+        good = reach(np.maximum(bar, np.partition(high, len(scores) - k, axis=0)[len(scores) - k]))
+    return np.nonzero(good)
+
+
 def read_points(batch: pa.RecordBatch, dimension: int):
-    """(vectors, norms, reviews, ratings, ids, batch) of the usable rows, or None."""
+    """(vectors, norms, batch) of the usable rows, or None."""
     lengths = pc.fill_null(pc.list_value_length(batch.column("embedding")), 0)
     batch = batch.filter(pc.greater(lengths, 0))
     if batch.num_rows == 0:
@@ -147,11 +200,7 @@ def read_points(batch: pa.RecordBatch, dimension: int):
     good = np.isfinite(norms) & (norms > 0)
     if not good.all():  # zero and non-finite vectors match nothing
         batch, block, norms = batch.filter(pa.array(good)), block[good], norms[good]
-    return (
-        block, norms, batch.column("review_count").to_numpy(zero_copy_only=False),
-        batch.column("average_score").to_numpy(zero_copy_only=False),
-        batch.column("product_id"), batch,
-    )
+    return block, norms, batch
 
 
 def ids_of(column: pa.Array, at: np.ndarray) -> np.ndarray:
@@ -163,7 +212,7 @@ def _scan(plan, k: int, schema: pa.Schema):
     """mapInArrow function: the best ``k`` rows per query of one partition.
 
     A batch of vectors meets all queries in one matrix product; only scores
-    that reach the k-th of the batch and of all before are looked at further.
+    that reach the k-th of all before are looked at further.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, matrix, floors = plan.value
@@ -176,17 +225,13 @@ def _scan(plan, k: int, schema: pa.Schema):
             points = read_points(batch, matrix.shape[1])
             if points is None:
                 continue
-            block, norms, reviews, rating, product, _ = points
+            block, norms, kept = points
+            best.take(kept)
             for lo in range(0, len(block), step):
                 part = slice(lo, lo + step)
-                scores = np.round((block[part] @ unit.T) / norms[part, None], DIGITS)
-                bar = best.bar
-                if len(scores) > k:
-                    kth = np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
-                    bar = np.maximum(bar, kth)
-                hit, query = np.nonzero(scores >= bar)
-                at = lo + hit
-                best.add(query, scores[hit, query], reviews[at], rating[at], ids_of(product, at))
+                scores = block[part] @ unit.T
+                scores /= norms[part, None]
+                best.offer(scores, np.arange(len(names)), np.arange(lo, lo + len(scores)))
         yield from best.batches(schema)
 
     return run
