@@ -175,8 +175,9 @@ def upsert_stream(spark, sf):
     base, path = fixtures.table(spark, sf, "part"), scratch_path(spark, "parts")
     tables.create(base, path, ["p_partkey"])
     delta = part_delta(base)
-    delta.repartition(3).write.parquet(f"{path}-changes")
-    changes = jobs.read_stream(spark, f"{path}-changes", delta.schema, 2)
+    for part in (0, 1):
+        delta.filter(F.pmod(F.xxhash64("p_partkey"), F.lit(2)) == part).write.mode("append").parquet(f"{path}-changes")
+    changes = jobs.read_stream(spark, f"{path}-changes", delta.schema, jobs.files_of_batch(spark, f"{path}-changes", delta.schema))
     jobs.upsert_stream(changes, path, ["p_partkey"], ["p_name"], f"{path}-progress").awaitTermination()
     return tables.read(spark, path)
 

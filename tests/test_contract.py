@@ -94,6 +94,28 @@ def test_embed_stream_equals_batch(spark, sf_dir, tmp_path, collect):
     assert collect(got) == collect(want)
 
 
+def test_streams_are_dealt_out_like_their_input(spark, sf_dir, tmp_path, collect, monkeypatch):
+    """No task writes a fixed share of all documents: as many files arrive as the input has."""
+    docs = fixtures.table(spark, sf_dir, "documents").repartition(8)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    arrived, batches, read_stream = [], [], jobs.read_stream
+
+    def seen(session, path, schema, files):
+        arrived.append(len(session.read.parquet(path).inputFiles()))
+        batches.append(-(-arrived[-1] // files))
+        return read_stream(session, path, schema, files)
+
+    monkeypatch.setattr(jobs, "read_stream", seen)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a file a task
+    try:
+        got = collect(queries_search.embed_stream(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert arrived == [16] and batches == [3]
+    assert got == collect(queries_search.embed_documents(spark, sf_dir))
+
+
 def test_bench_prints_one_line(sf_dir):
     env = {**os.environ, "BENCH_SF_DIR": sf_dir, "BENCH_CPUS": "2", "BENCH_KEYS": "table_counts",
            "LARDER_DRIVER_MEMORY": "1g"}
