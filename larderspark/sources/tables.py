@@ -45,13 +45,22 @@ def _write_properties(spark: SparkSession, path: str, keys: Sequence[str], bucke
 
 
 def _write(df: DataFrame, path: str, mode: str) -> None:
+    """``dynamic``: written beside the table, moved in when all of it is there, so ``df`` may read the buckets it replaces."""
     writer = df.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", mode)
     writer.partitionBy(BUCKET).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str) -> tuple:
+    """(file system, its path) of a folder."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()), at
+
+
 def create(df: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> None:
     """Write ``df`` (one row per key) as a whole new table; one that is there is replaced."""
-    source = cut_lineage(df, "table")  # it may come from the table that it replaces
+    there = _folder(df.sparkSession, path)
+    source = cut_lineage(df, "table") if there[0].exists(there[1]) else df  # it may come from the table that it replaces
     _write(source.withColumn(BUCKET, bucket_of(keys, buckets)), path, "static")
     _write_properties(source.sparkSession, path, keys, buckets, source.schema)
 
@@ -101,7 +110,7 @@ def apply(source: DataFrame, path: str, keys: Sequence[str], merge: Merge | None
     touched = changed_buckets(held, keys, known["buckets"])
     stored = _stored(spark, path, known).filter(F.col(BUCKET).isin(touched)).drop(BUCKET)
     merged = (merge or (lambda old, new: upsert(old, new, list(keys))))(stored, held)
-    _write(cut_lineage(merged.select(*schema.names), "merged").withColumn(BUCKET, number), path, "dynamic")
+    _write(merged.select(*schema.names).withColumn(BUCKET, number), path, "dynamic")
 
 
 def delete(spark: SparkSession, path: str, gone: DataFrame) -> None:
@@ -113,13 +122,10 @@ def delete(spark: SparkSession, path: str, gone: DataFrame) -> None:
     schema = T.StructType.fromJson(json.loads(known["schema"]))
     held = cut_lineage(gone.select(*[F.col(k).cast(schema[k].dataType).alias(k) for k in keys]).distinct(), "gone")
     touched = changed_buckets(held, keys, buckets)
-    left = cut_lineage(
-        _stored(spark, path, known).filter(F.col(BUCKET).isin(touched)).join(held, keys, "left_anti"), "left")
-    full = {r[BUCKET] for r in left.select(BUCKET).distinct().collect()}
+    left = _stored(spark, path, known).filter(F.col(BUCKET).isin(touched)).join(held, keys, "left_anti")
+    full = {r[BUCKET] for r in left.select(BUCKET).distinct().collect()}  # of the keys alone
     _write(left, path, "dynamic")
     # a bucket without a row is not written, so its folder goes
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path
     for number in set(touched) - full:
-        at = folder(f"{path}/{BUCKET}={number}")
-        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+        system, at = _folder(spark, f"{path}/{BUCKET}={number}")
+        system.delete(at, True)
